@@ -29,7 +29,7 @@ from .textvec import BASES, U, Words, flat, mix, powers, runs_of_equal, steps, w
 SLOTS = 1 << 16
 #: Mean nats a 4-gram below which a document is rejected.
 THRESHOLD = -0.4
-TARGET_ROWS = 50_000
+TARGET_ROWS = 5_000
 SMOOTHING = 1.0
 SYMBOLS = b"#*$%&|<>"
 _PIECES = 16
