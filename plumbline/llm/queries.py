@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from functools import wraps
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from plumbline.session import table
 
-from . import decontaminate, quality, sharding
+from . import bpe, decontaminate, html_extract, quality, sharding, token_counts
+from .common import checkpointed
 from .sql import ORACLES
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -52,17 +54,46 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr")
 
 
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), with_ids=False)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are loaded, all counts revised by the end-of-text token, later copies deleted; two batches come twice."""
+    counts = checkpointed(token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"), "byte_bpe_50k"))
+    ledger = token_counts.Ledger(spark, f"{spark.sparkContext.getCheckpointDir()}/token-ledger-{uuid.uuid4().hex}")
+    ledger.commit("load", token_counts.inserts(counts))
+    ledger.commit("load", token_counts.inserts(counts))
+    revised = counts.select("doc_id", (F.col("n_tokens") + 1).alias("new_tokens"))
+    ledger.commit("end-of-text", token_counts.revisions(counts, revised))
+    state = counts.withColumn("n_tokens", F.col("n_tokens") + 1)
+    gone = token_counts.later_copies(state)
+    ledger.commit("copies", token_counts.deletes(state, gone))
+    ledger.commit("copies", token_counts.deletes(state, gone))
+    return ledger.totals()
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.interleave(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-_ALL = (op4_quality_rules, op8_benchmark_decontamination, op10_sharding)
+_ALL = (op4_quality_rules, op6_bpe, op7_token_counts, op8_benchmark_decontamination, op9_html_extraction, op10_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
