@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from plumbline.session import table
 
-from . import bpe, decontaminate, html_extract, quality, sharding, token_counts
-from .common import checkpointed
+from . import bpe, decontaminate, html_extract, langid, quality, sharding, token_counts, toxicity
+from .common import checkpointed, held_out
 from .sql import ORACLES
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -50,10 +50,20 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.language_id(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
@@ -93,7 +103,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-_ALL = (op4_quality_rules, op6_bpe, op7_token_counts, op8_benchmark_decontamination, op9_html_extraction, op10_sharding)
+_ALL = (op1_toxicity, op4_quality_rules, op5_language_id, op6_bpe, op7_token_counts, op8_benchmark_decontamination, op9_html_extraction, op10_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
