@@ -73,9 +73,11 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def pack(columns: list[np.ndarray], buckets: int) -> Iterator[tuple[int, bytes]]:
     """(bucket, bytes) of entries whose first column, a uint64 key, is sorted."""
+    if not len(columns[0]):
+        return
     b = bucket_of(columns[0], buckets)
-    edges = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
-    for lo, hi in zip(edges, np.r_[edges[1:], len(b)], strict=True):
+    edges = runs(b)
+    for lo, hi in zip(edges, np.append(edges[1:], len(b)), strict=True):
         yield int(b[lo]), np.uint32(hi - lo).tobytes() + b"".join(planes(c[lo:hi]) for c in columns)
 
 

@@ -23,4 +23,15 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op8_benchmark_decontamination": OP8}
+OP2 = rf"""
+WITH d AS (SELECT doc_id, {_BLANK} AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(list_slice(w, s + 1, s + 50), ' ') AS t FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS s FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT t, min(doc_id) AS m FROM win GROUP BY t HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM win JOIN firsts USING (t) WHERE doc_id > m),
+gone AS (SELECT doc_id, list(p) AS ps FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(range(len(w)), lambda i: NOT list_contains(ps, i)), lambda i: w[i + 1]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op8_benchmark_decontamination": OP8}
