@@ -47,7 +47,7 @@ def text_bytes(docs: DataFrame, column: str) -> int:
 
 def bucket_count(spark: SparkSession, entries: float, per_bucket: int = 1_000_000) -> int:
     """Buckets of a packed exchange: enough for bounded buckets, and a few for each shuffle partition."""
-    return max(4 * shuffle_partitions(spark), math.ceil(entries / per_bucket))
+    return max(2 * shuffle_partitions(spark), math.ceil(entries / per_bucket))
 
 
 # Packed exchange -----------------------------------------------------------------------------------
