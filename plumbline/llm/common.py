@@ -45,9 +45,9 @@ def text_bytes(docs: DataFrame, column: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0)
 
 
-def bucket_count(spark: SparkSession, entries: float, per_bucket: int = 1_000_000) -> int:
-    """Buckets of a packed exchange: enough for bounded buckets, and a few for each shuffle partition."""
-    return max(2 * shuffle_partitions(spark), math.ceil(entries / per_bucket))
+def bucket_count(spark: SparkSession, entries: float, per_bucket: int = 1_000_000, least: int = 2) -> int:
+    """Buckets of a packed exchange: enough for bounded buckets, and `least` for each shuffle partition."""
+    return max(least * shuffle_partitions(spark), math.ceil(entries / per_bucket))
 
 
 # Packed exchange -----------------------------------------------------------------------------------

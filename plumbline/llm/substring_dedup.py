@@ -243,7 +243,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """docs (all columns) with n_words, n_removed, kept_sha256 and, if asked for, kept_text (null stays null)."""
     spark = docs.sparkSession
     size = text_bytes(docs, text)
-    buckets = bucket_count(spark, size / 6 / PERIOD * len(COVER), ENTRIES)
+    buckets = bucket_count(spark, size / 6 / PERIOD * len(COVER), ENTRIES, least=1)
     parts = _prime(bucket_count(spark, size, PART_BYTES))
     added = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else [])]
     kinds = ["long", "long", "string", "string"]
