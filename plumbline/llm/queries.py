@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from plumbline.session import table
 
-from . import bpe, decontaminate, html_extract, langid, quality, sharding, substring_dedup, token_counts, toxicity
+from . import bpe, decontaminate, html_extract, langid, ngram_join, quality, sharding, substring_dedup, token_counts, toxicity
 from .common import checkpointed, held_out
 from .sql import ORACLES
 
@@ -59,6 +59,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False).drop("text")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr")
 
@@ -107,7 +111,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-_ALL = (op1_toxicity, op2_substring_dedup, op4_quality_rules, op5_language_id, op6_bpe, op7_token_counts, op8_benchmark_decontamination, op9_html_extraction, op10_sharding)
+_ALL = (op1_toxicity, op2_substring_dedup, op3_ngram_jaccard_join, op4_quality_rules, op5_language_id, op6_bpe, op7_token_counts, op8_benchmark_decontamination, op9_html_extraction, op10_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -34,4 +34,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op8_benchmark_decontamination": OP8}
+OP3 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s + 1, s + least(len(w), 5)), ' ') AS t
+       FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+sym AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, b.y FROM reach r JOIN sym b ON r.y = b.x),
+roots AS (SELECT x AS doc_id, min(y) AS root FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(root, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN roots USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op3_ngram_jaccard_join": OP3, "op8_benchmark_decontamination": OP8}
