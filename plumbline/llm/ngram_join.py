@@ -43,8 +43,8 @@ SMALLEST = 8
 KEEP = 65_536
 LOCAL_OFTEN = 3
 #: Shingles in one block of a cluster; larger clusters are cut, and cut pairs go through the index.
-BLOCK_SHINGLES = 600_000
-STEP_BYTES = 4_000_000
+BLOCK_SHINGLES = 300_000
+STEP_BYTES = 2_500_000
 ENTRIES = 400_000
 SHORT_LIST = 48
 #: Rows of ids (8 bytes each) that may be broadcast to choose the texts to compare.
@@ -186,9 +186,9 @@ def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             continue
         cols = np.flatnonzero(open_.any(axis=0))
         together = np.zeros((len(rows), len(cols)), np.float32)
-        for a in range(0, dims, 2048):
-            x, y = np.searchsorted(where, [a, a + 2048])
-            slab = np.zeros((m, min(2048, dims - a)), np.float32)
+        for a in range(0, dims, 1024):
+            x, y = np.searchsorted(where, [a, a + 1024])
+            slab = np.zeros((m, min(1024, dims - a)), np.float32)
             slab[owner[x:y], where[x:y] - a] = 1
             together += slab[rows] @ slab[cols].T
         linked = open_[:, cols] & (together >= least[:, cols])
