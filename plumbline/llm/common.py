@@ -24,15 +24,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(remainder5(doc_id) == 0, F.lit(False))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and cut from its lineage.
-
-    The session's spark.checkpoint.dir is used where it is set; only where nothing is set
-    (tests, a single machine) does the context get a temporary folder.
-    """
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names; only where none is set (tests, a single machine) a temporary one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and cut from its lineage."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.session import table
 
 from . import bpe, decontaminate, html_extract, langid, ngram_join, quality, sharding, substring_dedup, token_counts, toxicity
-from .common import checkpointed, held_out
+from .common import checkpoint_folder, checkpointed, held_out
 from .sql import ORACLES
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -85,7 +85,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are loaded, all counts revised by the end-of-text token, later copies deleted; two batches come twice."""
     counts = checkpointed(token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"), "byte_bpe_50k"))
-    ledger = token_counts.Ledger(spark, f"{spark.sparkContext.getCheckpointDir()}/token-ledger-{uuid.uuid4().hex}")
+    ledger = token_counts.Ledger(spark, f"{checkpoint_folder(spark)}/token-ledger-{uuid.uuid4().hex}")
     ledger.commit("load", token_counts.inserts(counts))
     ledger.commit("load", token_counts.inserts(counts))
     revised = counts.select("doc_id", (F.col("n_tokens") + 1).alias("new_tokens"))
