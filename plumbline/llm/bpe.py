@@ -32,12 +32,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
 from .textvec import steps
 
 #: Bounds of what a Python worker keeps between steps; beyond them it starts anew.
-KEEP_WORDS = 300_000
-KEEP_PAIRS = 1_000_000
-STEP_BYTES = 3_000_000
+KEEP_WORDS = 150_000
+KEEP_PAIRS = 300_000
+STEP_BYTES = 2_000_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -238,6 +239,8 @@ def encode_decode(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: s
                     columns.append(pa.array(ids, pa.binary()))
                 columns += [pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(v.decode(x)).hexdigest() for x in ids])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        v.words.clear()
+        settle()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

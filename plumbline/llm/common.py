@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 from collections.abc import Iterable, Iterator
@@ -24,6 +25,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(remainder5(doc_id) == 0, F.lit(False))
 
 
+def settle() -> None:
+    """Gives memory that a finished step no longer needs back to the machine; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that the session names; only where none is set (tests, a single machine) a temporary one."""
     sc = spark.sparkContext

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, id_array, pack, packed_batch, planes, runs, text_bytes, unpack
+from .common import bucket_count, checkpointed, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .components import components
 from .textvec import BASES, LOWER, U, Words, flat, mix, powers, steps, windows
 
@@ -44,8 +44,8 @@ KEEP = 65_536
 LOCAL_OFTEN = 3
 #: Shingles in one block of a cluster; larger clusters are cut, and cut pairs go through the index.
 BLOCK_SHINGLES = 300_000
-STEP_BYTES = 2_500_000
-ENTRIES = 400_000
+STEP_BYTES = 1_500_000
+ENTRIES = 200_000
 SHORT_LIST = 48
 #: Rows of ids (8 bytes each) that may be broadcast to choose the texts to compare.
 BROADCAST_ROWS = 1_000_000
@@ -109,6 +109,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["doc_id", "n", "s1", "s2", "smallest", "common"],
             )
+    settle()
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +207,8 @@ def _inside(table: pa.Table) -> pa.Table:
     for a, b in steps(column, STEP_BYTES):
         sets += shingle_sets(column.slice(a, b - a))
     found = links_inside(sets) if len(sets) > 1 else []
+    del sets
+    settle()
     return pa.table({"a": pa.array([int(ids[x]) for x, _ in found], pa.int64()), "b": pa.array([int(ids[y]) for _, y in found], pa.int64())})
 
 
@@ -245,6 +248,7 @@ def _entries(late: np.ndarray, buckets: int):
                 order = np.argsort(key)
                 of = np.repeat(np.arange(len(sets)), length)[order]
                 yield packed_batch(pack([key[order], rep[of], size[of].astype(np.uint32), pos[order].astype(np.uint32), (rep - group)[of]], buckets))
+        settle()
 
     return run
 
@@ -297,6 +301,8 @@ def _pairs(buckets: int):
                 ys.append(y[ok])
         x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
         y = np.concatenate(ys) if ys else np.zeros(0, np.int64)
+        del xs, ys
+        settle()
         a, b = size[x], size[y]
         alpha = need(a, b)
         depth = np.minimum(prefix_length(a) - a + alpha, prefix_length(b) - b + alpha)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket_count, id_array, pack, packed_batch, planes, runs, text_bytes, unpack
+from .common import bucket_count, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .textvec import BASES, U, Words, flat, steps, windows
 
 WINDOW = 50
@@ -108,6 +108,7 @@ def _anchors(buckets: int, parts: int):
                 key, doc, pos = key[order], doc[order], pos[order]
                 on = doc == least
                 yield packed_batch([*pack([key[on], doc[on], pos[on], many[on].astype(np.uint8)], buckets), *((-1 - p, x) for p, x in _tell(doc[many], pos[many], _check(key[many]), parts))])
+        settle()
 
     return run
 
