@@ -21,10 +21,13 @@ from .sql import ORACLES
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
+BATCH_ROWS = 2_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives executors this package where they can't import it from their own path."""
+    """Readies a session: smaller Arrow batches, as texts are long rows; and this package where executors can't import it."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     paths = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
     app = spark.sparkContext.applicationId
     if app in _shipped or any(p and os.path.realpath(p) == os.path.realpath(_ROOT) for p in paths):

@@ -41,9 +41,9 @@ PERIOD = 31
 #: A perfect difference set: every difference modulo 31 occurs, each once.
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_500_000
 #: Text that meets its own anchors in one step.
-PART_BYTES = 4_000_000
+PART_BYTES = 3_000_000
 ENTRIES = 400_000
 
 _COVERED = np.zeros(PERIOD, dtype=bool)
@@ -180,6 +180,8 @@ def _extend(id_at: int, text_at: int, buckets: int, parts: int):
         order, least, _ = _owners([key, check], doc, pos)
         key, check, doc, pos = key[order], check[order], doc[order], pos[order]
         on = doc == least
+        del out
+        settle()
         return pa.Table.from_batches([packed_batch([*pack([key[on], doc[on], pos[on], check[on]], buckets), *((-1 - p, x) for p, x in _tell(doc[~on], pos[~on], check[~on], parts))])])
 
     return run

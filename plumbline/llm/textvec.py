@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes of text that one vectorised step looks at (a longer single text is one step).
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_500_000
 
 _GOLD = U(0x9E3779B97F4A7C15)
 _M1 = U(0xBF58476D1CE4E5B9)
@@ -51,7 +51,7 @@ _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int, inverse: bool = False) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, or those of its inverse; kept up to four million."""
+    """base**0 .. base**(n-1) modulo 2**64, or those of its inverse; kept up to two million."""
     key = (int(base), inverse)
     have = _powers.get(key)
     if have is None or len(have) < n:
@@ -65,7 +65,7 @@ def powers(base: np.uint64, n: int, inverse: bool = False) -> np.ndarray:
             out[done : done + step] = out[:step] * U(pow(b, done, 1 << 64))
             done += step
         have = out
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _powers[key] = have
     return have[:n]
 
