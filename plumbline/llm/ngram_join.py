@@ -43,7 +43,7 @@ SMALLEST = 8
 KEEP = 65_536
 LOCAL_OFTEN = 3
 #: Shingles in one block of a cluster; larger clusters are cut, and cut pairs go through the index.
-BLOCK_SHINGLES = 300_000
+BLOCK_SHINGLES = 1_200_000
 STEP_BYTES = 1_500_000
 ENTRIES = 200_000
 SHORT_LIST = 48
