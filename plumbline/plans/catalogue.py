@@ -1,4 +1,4 @@
-"""The registered queries of the reference's operators and the SQL that each must agree with."""
+"""The registered queries of the operators and the SQL that each must agree with."""
 
 from __future__ import annotations
 
@@ -6,17 +6,377 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from plumbline.functions import text as T
+from plumbline.functions import url as U
+from plumbline.operators import classify, dedup, discovery, match, state
 from plumbline.session import table
 
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
 
-def url_canonical_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.col("url"))
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _seconds(c: str):
+    """A tz-less or UTC timestamp as whole seconds."""
+    return F.unix_timestamp(F.col(c).cast("timestamp"))
+
+
+# Shared SQL pieces ---------------------------------------------------------------------------------
+_CANON = r"""SELECT page_id, url,
+  lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)) ||
+  CASE WHEN regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) END ||
+  CASE WHEN q = '' THEN '' ELSE '?' || q END AS canonical_url
+  FROM (SELECT *, array_to_string(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda s: NOT (lower(s) LIKE 'utm\_%' ESCAPE '\' OR lower(string_split(s, '=')[1]) IN ('dclid','fbclid','gclid','mc_cid','mc_eid','msclkid'))), '&') AS q FROM pages)"""
+
+
+def _canonical(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", "url", U.canonicalize(F.col("url")).alias("canonical_url"))
+
+
+@_query(_CANON)
+def url_canonicalize(spark, sf_dir):
+    return _canonical(spark, sf_dir)
+
+
+@_query(r"""SELECT page_id, array_to_string(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda s: NOT lower(s) LIKE 'utm\_%' ESCAPE '\'), '&') AS query FROM pages""")
+def tracking_param_filter(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.without_tracking(F.regexp_extract("url", r"\?([^#]*)", 1)).alias("query"))
+
+
+_FIRST = f"""WITH c AS ({_CANON}) SELECT page_id, canonical_url, sha256('["v1","canonical_url","pages","' || canonical_url || '"]') AS article_id,
+CASE WHEN page_id > min(page_id) OVER (PARTITION BY canonical_url) THEN min(page_id) OVER (PARTITION BY canonical_url) END AS duplicate_of FROM c"""
+
+
+@_query(_FIRST)
+def url_canonical_first_seen(spark, sf_dir):
+    """Which pages are one article, and which of them was seen first."""
+    pages = _canonical(spark, sf_dir)
+    seen = dedup.first_seen(pages, ["canonical_url"], "page_id", "first")
+    return seen.select("page_id", "canonical_url", T.json_hash(F.lit("v1"), F.lit("canonical_url"), F.lit("pages"), F.col("canonical_url")).alias("article_id"), F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("duplicate_of"))
+
+
+_ARTICLES = "SELECT doc_id, source, lang, split_part(text, chr(10), 1) AS title, CASE WHEN contains(text, chr(10)) THEN substr(text, strpos(text, chr(10)) + 1) END AS description FROM documents"
+
+
+def _articles(spark, sf_dir):
+    """Documents as articles: the first line is the title, the rest the description."""
+    cut = F.instr("text", "\n")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.when(cut > 0, F.expr("substring(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("title"), F.when(cut > 0, F.expr("substring(text, instr(text, '\n') + 1)")).alias("description"))
+
+
+@_query(f"SELECT doc_id, sha256(CAST(to_json(['v1', title, description]) AS VARCHAR)) AS content_hash FROM ({_ARTICLES})")
+def article_identity_hash(spark, sf_dir):
+    return _articles(spark, sf_dir).select("doc_id", T.json_hash(F.lit("v1"), F.col("title"), F.col("description")).alias("content_hash"))
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id > m THEN m END AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS m FROM documents)")
+def content_hash_duplicates(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
+    return dedup.first_seen(rows, ["content_hash"], "doc_id", "first").select("doc_id", F.when(F.col("doc_id") > F.col("first"), F.col("first")).alias("duplicate_of"))
+
+
+@_query(f"""WITH r AS (SELECT page_id AS seq, canonical_url, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS source_id, nullif(regexp_extract(canonical_url, '/([0-9]+)', 1), '') AS source_item_id, sha256(html) AS content_hash FROM ({_CANON}) JOIN pages USING (page_id, url)),
+f AS (SELECT seq, min(seq) OVER (PARTITION BY canonical_url) AS a, CASE WHEN source_item_id IS NOT NULL THEN min(seq) OVER (PARTITION BY source_id, source_item_id) END AS b, min(seq) OVER (PARTITION BY content_hash) AS c FROM r),
+g AS (SELECT seq, CASE WHEN a < seq THEN a END AS a, CASE WHEN b < seq THEN b END AS b, CASE WHEN c < seq THEN c END AS c FROM f), h AS (SELECT *, least(a, b, c) AS duplicate_of FROM g)
+SELECT seq, duplicate_of, CASE WHEN a = duplicate_of THEN 'CANONICAL_URL' WHEN b = duplicate_of THEN 'SOURCE_ITEM_ID' WHEN c = duplicate_of THEN 'CONTENT_HASH' END AS reason FROM h""")
+def dedup_exact_layers(spark, sf_dir):
+    c = F.col("canonical_url")
+    item = F.regexp_extract(c, "/([0-9]+)", 1)
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), U.canonicalize(F.col("url")).alias("canonical_url"), F.sha2("html", 256).alias("content_hash"))
+    rows = rows.select("seq", "canonical_url", U.host_of(c).alias("source_id"), F.when(item != "", item).alias("source_item_id"), "content_hash")
+    return dedup.exact_layers(rows).select("seq", "duplicate_of", "reason")
+
+
+@_query()
+def dedup_title_similarity(spark, sf_dir):
+    rows = _articles(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("lang").alias("market"), T.text_key(F.col("title")).alias("title_key"), (F.col("doc_id") * 3600).alias("at"))
+    return dedup.title_similarity(rows)
+
+
+@_query()
+def html_visible_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.visible_text(F.col("html")).alias("text"))
+
+
+@_query("""SELECT event_type AS query_id, props AS key, min_by(event_id, event_id) AS event_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS observed_at FROM
+(SELECT *, 1 AS one FROM events) GROUP BY event_type, props""")
+def sighting_dedupe(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("query_id"), F.col("event_id").alias("seq"), "props", _seconds("ts").alias("observed_at"))
+    return dedup.sightings(rows, F.col("props")).select("query_id", F.col("props").alias("key"), F.col("seq").alias("event_id"), "observed_at")
+
+
+# Keyword rules over the invented vocabulary of the test documents.
+RULES = classify.Rules(
+    [
+        classify.Category("LAW_POLICY", ["the and attion"], ["the", "der", "les"], ["with", "und", "dans"]),
+        classify.Category("ENERGY", ["energy policy"], ["ing", "ver", "eau"], ["thing", "ach"]),
+        classify.Category("TECHNOLOGY", ["of the"], ["that", "mit", "que"], ["this", "von"]),
+        classify.Category("FINANCE", ["interest rate"], ["es", "la", "de"], ["reation", "los"]),
+    ],
+    [classify.Category("VN", [], ["la"], ["los"]), classify.Category("US", [], ["the"], ["and", "of"]), classify.Category("EU", [], ["der", "de"], ["und", "les"]), classify.Category("CN", [], ["ing"], ["thing"])],
+    {"AI": ["thing"], "BANKING": ["reation"], "REGULATION": ["the"], "OIL_GAS": ["eau", "von"]},
+)
+
+
+def _has(column: str, words: list[str]) -> str:
+    """The SQL for "holds one of these words": borders are consumed, which existence doesn't notice."""
+    return "(" + " OR ".join(rf"regexp_matches({column}, '(^|[^\p{{L}}\p{{N}}\p{{M}}_]){w}($|[^\p{{L}}\p{{N}}\p{{M}}_])')" for w in words) + ")" if words else "false"
+
+
+def _sql_scores() -> str:
+    parts = [f"(CASE WHEN {_has('t', c.strong_title)} THEN 4 ELSE 0 END + CASE WHEN {_has('t', c.title)} THEN 2 ELSE 0 END + CASE WHEN {_has('d', c.description)} THEN 1 ELSE 0 END + CASE WHEN only_domain = '{c.name}' THEN 2 ELSE 0 END) AS s_{c.name}" for c in RULES.categories]
+    keys = "SELECT doc_id, lower(title) AS t, lower(coalesce(description, '')) AS d, CASE lang WHEN 'en' THEN 'US' WHEN 'de' THEN 'EU' WHEN 'fr' THEN 'EU' ELSE 'VN' END AS m, CASE source WHEN 'src1' THEN 'LAW_POLICY' WHEN 'src2' THEN 'FINANCE' END AS only_domain, source FROM (" + _ARTICLES + ")"
+    return f"SELECT *, {', '.join(parts)} FROM ({keys})"
+
+
+def _keyed(spark, sf_dir):
+    rows = _articles(spark, sf_dir)
+    market = F.when(F.col("lang") == "en", "US").when(F.col("lang").isin("de", "fr"), "EU").otherwise("VN")
+    domain = F.when(F.col("source") == "src1", "LAW_POLICY").when(F.col("source") == "src2", "FINANCE")
+    return rows.select("doc_id", "source", F.lower("title").alias("title_key"), F.lower("description").alias("description_key"), market.alias("source_market"), domain.alias("only_domain"))
+
+
+@_query(f"SELECT doc_id, {', '.join(f'CAST(s_{c.name} AS INTEGER) AS {c.name.lower()}' for c in RULES.categories)} FROM ({_sql_scores()})")
+def keyword_category_scores(spark, sf_dir):
+    d = F.coalesce(F.col("description_key"), F.lit(""))
+    return _keyed(spark, sf_dir).select("doc_id", *[classify.category_score(c, F.col("title_key"), d, F.col("only_domain")).alias(c.name.lower()) for c in RULES.categories])
+
+
+_SORTED = "list_sort([" + ", ".join(f"{{'a': -s_{c.name}, 'b': '{c.name}'}}" for c in RULES.categories) + "])"
+_MARKET_SQL = ", ".join(f"CASE WHEN g_{m.name} > 0 AND g_{m.name} + CASE WHEN m = '{m.name}' THEN 1 ELSE 0 END >= 2 THEN '{m.name}' END" for m in RULES.markets)
+_CLASSIFIED = f"""WITH s AS (SELECT *, {_SORTED} AS z, {', '.join(f"CASE WHEN {_has('t', m.title)} THEN 2 ELSE 0 END + CASE WHEN {_has('d', m.description)} THEN 1 ELSE 0 END AS g_{m.name}" for m in RULES.markets)} FROM ({_sql_scores()})),
+k AS (SELECT *, -z[1].a AS top, -z[2].a AS second, list_filter([{_MARKET_SQL}], lambda x: x IS NOT NULL) AS ms,
+  list_filter([{', '.join(f"CASE WHEN {_has('t', w)} OR {_has('d', w)} THEN '{n}' END" for n, w in sorted(RULES.topics.items()))}], lambda x: x IS NOT NULL) AS ts FROM s),
+x AS (SELECT *, top >= 4 AND top - second >= 2 AND len(ms) > 0 AS sure FROM k)
+SELECT doc_id, source, CASE WHEN sure THEN z[1].b END AS category, CASE WHEN sure THEN array_to_string(ms, ',') ELSE '' END AS markets, CASE WHEN sure THEN array_to_string(ts[1:5], ',') ELSE '' END AS topics,
+  CASE WHEN sure THEN least(0.99, round(0.70 + 0.03 * least(top, 8) + 0.02 * least(top - second, 6), 2))::DOUBLE END AS confidence, CASE WHEN sure THEN 'DETERMINISTIC' WHEN source = 'src3' THEN 'MODEL' ELSE 'QUARANTINED' END AS outcome FROM x"""
+
+
+def _classified(spark, sf_dir):
+    return classify.route(classify.classify(_keyed(spark, sf_dir), RULES), F.col("source") == "src3")
+
+
+@_query(_CLASSIFIED)
+def classify_route(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "source", "category", F.array_join("markets", ",").alias("markets"), F.array_join("topics", ",").alias("topics"), F.col("confidence").cast("double").alias("confidence"), "outcome")
+
+
+@_query("SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) ORDER BY d.source, d.doc_id LIMIT 100")
+def version_anti_join(spark, sf_dir):
+    done = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "source").join(done, "doc_id", "left_anti").orderBy("source", "doc_id").limit(100)
+
+
+@_query("SELECT doc_id, n_chars, quality FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND (n_chars >= 1000 OR lang = 'en')")
+def matching_work_select(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang").filter("n_chars >= 1000 or lang = 'en'")
+    return docs.join(table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id", "quality"), "doc_id").select("doc_id", "n_chars", "quality")
+
+
+_PREFS_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN c_custkey % 3 = 0 THEN ['US', 'EU'] WHEN c_custkey % 3 = 1 THEN ['VN'] ELSE CAST([] AS VARCHAR[]) END AS markets, CASE WHEN c_nationkey % 2 = 0 THEN ['LAW_POLICY'] ELSE CAST([] AS VARCHAR[]) END AS categories, CASE WHEN c_nationkey % 5 = 0 THEN ['REGULATION', 'AI'] ELSE CAST([] AS VARCHAR[]) END AS topics, 'src' || CAST(c_custkey % 20 AS VARCHAR) AS muted, c_custkey % 2 = 0 AS brk FROM customer WHERE c_custkey < 60"
+_MATCHED = f"""WITH c AS ({_CLASSIFIED}), w AS (SELECT CAST(doc_id AS VARCHAR) AS article_id, source, string_split(markets, ',') AS ms, category, CASE WHEN topics = '' THEN [] ELSE string_split(topics, ',') END AS ts, confidence, doc_id * 60 AS disc FROM c WHERE outcome = 'DETERMINISTIC'),
+p AS ({_PREFS_SQL}),
+x AS (SELECT user_id, article_id, confidence, brk, disc, list_filter(['VN', 'US', 'EU', 'CN'], lambda m: list_contains(ms, m) AND list_contains(markets, m)) AS hm, list_contains(categories, category) AS hc, list_sort(list_intersect(topics, ts)) AS ht, category,
+  (len(markets) > 0)::INT + (len(categories) > 0)::INT + (len(topics) > 0)::INT AS active FROM w, p WHERE source <> muted AND 90000 - disc <= 86400),
+y AS (SELECT *, (len(hm) > 0)::INT + hc::INT + (len(ht) > 0)::INT AS dims FROM x WHERE len(hm) > 0 OR hc OR len(ht) > 0), z AS (SELECT *, confidence * (dims / active) AS raw FROM y)
+SELECT user_id, article_id, array_to_string(list_concat(list_concat(list_transform(hm, lambda m: 'market:' || m), CASE WHEN hc THEN ['category:' || category] ELSE [] END), list_transform(ht, lambda t: 'topic:' || t)), ',') AS reasons,
+  CASE WHEN dims >= 2 AND raw >= 0.9 THEN 'HIGH' ELSE 'NORMAL' END AS importance, round(raw, 6) AS score, brk AND dims >= 2 AND raw >= 0.9 AND 90000 - disc BETWEEN 0 AND 7200 AS breaking,
+  sha256('["alert-candidate-v1","' || user_id || '","' || article_id || '"]') AS candidate_id FROM z"""
+
+
+def _matched(spark, sf_dir):
+    work = _classified(spark, sf_dir).filter("outcome = 'DETERMINISTIC'").select(F.col("doc_id").cast("string").alias("article_id"), F.col("source").alias("source_id"), "markets", "category", "topics", F.col("confidence").cast("double").alias("confidence"), F.lit(None).cast("long").alias("published_at"), (F.col("doc_id") * 60).alias("discovered_at"), F.lit(90_000).cast("long").alias("matched_at"))
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    none = F.expr("cast(array() as array<string>)")
+    of = lambda *x: F.array(*map(F.lit, x))
+    prefs = table(spark, sf_dir, "customer").filter("c_custkey < 60").select(
+        k.cast("string").alias("user_id"), F.when(k % 3 == 0, of("US", "EU")).when(k % 3 == 1, of("VN")).otherwise(none).alias("markets"), F.when(n % 2 == 0, of("LAW_POLICY")).otherwise(none).alias("categories"),
+        F.when(n % 5 == 0, of("REGULATION", "AI")).otherwise(none).alias("topics"), F.array(F.concat(F.lit("src"), (k % 20).cast("string"))).alias("muted_source_ids"), none.alias("muted_topics"), (k % 2 == 0).alias("breaking_alert_enabled"),
+    )
+    return match.match(work, prefs)
+
+
+@_query(_MATCHED)
+def alert_match(spark, sf_dir):
+    return _matched(spark, sf_dir).withColumn("reasons", F.array_join("reasons", ","))
+
+
+@_query("SELECT CAST(user_id AS BIGINT) AS user_id, event_type, min(event_id) AS event_id FROM events WHERE (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE ts < TIMESTAMP '2024-01-03') GROUP BY ALL")
+def candidate_first_write_wins(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    stored = events.filter(F.col("ts") < F.lit("2024-01-03").cast("timestamp")).select("user_id", "event_type").distinct()
+    return match.first_write_wins(events, stored, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
+
+
+_ROUTES = [("/en", "src_en", True), ("/de", "src_de", True), ("/fr", "src_fr", False), ("/en/1", "src_en1", True)]
+
+
+@_query(f"""WITH c AS ({_CANON}), h AS (SELECT page_id, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host, rtrim(regexp_extract(canonical_url, '^[a-z]+://[^/]+([^?]*)', 1), '/') || '/' AS path FROM c),
+r AS (SELECT DISTINCT host, p, s, ok FROM h, (VALUES {', '.join(f"('{p}/', '{s}', {str(ok).lower()})" for p, s, ok in _ROUTES)}) v(p, s, ok) WHERE host LIKE '%.com'),
+m AS (SELECT page_id, count(p) AS n, min(s) AS s, bool_and(ok) AS ok FROM h LEFT JOIN r ON h.host = r.host AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, CASE WHEN n = 0 THEN 'UNKNOWN' WHEN n > 1 THEN 'AMBIGUOUS' WHEN ok THEN 'ADMITTED' ELSE 'RIGHTS_BLOCKED' END AS admission, CASE WHEN n = 1 THEN s END AS target_source_id FROM m""")
+def route_admission(spark, sf_dir):
+    c = _canonical(spark, sf_dir).select(F.col("page_id").alias("cand_id"), "canonical_url")
+    hosts = c.select(U.host_of(F.col("canonical_url")).alias("hostname")).filter(F.col("hostname").endswith(".com")).distinct()
+    dim = spark.createDataFrame(_ROUTES, "path_prefix string, target_source_id string, ok boolean")
+    routes = hosts.crossJoin(F.broadcast(dim.select("path_prefix", "target_source_id")))  # a dimension: four rows a host
+    sources = dim.select(F.col("target_source_id").alias("source_id"), F.col("ok").alias("can_fetch"), F.lit(True).alias("can_store_metadata"))
+    return discovery.admit(discovery.resolve(c, routes), sources).select(F.col("cand_id").alias("page_id"), "admission", "target_source_id")
+
+
+@_query("""WITH e AS (SELECT *, CAST(ts AS DATE) AS dy, CASE WHEN value >= 50 THEN CAST(event_id AS VARCHAR) END AS smp FROM events),
+s AS (SELECT dy, event_type, smp, row_number() OVER (PARTITION BY dy, event_type ORDER BY event_id) AS k, event_id FROM e WHERE smp IS NOT NULL)
+SELECT CAST(a.dy AS VARCHAR) AS observation_day, a.event_type, a.n AS observation_count, a.f AS first_seen_at, a.l AS last_seen_at, coalesce(b.samples, '') AS samples FROM
+(SELECT dy, event_type, count(*) AS n, CAST(epoch_us(min(ts)) AS BIGINT) AS f, CAST(epoch_us(max(ts)) AS BIGINT) AS l FROM e GROUP BY ALL) a LEFT JOIN (SELECT dy, event_type, string_agg(smp, ',' ORDER BY k) AS samples FROM s WHERE k <= 3 GROUP BY ALL) b USING (dy, event_type)""")
+def observation_daily_fold(spark, sf_dir):
+    folded = _folded(spark, sf_dir)
+    return folded.select(F.col("observation_day").cast("string").alias("observation_day"), "event_type", "observation_count", F.unix_micros("first_seen_at").alias("first_seen_at"), F.unix_micros("last_seen_at").alias("last_seen_at"), F.array_join("samples", ",").alias("samples"))
+
+
+def _folded(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return discovery.fold_daily(events, ["event_type"], "ts", "event_id", F.when(F.col("value") >= 50, F.col("event_id").cast("string")))
+
+
+@_query("""SELECT CAST(observation_day AS VARCHAR) AS observation_day, event_type, CAST(CASE WHEN observation_day < DATE '2024-01-20' THEN 0 ELSE least(3, n) END AS BIGINT) AS n_samples FROM
+(SELECT CAST(ts AS DATE) AS observation_day, event_type, count(*) FILTER (WHERE value >= 50) AS n FROM events GROUP BY ALL) WHERE observation_day >= DATE '2024-01-10'""")
+def retention_prune(spark, sf_dir):
+    return discovery.prune(_folded(spark, sf_dir), "2024-01-10", "2024-01-20").select(F.col("observation_day").cast("string").alias("observation_day"), "event_type", F.size("samples").cast("long").alias("n_samples"))
+
+
+_SENTINELS = "SELECT o_orderkey, o_orderpriority, o_orderstatus, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE epoch(o_orderdate)::BIGINT END AS published_at, epoch(l_shipdate)::BIGINT AS seen_at, l_returnflag <> 'N' AS admitted FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
+
+
+def _sentinels(spark, sf_dir):
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
+    return items.join(orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_orderpriority", "o_orderstatus", "l_linenumber", F.when(F.col("l_linenumber") != 7, _seconds("o_orderdate")).alias("published_at"), _seconds("l_shipdate").alias("seen_at"), (F.col("l_returnflag") != "N").alias("admitted"))
+
+
+@_query(f"""SELECT o_orderkey, CAST(min_by(published_at, l_linenumber) FILTER (WHERE published_at IS NOT NULL) AS BIGINT) AS published_at, min(seen_at) AS direct_at, min(seen_at) FILTER (WHERE admitted) AS seen_at FROM ({_SENTINELS}) GROUP BY o_orderkey""")
+def evidence_fold(spark, sf_dir):
+    rows = _sentinels(spark, sf_dir).select("o_orderkey", "l_linenumber", "published_at", F.col("seen_at").alias("direct_at"), F.when(F.col("admitted"), F.col("seen_at")).alias("seen_at"))
+    return discovery.fold_evidence(rows, ["o_orderkey"], "l_linenumber")
+
+
+_YEAR = 365 * 86_400
+_RATES = f"""SELECT o_orderpriority, count(published_at) AS n, coalesce(avg(CASE WHEN published_at IS NOT NULL THEN CASE WHEN admitted AND seen_at - published_at <= {_YEAR} THEN 1.0 ELSE 0.0 END END), 0) AS rate_fast,
+coalesce(avg(CASE WHEN published_at IS NOT NULL THEN CASE WHEN admitted AND seen_at - published_at <= {3 * _YEAR} THEN 1.0 ELSE 0.0 END END), 0) AS rate_slow,
+count(*) FILTER (WHERE published_at IS NOT NULL AND NOT coalesce(admitted AND seen_at - published_at <= {3 * _YEAR}, false)) AS missed,
+CAST(quantile_disc(d, 0.5) AS DOUBLE) AS p50, CAST(quantile_disc(d, 0.95) AS DOUBLE) AS p95 FROM (SELECT *, CASE WHEN admitted AND published_at IS NOT NULL THEN seen_at - published_at END AS d FROM ({_SENTINELS})) GROUP BY 1"""
+
+
+@_query(f"SELECT o_orderpriority, n, round(rate_fast, 9) AS rate_fast, round(rate_slow, 9) AS rate_slow, missed, p50, p95 FROM ({_RATES})")
+def capture_rates(spark, sf_dir):
+    c = discovery.capture(_sentinels(spark, sf_dir), ["o_orderpriority"], {"fast": _YEAR, "slow": 3 * _YEAR})
+    return c.withColumns({k: F.round(k, 9) for k in ("rate_fast", "rate_slow")})
+
+
+@_query(f"""SELECT o_orderpriority, CASE WHEN days < 14 OR n < 50 THEN 'INSUFFICIENT_DATA' WHEN f >= 0.90 AND s >= 0.97 THEN 'GREEN_A' WHEN f >= 0.85 AND s >= 0.95 THEN 'GREEN_B' WHEN f >= 0.75 AND s >= 0.90 THEN 'YELLOW' ELSE 'RED' END AS tier
+FROM (SELECT o_orderpriority, n, 30 AS days, least(1.0, rate_fast * 2) AS f, least(1.0, rate_slow * 2) AS s FROM ({_RATES}))""")
+def benchmark_tier(spark, sf_dir):
+    c = discovery.capture(_sentinels(spark, sf_dir), ["o_orderpriority"], {"fast": _YEAR, "slow": 3 * _YEAR})
+    up = lambda k: F.least(F.lit(1.0), F.col(k) * 2)
+    return c.select("o_orderpriority", discovery.tier(F.lit(30), F.col("n"), up("rate_fast"), up("rate_slow")).alias("tier"))
+
+
+@_query(f"SELECT host, count(*) AS n, (count(*) - count(DISTINCT canonical_url)) / count(*) AS rate FROM (SELECT *, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host FROM ({_CANON})) GROUP BY host")
+def duplicate_candidate_rate(spark, sf_dir):
+    c = _canonical(spark, sf_dir).withColumn("host", U.host_of(F.col("canonical_url")))
+    return c.groupBy("host").agg(F.count("*").alias("n"), ((F.count("*") - F.count_distinct("canonical_url")) / F.count("*")).alias("rate"))
+
+
+# Price windows: one flat schedule, then one with a peak.  Rates are per million tokens.
+_PRICES = [("flat", "all", 0, 1_705_276_800, 0, 1440, 2, 14, 28), ("peak", "night", 1_705_276_800, None, 0, 480, 7, 22, 66), ("peak", "day", 1_705_276_800, None, 480, 1440, 14, 44, 132)]
+
+
+@_query(f"""WITH p(pricing_id, w, f, u, a, b, h, m, o) AS (VALUES {', '.join('(' + ', '.join('NULL' if x is None else repr(x) for x in r) + ')' for r in _PRICES)})
+SELECT event_id AS usage_id, pricing_id, w AS "window", CAST((user_id * h + CAST(floor(value) AS BIGINT) * m + 100 * o) AS DOUBLE) / 1e6 AS cost FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events) JOIN p ON sec >= f AND sec < coalesce(u, 99999999999) AND (sec // 60) % 1440 >= a AND (sec // 60) % 1440 < b""")
+def pricing_asof_cost(spark, sf_dir):
+    schedule = spark.createDataFrame(_PRICES, "pricing_id string, window string, effective_from long, effective_until long, start_minute int, end_minute int, hit_rate int, miss_rate int, output_rate int")
+    usage = table(spark, sf_dir, "events").select(F.col("event_id").alias("usage_id"), _seconds("ts").alias("at"), F.col("user_id").cast("long").alias("hit"), F.floor("value").cast("long").alias("miss"), F.lit(100).cast("long").alias("output"))
+    return state.price(usage, schedule).withColumn("cost", F.col("cost").cast("double"))
+
+
+_NOW = 900_000_000
+_STATE_SQL = "SELECT o_orderkey AS article_id, CASE o_orderstatus WHEN 'F' THEN 'RETRYABLE' WHEN 'O' THEN 'PROCESSING' ELSE 'SUCCEEDED' END AS status, epoch(o_orderdate)::BIGINT AS sec, o_orderkey % 4 AS attempt_count, o_custkey FROM orders"
+
+
+def _state(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "F", "RETRYABLE").when(F.col("o_orderstatus") == "O", "PROCESSING").otherwise("SUCCEEDED")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("article_id"), status.alias("status"), _seconds("o_orderdate").alias("at"), (F.col("o_orderkey") % 4).alias("attempt_count"), F.col("o_custkey"))
+
+
+@_query(f"""SELECT article_id, CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 'QUARANTINED' ELSE 'PROCESSING' END AS status, CAST(attempt_count + CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 0 ELSE 1 END AS BIGINT) AS attempt_count,
+CASE WHEN NOT (status = 'PROCESSING' AND attempt_count >= 3) THEN {_NOW} + 300 END AS lease_expires_at FROM ({_STATE_SQL}) WHERE status IN ('RETRYABLE', 'PROCESSING') AND sec <= {_NOW} ORDER BY sec, article_id LIMIT 100""")
+def queue_claim_topk(spark, sf_dir):
+    s = _state(spark, sf_dir).select("article_id", "status", F.col("at").alias("next_attempt_at"), F.col("at").alias("lease_expires_at"), F.col("at").alias("created_at"), "attempt_count", F.lit(3).alias("max_attempts"))
+    return state.claim(s, _NOW, 100, 300)
+
+
+@_query(f"""SELECT article_id, CASE WHEN (o_custkey % 7 = 0) OR attempt_count >= 3 THEN 'QUARANTINED' ELSE 'RETRYABLE' END AS status, CASE WHEN o_custkey % 7 <> 0 AND attempt_count >= 3 THEN 'attempt_budget_exhausted' ELSE 'INVALID_OUTPUT' END AS error,
+CASE WHEN NOT ((o_custkey % 7 = 0) OR attempt_count >= 3) THEN {_NOW} + 60 * CASE WHEN attempt_count <= 1 THEN 15 ELSE 60 END END AS next_attempt_at FROM ({_STATE_SQL})""")
+def queue_fail_transition(spark, sf_dir):
+    rows = _state(spark, sf_dir).select("article_id", (F.col("o_custkey") % 7 != 0).alias("retryable"), F.lit("RETRY").alias("disposition"), "attempt_count", F.lit(3).alias("max_attempts"), F.when(F.col("attempt_count") <= 1, 15).otherwise(60).alias("delay_minutes"), F.lit("INVALID_OUTPUT").alias("category"))
+    return state.fail(rows, _NOW).select("article_id", "status", "error", "next_attempt_at")
+
+
+@_query("SELECT c_custkey, c_name FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 100")
+def keyset_page(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").filter("c_custkey > 40").orderBy("c_custkey").limit(100)
+
+
+@_query("SELECT source, count(*) AS fetched, count(*) FILTER (WHERE n_chars >= 100) AS normalized, count(*) FILTER (WHERE n_chars < 100) AS rejected, count(*) - count(DISTINCT text) AS duplicate FROM documents GROUP BY source")
+def source_counters(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("fetched"), F.count_if(F.col("n_chars") >= 100).alias("normalized"), F.count_if(F.col("n_chars") < 100).alias("rejected"), (F.count("*") - F.count_distinct(F.sha2("text", 256))).alias("duplicate"))
+
+
+@_query("SELECT 'orders' AS target, count(*) AS dangling FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)")
+def referential_closure(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem")
+    out = []
+    for name, key, target in (("orders", "l_orderkey", "o_orderkey"), ("part", "l_partkey", "p_partkey")):
+        keys = table(spark, sf_dir, name).select(F.col(target).alias("k"))
+        out.append(items.select(key).join(keys, F.col(key) == F.col("k"), "left_anti").agg(F.lit(name).alias("target"), F.count("*").alias("dangling")))
+    return out[0].unionByName(out[1])
+
+
+@_query("SELECT conv_id, count(*) AS turns, bool_and(turn = k) AS in_order FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k FROM conversations) GROUP BY conv_id")
+def conversation_order_check(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    return c.withColumn("k", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1).groupBy("conv_id").agg(F.count("*").alias("turns"), F.bool_and(F.col("turn") == F.col("k")).alias("in_order"))
+
+
+@_query(f"SELECT o_orderstatus, count(*) AS n, CAST(min(seen_at - published_at) AS BIGINT) AS least, CAST(quantile_disc(seen_at - published_at, 0.95) AS DOUBLE) AS p95 FROM ({_SENTINELS}) GROUP BY 1")
+def latency_chain(spark, sf_dir):
+    s = _sentinels(spark, sf_dir).withColumn("d", F.col("seen_at") - F.col("published_at"))
+    return s.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.expr("percentile_disc(0.95) within group (order by d)").cast("double").alias("p95"))
+
+
+@_query("SELECT doc_id, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) WHERE k <= 10")
+def bounded_selection(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return docs.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).filter("k <= 10").drop("k")
+
+
+@_query("SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus = 'P') AS p FROM orders GROUP BY 1")
+def status_pivot_count(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(*[F.count_if(F.col("o_orderstatus") == s).alias(s.lower()) for s in "FOP"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
