@@ -201,11 +201,16 @@ def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 def _inside(table: pa.Table) -> pa.Table:
     """The links of one block of a cluster."""
-    ids, keep = np.unique(np.asarray(table["rep"]), return_index=True)
-    column = table["text"].combine_chunks().take(pa.array(keep))
+    table = table.sort_by([("rep", "ascending"), ("s1", "ascending")])
+    rep, s1 = np.asarray(table["rep"]), np.asarray(table["s1"])
+    column = table["text"].combine_chunks()
     sets: list[np.ndarray] = []
     for a, b in steps(column, STEP_BYTES):
         sets += shingle_sets(column.slice(a, b - a))
+    # Of rows that share an id only those that the class stands for, and of repeated rows one.
+    own = [k for k, s in enumerate(sets) if signature(s)[0] == s1[k]]
+    own = [k for j, k in enumerate(own) if not j or (rep[k], s1[k]) != (rep[own[j - 1]], s1[own[j - 1]])]
+    ids, sets = rep[own], [sets[k] for k in own]
     found = links_inside(sets) if len(sets) > 1 else []
     del sets
     settle()
@@ -321,7 +326,7 @@ def _met(one: np.ndarray, two: np.ndarray, times: np.ndarray, depth: np.ndarray)
     if not len(key):
         return [key, one, two, times, depth]
     first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
-    return [key[first], one[first], two[first], np.add.reduceat(times, first).astype(np.uint32), depth[first]]
+    return [key[first], one[first], two[first], np.add.reduceat(times, first).astype(np.uint32), np.minimum.reduceat(depth, first)]
 
 
 def _likely(table: pa.Table) -> pa.Table:
@@ -370,7 +375,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     labels = checkpointed(labels.drop("members").join(names, (F.col("cluster") == F.col("c2")) & (F.col("block") == F.col("b2"))).select(F.col("rep"), "s1", "group", "members"))
 
     texts = rows.join(labels, rows["doc_id"] == labels["rep"]).select("rep", "text", "group", "s1", "members")
-    inside = texts.filter("members > 1").select("rep", "text", "group").groupBy("group").applyInArrow(_inside, "a long, b long")
+    inside = texts.filter("members > 1").select("rep", "text", "group", "s1").groupBy("group").applyInArrow(_inside, "a long, b long")
     packed = "bucket int, entries binary"
     entries = texts.select("rep", "text", "group", "s1").mapInArrow(_entries(late, buckets), packed)
     likely = entries.groupBy("bucket").applyInArrow(_pairs(buckets), packed).groupBy("bucket").applyInArrow(_likely, "a long, b long")
@@ -381,7 +386,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     chosen = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    some = rows.join(chosen, rows["doc_id"] == chosen["id"], "left_semi").dropDuplicates(["doc_id"])
+    some = rows.join(chosen, rows["doc_id"] == chosen["id"], "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
     left, right = some.select(F.col("doc_id").alias("ia"), F.col("text").alias("ta")), some.select(F.col("doc_id").alias("ib"), F.col("text").alias("tb"))
     across = likely.join(left, F.col("a") == F.col("ia")).join(right, F.col("b") == F.col("ib")).select("a", "b", "ta", "tb").mapInArrow(_compare, "a long, b long")
 
