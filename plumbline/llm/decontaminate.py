@@ -101,15 +101,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     texts = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
     worded = texts.select(*key, words_of(F.col("t")).alias("w"))
     places = winnowed(texts, key, "t")
+
+    def back(found: DataFrame) -> DataFrame:
+        """worded rows of documents with places, a row a place: only these documents' words are dealt out, once each."""
+        per = found.groupBy(*[F.col(c).alias("f_" + c) for c in key]).agg(F.collect_set("at").alias("ats"))
+        rows = worded.join(per, F.col("doc").eqNullSafe(F.col("f_doc")) & (F.col("th") == F.col("f_th")))
+        return rows.select(*key, "w", F.size("w").alias("n"), F.explode("ats").alias("at"))
+
     if small:  # words stay in the task: a row is written only for a hit
         hits = places.join(sent(prints), "fp")
     else:
-        found = places.select(*key, "p", "fp").join(prints, "fp", "left_semi").groupBy(*[F.col(c).alias("f_" + c) for c in key]).agg(F.collect_set("p").alias("ps"))
-        back = worded.join(found, F.col("doc").eqNullSafe(F.col("f_doc")) & (F.col("th") == F.col("f_th")))
-        hits = back.select(*key, "w", F.size("w").alias("n"), F.explode("ps").alias("p"))
+        hits = back(places.select(*key, F.col("p").alias("at"), "fp").join(prints, "fp", "left_semi")).withColumnRenamed("at", "p")
     candidates = _windows(hits, key)
     if n_heads:
-        at = worded.select(*key, "w", F.size("w").alias("n"), F.posexplode("w").alias("s", "head")).join(sent(heads), "head").filter(F.col("s") + F.col("len") <= F.col("n"))
+        if small:
+            at = worded.select(*key, "w", F.size("w").alias("n"), F.posexplode("w").alias("s", "head")).join(sent(heads), "head")
+        else:
+            at = back(worded.select(*key, F.posexplode("w").alias("s", "head")).join(heads, "head").select(*key, F.struct("s", "len").alias("at"))).select(*key, "w", "n", "at.s", "at.len")
+        at = at.filter(F.col("s") + F.col("len") <= F.col("n"))
         candidates = candidates.unionByName(at.select(*key, "s", "len", F.concat_ws(" ", F.slice("w", F.col("s") + 1, F.col("len"))).alias("win")))
     spots = candidates.join(sent(all_windows), "win").groupBy(*key).agg(F.collect_set(F.struct("s", "len")).alias("spots"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("item_ids"))
 
