@@ -94,7 +94,10 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
 def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
     if not target.sum():
         return np.zeros(SLOTS)
-    return np.log((target + smoothing) / (target.sum() + smoothing * SLOTS)) - np.log((raw + smoothing) / (raw.sum() + smoothing * SLOTS))
+    slots = smoothing * SLOTS
+    p_raw = (raw + smoothing) / (raw.sum() + slots)
+    p_target = (target + slots * p_raw) / (target.sum() + slots)  # what the target says little about is taken as in the corpus
+    return np.log(p_target) - np.log(p_raw)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", target_rows: int = TARGET_ROWS, smoothing: float = SMOOTHING) -> np.ndarray:
