@@ -12,26 +12,59 @@ SAMPLES = 3
 
 
 def resolve(candidates: DataFrame, routes: DataFrame) -> DataFrame:
-    """candidates (cand_id, canonical_url) with status and target.  routes (hostname, path_prefix, target_source_id) are a small dimension.
+    """candidates (cand_id, canonical_url) with status, target and how the route proves identity.
 
-    A host's routes share few prefixes, so the join is by host and the prefix is a residual filter.
+    routes (hostname, path_prefix, target_source_id, identity_mode) are a small dimension.  A host's routes share few prefixes, so the join is by host and the prefix is a residual filter.
     """
     c = candidates.withColumn("host", host_of(F.col("canonical_url"))).withColumn("path", path_for_matching(F.col("canonical_url")))
     prefix = F.when(F.col("path_prefix").endswith("/"), F.col("path_prefix")).otherwise(F.concat("path_prefix", F.lit("/")))
-    hits = c.join(routes, (F.col("host") == F.col("hostname")) & F.col("path").startswith(prefix)).groupBy(F.col("cand_id").alias("h_id")).agg(F.count("*").alias("n"), F.min("target_source_id").alias("target"))
+    hits = c.join(routes, (F.col("host") == F.col("hostname")) & F.col("path").startswith(prefix)).groupBy(F.col("cand_id").alias("h_id")).agg(F.count("*").alias("n"), F.min("target_source_id").alias("target"), F.min("identity_mode").alias("mode"))
     out = c.join(hits, F.col("cand_id") == F.col("h_id"), "left")
-    status = F.when(F.col("n").isNull(), "UNKNOWN").when(F.col("n") == 1, "RESOLVED").otherwise("AMBIGUOUS")
-    return out.select(*candidates.columns, status.alias("route_status"), F.when(F.col("n") == 1, F.col("target")).alias("target_source_id"))
+    status = F.when(F.col("n").isNull(), "UNKNOWN").when(F.col("n") == 1, "RESOLVED").otherwise("AMBIGUOUS_ROUTE")
+    return out.select(*candidates.columns, status.alias("route_status"), *[F.when(F.col("n") == 1, F.col(c)).alias(name) for c, name in (("target", "target_source_id"), ("mode", "identity_mode"))])
+
+
+def overlapping_routes(routes: DataFrame) -> DataFrame:
+    """Pairs of a host's routes of which one covers the other; a catalogue must have none."""
+    a, b = routes.alias("a"), routes.alias("b")
+    covers = F.col("b.path_prefix").startswith(F.col("a.path_prefix"))
+    other = (F.col("a.path_prefix") != F.col("b.path_prefix")) | (F.col("a.target_source_id") < F.col("b.target_source_id"))
+    return a.join(b, (F.col("a.hostname") == F.col("b.hostname")) & covers & other).select(F.col("a.hostname").alias("hostname"), F.col("a.path_prefix").alias("outer_prefix"), F.col("b.path_prefix").alias("inner_prefix"))
 
 
 def admit(resolved: DataFrame, sources: DataFrame) -> DataFrame:
-    """resolved with an admission status: UNKNOWN, AMBIGUOUS, RIGHTS_BLOCKED or ADMITTED."""
+    """resolved with an admission status: the route's, then rights, then identity; ADMITTED if none objects.
+
+    A discovered page carries no id of its publisher, so a route that needs one never admits it.
+    """
     s = sources.select(F.col("source_id"), (F.col("can_fetch") & F.col("can_store_metadata")).alias("allowed"))
     out = resolved.join(s, F.col("target_source_id") == F.col("source_id"), "left")
-    status = F.when(F.col("route_status") != "RESOLVED", F.col("route_status")).when(~F.coalesce("allowed", F.lit(False)), "RIGHTS_BLOCKED").otherwise("ADMITTED")
+    lost = F.col("target_source_id").isNotNull() & F.col("source_id").isNull()
+    status = F.when(lost, F.raise_error(F.concat(F.lit("a route leads to an unknown source "), F.col("target_source_id")))).when(F.col("route_status") != "RESOLVED", F.col("route_status"))
+    status = status.when(~F.coalesce("allowed", F.lit(False)), "RIGHTS_METADATA_DENIED").when(F.col("identity_mode") == "NATIVE_SOURCE_ITEM_ID_REQUIRED", "IDENTITY_INCOMPATIBLE").otherwise("ADMITTED")
     return out.select(*resolved.columns, status.alias("admission"))
 
 
+def unknown_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The share of sightings whose publisher no route knows."""
+    return rows.groupBy(*keys).agg(F.coalesce(F.avg((F.col("admission") == "UNKNOWN").cast("double")), F.lit(0.0)).alias("unknown_rate"))
+
+
+# What a tier means for discovery and for fetching directly, by how a route proves identity.
+POLICY = {
+    "INSUFFICIENT_DATA": {"CANONICAL_URL_FALLBACK": ("NO_CHANGE", "UNCHANGED"), "NATIVE_SOURCE_ITEM_ID_REQUIRED": ("NO_CHANGE", "UNCHANGED")},
+    "GREEN_A": {"CANONICAL_URL_FALLBACK": ("PRIMARY", "MAY_REDUCE_TO_SENTINEL"), "NATIVE_SOURCE_ITEM_ID_REQUIRED": ("DISCOVERY_ACCELERATOR", "REQUIRED")},
+    "GREEN_B": {"CANONICAL_URL_FALLBACK": ("PRIMARY", "MAY_REDUCE_TO_SENTINEL"), "NATIVE_SOURCE_ITEM_ID_REQUIRED": ("DISCOVERY_ACCELERATOR", "REQUIRED")},
+    "YELLOW": {"CANONICAL_URL_FALLBACK": ("PARALLEL_DISCOVERY", "REQUIRED"), "NATIVE_SOURCE_ITEM_ID_REQUIRED": ("PARALLEL_DISCOVERY", "REQUIRED")},
+    "RED": {"CANONICAL_URL_FALLBACK": ("SUPPLEMENTAL", "REQUIRED_PRIMARY"), "NATIVE_SOURCE_ITEM_ID_REQUIRED": ("SUPPLEMENTAL", "REQUIRED_PRIMARY")},
+}
+
+
+def policy(tier_: Column, identity_mode: Column) -> Column:
+    """struct(role, direct_path) of a tier and a mode; null for values outside the vocabulary."""
+    return F.coalesce(*[F.when((tier_ == t) & (identity_mode == m), F.struct(F.lit(role).alias("role"), F.lit(path).alias("direct_path"))) for t, modes in POLICY.items() for m, (role, path) in modes.items()])
+
+
 def fold_daily(sightings: DataFrame, keys: list[str], at: str, seq: str, sample: Column) -> DataFrame:
     """Per UTC day and key: count, first and last time, the first samples in order of arrival.
 
@@ -80,3 +113,14 @@ def prune(folds: DataFrame, oldest_day: str, oldest_sample_day: str) -> DataFram
     """Days before oldest_day go; samples before oldest_sample_day are emptied.  The cutoffs themselves stay."""
     kept = folds.filter(F.col("observation_day") >= F.lit(oldest_day).cast("date"))
     return kept.withColumn("samples", F.when(F.col("observation_day") < F.lit(oldest_sample_day).cast("date"), F.expr("cast(array() as array<string>)")).otherwise(F.col("samples")))
+
+
+def prune_counts(folds: DataFrame, evidence: DataFrame, oldest_day: str, oldest_sample_day: str, oldest_evidence_day: str) -> DataFrame:
+    """What a retention run does: fold rows deleted, rows whose samples are cleared, evidence rows deleted."""
+    day = lambda d: F.lit(d).cast("date")
+    gone = F.col("observation_day") < day(oldest_day)
+    cleared = ~gone & (F.col("observation_day") < day(oldest_sample_day)) & (F.size("samples") > 0)
+    one = folds.agg(F.count_if(gone).alias("deleted_observations"), F.count_if(cleared).alias("cleared_samples"))
+    two = evidence.agg(F.count_if(F.col("evidence_day") < day(oldest_evidence_day)).alias("deleted_evidence"))
+    names = [*one.columns, *two.columns]
+    return one.unionByName(two, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])

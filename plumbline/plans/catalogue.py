@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from plumbline.functions import dates
 from plumbline.functions import text as T
 from plumbline.functions import url as U
-from plumbline.operators import classify, dedup, discovery, match, state
+from plumbline.operators import classify, dedup, discovery, match, normalize, state
 from plumbline.session import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,12 +226,14 @@ _ROUTES = [("/en", "src_en", True), ("/de", "src_de", True), ("/fr", "src_fr", F
 @_query(f"""WITH c AS ({_CANON}), h AS (SELECT page_id, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host, rtrim(regexp_extract(canonical_url, '^[a-z]+://[^/]+([^?]*)', 1), '/') || '/' AS path FROM c),
 r AS (SELECT DISTINCT host, p, s, ok FROM h, (VALUES {', '.join(f"('{p}/', '{s}', {str(ok).lower()})" for p, s, ok in _ROUTES)}) v(p, s, ok) WHERE host LIKE '%.com'),
 m AS (SELECT page_id, count(p) AS n, min(s) AS s, bool_and(ok) AS ok FROM h LEFT JOIN r ON h.host = r.host AND starts_with(path, p) GROUP BY page_id)
-SELECT page_id, CASE WHEN n = 0 THEN 'UNKNOWN' WHEN n > 1 THEN 'AMBIGUOUS' WHEN ok THEN 'ADMITTED' ELSE 'RIGHTS_BLOCKED' END AS admission, CASE WHEN n = 1 THEN s END AS target_source_id FROM m""")
+SELECT page_id, CASE WHEN n = 0 THEN 'UNKNOWN' WHEN n > 1 THEN 'AMBIGUOUS_ROUTE' WHEN NOT ok THEN 'RIGHTS_METADATA_DENIED' WHEN s = 'src_de' THEN 'IDENTITY_INCOMPATIBLE' ELSE 'ADMITTED' END AS admission, CASE WHEN n = 1 THEN s END AS target_source_id FROM m""")
 def route_admission(spark, sf_dir):
     c = _canonical(spark, sf_dir).select(F.col("page_id").alias("cand_id"), "canonical_url")
     hosts = c.select(U.host_of(F.col("canonical_url")).alias("hostname")).filter(F.col("hostname").endswith(".com")).distinct()
+    mode = lambda s: "NATIVE_SOURCE_ITEM_ID_REQUIRED" if s == "src_de" else "CANONICAL_URL_FALLBACK"
     dim = spark.createDataFrame(_ROUTES, "path_prefix string, target_source_id string, ok boolean")
-    routes = hosts.crossJoin(F.broadcast(dim.select("path_prefix", "target_source_id")))  # a dimension: four rows a host
+    each = F.array(*[F.struct(F.lit(p).alias("path_prefix"), F.lit(s).alias("target_source_id"), F.lit(mode(s)).alias("identity_mode")) for p, s, _ in _ROUTES])
+    routes = hosts.select("hostname", F.inline(each))
     sources = dim.select(F.col("target_source_id").alias("source_id"), F.col("ok").alias("can_fetch"), F.lit(True).alias("can_store_metadata"))
     return discovery.admit(discovery.resolve(c, routes), sources).select(F.col("cand_id").alias("page_id"), "admission", "target_source_id")
 
@@ -374,6 +377,102 @@ def status_pivot_count(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(*[F.count_if(F.col("o_orderstatus") == s).alias(s.lower()) for s in "FOP"])
 
 
+# Dates as providers write them: five forms made from the orders' dates.
+_WRITTEN = """SELECT o_orderkey, o_orderdate, CASE o_orderkey % 6 WHEN 0 THEN 'us_fhfa_regulatory' WHEN 1 THEN 'eu_esma_regulatory' WHEN 2 THEN 'cn_miit_policy_listing' ELSE 'vn_sbv_regulatory_docs' END AS source_id FROM orders"""
+
+
+@_query(f"""SELECT o_orderkey, source_id, CAST(epoch(CASE o_orderkey % 6 WHEN 0 THEN o_orderdate AT TIME ZONE 'America/New_York' WHEN 1 THEN o_orderdate AT TIME ZONE 'Europe/Paris' WHEN 2 THEN o_orderdate AT TIME ZONE 'Asia/Shanghai'
+WHEN 3 THEN CAST(o_orderdate AS TIMESTAMP) - INTERVAL 7 HOUR WHEN 4 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 90 MINUTE END) AS BIGINT) AS published_at FROM ({_WRITTEN}) WHERE o_orderkey % 6 > 2
+UNION ALL SELECT o_orderkey, source_id, CAST(epoch(timezone(CASE o_orderkey % 6 WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'Europe/Paris' ELSE 'Asia/Shanghai' END, CAST(o_orderdate AS TIMESTAMP))) AS BIGINT) FROM ({_WRITTEN}) WHERE o_orderkey % 6 <= 2""")
+def published_at_parse(spark, sf_dir):
+    kind, day = F.col("o_orderkey") % 6, F.col("o_orderdate").cast("timestamp")
+    source = F.when(kind == 0, "us_fhfa_regulatory").when(kind == 1, "eu_esma_regulatory").when(kind == 2, "cn_miit_policy_listing").otherwise("vn_sbv_regulatory_docs")
+    forms = [(0, "M/d/yyyy"), (1, "dd/MM/yyyy"), (2, "yyyy-MM-dd"), (3, "d/M/yyyy | HH:mm:ss"), (4, "yyyy-MM-dd'T'HH:mm:ss'-01:30'")]
+    raw = F.coalesce(*[F.when(kind == k, F.date_format(day, f)) for k, f in forms], F.date_format(day, "yyyy-MM-dd"))  # the last: no offset, so no time
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", source.alias("source_id"), raw.alias("raw"))
+    return rows.select("o_orderkey", "source_id", F.unix_timestamp(dates.published_at(F.col("raw"), F.col("source_id"))).alias("published_at"))
+
+
+_DISPOSITIONS = "(VALUES ('GREEN_A', 'PRIMARY', 'MAY_REDUCE_TO_SENTINEL', 'DISCOVERY_ACCELERATOR', 'REQUIRED'), ('GREEN_B', 'PRIMARY', 'MAY_REDUCE_TO_SENTINEL', 'DISCOVERY_ACCELERATOR', 'REQUIRED'), ('YELLOW', 'PARALLEL_DISCOVERY', 'REQUIRED', 'PARALLEL_DISCOVERY', 'REQUIRED'), ('RED', 'SUPPLEMENTAL', 'REQUIRED_PRIMARY', 'SUPPLEMENTAL', 'REQUIRED_PRIMARY'), ('INSUFFICIENT_DATA', 'NO_CHANGE', 'UNCHANGED', 'NO_CHANGE', 'UNCHANGED')) v(tier, r1, p1, r2, p2)"
+
+
+@_query(f"SELECT c_custkey, tier, CASE WHEN c_custkey % 2 = 0 THEN r1 ELSE r2 END AS role, CASE WHEN c_custkey % 2 = 0 THEN p1 ELSE p2 END AS direct_path FROM (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'GREEN_A' WHEN 1 THEN 'GREEN_B' WHEN 2 THEN 'YELLOW' WHEN 3 THEN 'RED' ELSE 'INSUFFICIENT_DATA' END AS tier FROM customer) JOIN {_DISPOSITIONS} USING (tier)")
+def direct_path_disposition(spark, sf_dir):
+    k = F.col("c_custkey")
+    tier = F.element_at(F.array(*map(F.lit, ("GREEN_A", "GREEN_B", "YELLOW", "RED", "INSUFFICIENT_DATA"))), (k % 5 + 1).cast("int"))
+    mode = F.when(k % 2 == 0, "CANONICAL_URL_FALLBACK").otherwise("NATIVE_SOURCE_ITEM_ID_REQUIRED")
+    return table(spark, sf_dir, "customer").select(k, tier.alias("tier"), mode.alias("mode")).withColumn("p", discovery.policy(F.col("tier"), F.col("mode"))).select("c_custkey", "tier", "p.role", "p.direct_path")
+
+
+_CATEGORIES = ("RIGHTS_DENIED", "EMPTY_CONTENT", "CONFIGURATION", "RATE_LIMIT", "TIMEOUT", "UNLISTED")
+
+
+@_query(f"""SELECT o_orderkey, category, CASE WHEN category = 'RIGHTS_DENIED' OR category = 'UNLISTED' AND NOT retryable THEN 'QUARANTINE' WHEN category = 'RATE_LIMIT' OR category IN ('CONFIGURATION', 'TIMEOUT') AND NOT retryable THEN 'RETRY_60_MINUTES'
+WHEN attempt_count <= 1 THEN 'RETRY_15_MINUTES' ELSE 'RETRY_60_MINUTES' END AS disposition, category IN ('EMPTY_CONTENT', 'CONFIGURATION', 'RATE_LIMIT', 'TIMEOUT') OR retryable AS retryable,
+CASE WHEN category = 'CONFIGURATION' THEN 'CONFIGURATION' WHEN category IN ('RATE_LIMIT', 'TIMEOUT') OR category = 'UNLISTED' AND retryable THEN 'SYSTEMIC_PROVIDER' END AS stop_reason
+FROM (SELECT o_orderkey, ([{", ".join(f"'{c}'" for c in _CATEGORIES)}])[CAST(o_custkey % 6 + 1 AS INT)] AS category, o_orderkey % 3 = 0 AS retryable, o_orderkey % 4 AS attempt_count FROM orders)""")
+def failure_disposition(spark, sf_dir):
+    category = F.element_at(F.array(*map(F.lit, _CATEGORIES)), (F.col("o_custkey") % 6 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", category.alias("category"), (F.col("o_orderkey") % 3 == 0).alias("r"), (F.col("o_orderkey") % 4).alias("n"))
+    return rows.withColumn("d", state.disposition(F.col("category"), F.col("r"), F.col("n"))).select("o_orderkey", "category", "d.disposition", "d.retryable", "d.stop_reason")
+
+
+def _stored(spark, sf_dir):
+    """Half of the orders as stored rows of a queue."""
+    k = F.col("o_orderkey")
+    status = F.when(F.col("o_orderstatus") == "F", "RETRYABLE").when(F.col("o_orderstatus") == "O", "PROCESSING").otherwise("SUCCEEDED")
+    usage = [F.lit(n).cast("decimal(24,12)" if c == "estimated_cost_usd" else "long").alias(c) for c, n in zip(state.USAGE, (10, 4, 6, 5, 15, 1))]
+    return table(spark, sf_dir, "orders").filter(k % 2 == 0).select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.lit("m").alias("requested_model"), F.when(k % 6 == 0, "p1").otherwise("p2").alias("prompt_version"), F.lit("t").alias("taxonomy_version"), status.alias("status"), F.when(status == "PROCESSING", F.concat(F.lit("t"), k)).alias("claim_token"), F.when(status == "PROCESSING", _seconds("o_orderdate")).alias("lease_expires_at"), *usage)
+
+
+@_query("SELECT o_orderkey AS article_id, CASE WHEN o_orderkey % 2 = 1 THEN 'CREATED' WHEN o_orderkey % 6 = 0 THEN 'LINEAGE_MISMATCH' WHEN o_orderstatus = 'F' THEN 'EXISTING_RETRYABLE' WHEN o_orderstatus = 'O' THEN 'EXISTING_PROCESSING' ELSE 'ALREADY_SUCCEEDED' END AS outcome, CASE WHEN o_orderkey % 6 = 0 THEN 'prompt_version' ELSE '' END AS mismatched_fields FROM orders")
+def queue_enqueue(spark, sf_dir):
+    commands = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("article_id"), *[F.lit(v).alias(c) for c, v in (("classifier_version", "classification-v2"), ("requested_model", "m"), ("prompt_version", "p2"), ("taxonomy_version", "t"))])
+    return state.enqueue(commands, _stored(spark, sf_dir)).select("article_id", "outcome", F.array_join("mismatched_fields", ",").alias("mismatched_fields"))
+
+
+def _tokens(spark, sf_dir):
+    """A command for each stored row, one in five with another token."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").filter(k % 2 == 0).select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.when(k % 5 == 0, "other").otherwise(F.concat(F.lit("t"), k)).alias("claim_token"))
+
+
+@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'RENEWED' ELSE 'LOST_CLAIM' END AS outcome, CASE WHEN ok THEN {_NOW} + 300 END AS lease_expires_at FROM (SELECT o_orderkey, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
+def queue_renew(spark, sf_dir):
+    return state.renew(_tokens(spark, sf_dir), _stored(spark, sf_dir), _NOW, 300).select("article_id", "outcome", "lease_expires_at")
+
+
+@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'SUCCEEDED' WHEN o_orderstatus = 'P' THEN 'ALREADY_SUCCEEDED' ELSE 'LOST_CLAIM' END AS outcome, CAST(CASE WHEN ok THEN 35 ELSE 15 END AS BIGINT) AS total_tokens FROM (SELECT o_orderkey, o_orderstatus, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
+def queue_complete(spark, sf_dir):
+    usage = [F.lit(n).cast("decimal(24,12)" if c == "estimated_cost_usd" else "long").alias(c) for c, n in zip(state.USAGE, (12, 6, 6, 8, 20, 2))]
+    commands = _tokens(spark, sf_dir).select("*", F.lit("PROVIDER").alias("method"), F.lit(1).alias("provider_attempts"), *usage)
+    return state.complete(commands, _stored(spark, sf_dir), _NOW).select("article_id", "outcome", "total_tokens")
+
+
+@_query("SELECT source, fetched, selected, fetched - selected AS storage_skipped FROM (SELECT source, count(*) AS fetched, least(count(*), 20) AS selected FROM documents GROUP BY source)")
+def ingestion_counters(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("source_id"))
+    chosen = normalize.first_of_each(rows, 20)
+    none = rows.filter(F.lit(False))
+    c = normalize.counters(rows, chosen, chosen, none, none)
+    return c.select(F.col("source_id").alias("source"), "fetched", "selected", (F.col("fetched") - F.col("selected")).alias("storage_skipped"))
+
+
+@_query(f"SELECT host, avg(CASE WHEN n = 0 THEN 1.0 ELSE 0.0 END) AS unknown_rate FROM (SELECT page_id, host, count(p) AS n FROM (SELECT page_id, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host, rtrim(regexp_extract(canonical_url, '^[a-z]+://[^/]+([^?]*)', 1), '/') || '/' AS path FROM ({_CANON})) LEFT JOIN (VALUES ('/en/'), ('/fr/')) v(p) ON starts_with(path, p) GROUP BY ALL) GROUP BY host")
+def unknown_publisher_rate(spark, sf_dir):
+    c = _canonical(spark, sf_dir).select(F.col("page_id").alias("cand_id"), "canonical_url")
+    each = F.array(*[F.struct(F.lit(p).alias("path_prefix"), F.lit(p[1:]).alias("target_source_id"), F.lit("CANONICAL_URL_FALLBACK").alias("identity_mode")) for p in ("/en", "/fr")])
+    routes = c.select(U.host_of(F.col("canonical_url")).alias("hostname")).distinct().select("hostname", F.inline(each))
+    sources = spark.createDataFrame([("en", True, True), ("fr", True, True)], "source_id string, can_fetch boolean, can_store_metadata boolean")
+    return discovery.unknown_rate(discovery.admit(discovery.resolve(c, routes), sources).withColumn("host", U.host_of(F.col("canonical_url"))), ["host"])
+
+
+@_query("SELECT c_custkey AS source_id, CAST(c_nationkey AS INT) AS priority FROM customer WHERE c_custkey IN (3, 7, 11, 19) ORDER BY c_nationkey DESC, c_custkey")
+def source_selection(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source_id"), F.col("c_nationkey").cast("int").alias("priority"))
+    return normalize.select_sources(rows, [3, 7, 11, 19])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
 from plumbline.functions import url as U
-from plumbline.operators import dedup, discovery, match, state
+from plumbline.functions import dates
+from plumbline.operators import dedup, discovery, match, normalize, state
 
 
 def one(spark, value, f):
@@ -66,3 +70,47 @@ def test_claims(spark):
     s = spark.createDataFrame([("a", "RETRYABLE", 5, None, 1, 0), ("b", "PROCESSING", None, 4, 1, 3), ("c", "RETRYABLE", 50, None, 1, 0), ("d", "SUCCEEDED", None, None, 1, 1)], "article_id string, status string, next_attempt_at long, lease_expires_at long, created_at long, attempt_count long").withColumn("max_attempts", F.lit(3))
     got = [tuple(r) for r in state.claim(s, 10, 5, 300).orderBy("article_id").collect()]
     assert got == [("a", "PROCESSING", 1, 310), ("b", "QUARANTINED", 3, None)]
+
+
+def test_published_at(spark):
+    cases = [
+        ("x", "2026-07-13T10:00:00+02:00", "2026-07-13 08:00:00"), ("x", "2026-07-13T10:00:00.250Z", "2026-07-13 10:00:00.25"), ("x", "2026-07-13", None), ("x", "2026-07-13T10:00:00", None),
+        ("x", "Mon, 13 Jul 2026 10:00:00 -0500", "2026-07-13 15:00:00"), ("x", "13 Jul 2026 10:00 GMT", "2026-07-13 10:00:00"), ("x", "Mon, 13 Jul 2026 10:00:00 -0000", None), ("x", "Mon, 13 Jul 2026 10:00:00 EDT", "2026-07-13 14:00:00"),
+        ("us_fhfa_regulatory", "7/13/2026", "2026-07-13 04:00:00"), ("us_fhfa_regulatory", "01/13/2026", "2026-01-13 05:00:00"), ("us_fhfa_regulatory", "13/01/2026", None), ("eu_esma_regulatory", "13/07/2026", "2026-07-12 22:00:00"),
+        ("cn_miit_policy_listing", "2026-07-13", "2026-07-12 16:00:00"), ("vn", " 13/7/2026 | 10:00:05 ", "2026-07-13 03:00:05"), ("vn", "13/7/2026 10:00:05", "2026-07-13 03:00:05"), ("vn", "31/02/2026", None), ("vn", "", None), ("vn", None, None),
+    ]
+    rows = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, s string, raw string, want string")
+    got = rows.select("k", dates.published_at(F.col("raw"), F.col("s")).cast("string").alias("at")).orderBy("k").collect()
+    assert [r["at"] for r in got] == [c[2] for c in cases]
+    assert [one(spark, t, dates.cjk_date) for t in ("于2026年7月1日", "2026-07-01", "x", None)] == ["2026-7-1", "2026-07-01", None, None]
+
+
+def test_normalize(spark):
+    sources = spark.createDataFrame([("s", "US", "en")], "source_id string, market string, language string")
+    raw = spark.createDataFrame([
+        (1, "s", " id ", "HTTP://H.org?utm_x=1", "<b>A</b>&amp;B", "", "13/07/2026", " "), (2, "s", None, "ftp://h", "T", None, None, None), (3, "s", None, "http://h/", " <script>x</script>", None, None, "vi"),
+        (4, "t", None, "http://h/", "T", None, None, None), (5, "s", "", "http://h/", "T", "<p>d", None, "vi"), (6, "s", None, None, None, None, None, None),
+    ], "seq long, source_id string, source_item_id string, url string, title string, description string, published_at_raw string, language_hint string").withColumn("retrieved_at", F.lit("2026-07-14").cast("timestamp"))
+    good, bad = normalize.normalize(raw, sources)
+    g = {r["seq"]: r for r in good.collect()}
+    assert set(g) == {1, 5} and {(r["seq"], r["field"]) for r in bad.collect()} == {(2, "url"), (3, "title"), (4, "source_id"), (6, "url")}
+    sha = lambda x: hashlib.sha256(json.dumps(x, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+    assert g[1]["article_id"] == sha(["v1", "source_item_id", "s", "id"]) and g[1]["content_hash"] == sha(["v1", "A&B", None]) and (g[1]["language"], g[1]["title"], g[1]["description"]) == ("en", "A&B", None)
+    assert g[5]["article_id"] == sha(["v1", "canonical_url", "s", "http://h/"]) and g[5]["language"] == "vi" and g[5]["published_at"] is None
+    assert normalize.normalize(raw.limit(0), sources)[0].isEmpty()
+    assert [r["seq"] for r in normalize.first_of_each(raw, 2).orderBy("seq").collect()] == [1, 2, 4]
+
+
+def test_queue_guards(spark):
+    row = "article_id string, classifier_version string, status string, attempt_count int"
+    before = spark.createDataFrame([("a", "v", "RETRYABLE", 0), ("b", "v", "SUCCEEDED", 1), ("c", "v", "RETRYABLE", 0), ("d", "v", "QUARANTINED", 3), ("e", "v", "PROCESSING", 1)], row)
+    after = spark.createDataFrame([("a", "v", "PROCESSING", 1), ("b", "v", "SUCCEEDED", 2), ("c", "v", "SUCCEEDED", 1), ("e", "v", "PROCESSING", 1), ("f", "v", "RETRYABLE", 0), ("g", "v", "PROCESSING", 1)], row)
+    assert {r["article_id"] for r in state.illegal_transitions(before, after).collect()} == {"b", "c", "d", "g"}
+
+
+def test_routes_and_policy(spark):
+    r = spark.createDataFrame([("h", "/a", "s"), ("h", "/a/b", "t"), ("g", "/a", "s"), ("h", "/c", "s")], "hostname string, path_prefix string, target_source_id string")
+    assert [tuple(x) for x in discovery.overlapping_routes(r).collect()] == [("h", "/a", "/a/b")]
+    folds = spark.createDataFrame([("2026-01-01", ["x"]), ("2026-01-02", ["x"]), ("2026-01-03", []), ("2026-01-05", ["x"])], "d string, samples array<string>").withColumn("observation_day", F.to_date("d"))
+    evidence = spark.createDataFrame([("2026-01-01",), ("2026-01-04",)], "d string").select(F.to_date("d").alias("evidence_day"))
+    assert tuple(discovery.prune_counts(folds, evidence, "2026-01-02", "2026-01-05", "2026-01-04").first()) == (1, 1, 1)
