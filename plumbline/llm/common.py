@@ -48,6 +48,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A group is hot if it holds more than one in HOT rows; there are fewer than HOT such groups, whatever the data.
+HOT = 1_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: dict[str, str], size: str) -> DataFrame:
+    """rows with the columns of their group, where they have one.
+
+    groups: one row a key, `size` the number of its rows; on: the rows' keys by the groups' (no null).
+    Hot groups (fewer than HOT rows) are broadcast, so their rows stay where they are; of the rest,
+    which are dealt out by key, none is large.
+    """
+    groups = checkpointed(groups)
+    total = int(groups.agg(F.sum(size).alias("n")).first()["n"] or 0)
+    cond = F.lit(True)
+    for mine, theirs in on.items():
+        cond &= F.col(mine) == F.col(theirs)
+    hot = F.col(size) * HOT > total
+    few, many = groups.filter(hot), groups.filter(~hot)
+    return rows.join(F.broadcast(few), cond).unionByName(rows.join(F.broadcast(few.select(*on.values())), cond, "left_anti").join(many, cond))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

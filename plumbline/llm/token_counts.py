@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import join_groups
 from .textvec import steps
 
 KEYS = ("source", "lang", "version")
@@ -126,6 +127,6 @@ class Ledger:
 
 def later_copies(counts: DataFrame) -> DataFrame:
     """doc_id of documents whose text (by hash and count) a smaller id has too."""
-    key = ["text_hash", "n_tokens"]
-    first = counts.groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c")).filter("c > 1")
-    return counts.join(first, key).filter(F.col("doc_id") > F.col("first_id")).select("doc_id")
+    first = counts.groupBy(F.col("text_hash").alias("h"), F.col("n_tokens").alias("t")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c")).filter("c > 1")
+    rows = counts.select("doc_id", "text_hash", "n_tokens")
+    return join_groups(rows, first, {"text_hash": "h", "n_tokens": "t"}, "c").filter(F.col("doc_id") > F.col("first_id")).select("doc_id")

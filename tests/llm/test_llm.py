@@ -304,3 +304,11 @@ def test_label_model():
     m = toxicity.LabelModel(0.3).fit(v)
     assert np.mean((m.posterior(v) > 0.5) == y) > 0.93
     assert m.correlations[0, 3] > 0.9 and m.share[0] < m.share[1]
+
+
+def test_hot_and_other_groups_join_alike(spark, none):
+    rows = [(k, "hot", 1) for k in range(2_000)] + [(5_000 + k, f"t{k // 2}", 1) for k in range(2_000)] + [(9_000, "alone", 1)]
+    counts = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long").withColumn("text_hash", F.xxhash64("text"))
+    got = sorted(r["doc_id"] for r in token_counts.later_copies(counts).collect())
+    assert got == list(range(1, 2_000)) + list(range(5_001, 7_000, 2))
+    assert token_counts.later_copies(counts.limit(0)).count() == 0
