@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
+from .common import bucket_count, checkpointed, id_array, join_groups, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .components import components
 from .textvec import BASES, LOWER, U, Words, flat, mix, powers, steps, windows
 
@@ -361,15 +361,15 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
     # Classes of equal sets.
     full = summary.filter("n > 0").select("doc_id", "n", "s1", "s2", "smallest")
-    classes = full.groupBy(F.col("s1").alias("k1"), F.col("s2").alias("k2"), F.col("n").alias("kn")).agg(F.min("doc_id").alias("rep"))
-    member = checkpointed(full.join(classes, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & (F.col("n") == F.col("kn"))).select("doc_id", "n", "s1", "s2", "smallest", "rep"))
+    classes = full.groupBy(F.col("s1").alias("k1"), F.col("s2").alias("k2"), F.col("n").alias("kn")).agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
+    member = checkpointed(join_groups(full, classes, {"s1": "k1", "s2": "k2", "n": "kn"}, "c").select("doc_id", "n", "s1", "s2", "smallest", "rep"))
     reps = member.filter("doc_id = rep").dropDuplicates(["rep", "s1", "s2"]).select("rep", "n", "s1", "smallest")
 
     # Clusters, cut to blocks of bounded size.
     clusters = _clusters(reps)
     sums = clusters.groupBy(F.col("cluster").alias("k")).agg(F.sum("n").alias("shingles"), F.count("*").alias("members"))
     blocks = F.ceil(F.col("shingles") / BLOCK_SHINGLES)
-    labels = clusters.join(sums, F.col("cluster") == F.col("k")).select("rep", "n", "s1", "cluster", "members", F.pmod(F.xxhash64("rep"), blocks).alias("block"))
+    labels = join_groups(clusters, sums, {"cluster": "k"}, "members").select("rep", "n", "s1", "cluster", "members", F.pmod(F.xxhash64("rep"), blocks).alias("block"))
     # A block is named by its smallest member.
     names = labels.groupBy(F.col("cluster").alias("c2"), F.col("block").alias("b2")).agg(F.min("rep").alias("group"), F.count("*").alias("members"))
     labels = checkpointed(labels.drop("members").join(names, (F.col("cluster") == F.col("c2")) & (F.col("block") == F.col("b2"))).select(F.col("rep"), "s1", "group", "members"))
@@ -396,5 +396,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     roots = components(found.filter("sure").select("a", "b").unionByName(across).unionByName(tied))
 
     rest = summary.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    placed = member.select("doc_id", "n", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component_id")).unionByName(rest)
+    mine = member.select("doc_id", F.col("n").alias("n_shingles"), "rep")
+    named = mine.filter("rep is not null").groupBy(F.col("rep").alias("r")).agg(F.count("*").alias("c")).join(roots, F.col("r") == F.col("node"), "left").select("r", "c", F.coalesce("root", "r").alias("component_id"))
+    placed = join_groups(mine, named, {"rep": "r"}, "c").select("doc_id", "n_shingles", "component_id")
+    nameless = mine.filter("rep is null").withColumnRenamed("rep", "component_id")
+    return placed.unionByName(nameless).unionByName(rest)
