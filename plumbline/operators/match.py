@@ -49,3 +49,17 @@ def first_write_wins(new: DataFrame, stored: DataFrame, keys: list[str], seq: st
     """The rows of new that a first-write-wins sink would add: the first of each key that isn't stored."""
     first = new.groupBy(*keys).agg(F.min_by(F.struct(*new.columns), seq).alias("r")).select("r.*")
     return first.join(stored.select(*keys), keys, "left_anti")
+
+
+def record_candidates(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """new (candidate_id, user_id, article_id, seq from 0) with outcome: CREATED, or ALREADY_EXISTS where an earlier or a stored row has the pair.
+
+    A pair under another id, or an id of another pair, is an error.
+    """
+    key = ["candidate_id", "user_id", "article_id"]
+    known = stored.select(*key, F.lit(-1).cast("long").alias("seq")).unionByName(new.select(*key, F.col("seq").cast("long").alias("seq")))
+    pairs = known.groupBy(F.col("user_id").alias("_user"), F.col("article_id").alias("_article")).agg(F.min("seq").alias("_first"), F.min("candidate_id").alias("_least"), F.max("candidate_id").alias("_most"))
+    ids = known.groupBy(F.col("candidate_id").alias("_id")).agg(F.count_distinct("user_id", "article_id").alias("_pairs"))
+    rows = new.join(pairs, (F.col("user_id") == F.col("_user")) & (F.col("article_id") == F.col("_article"))).join(ids, F.col("candidate_id") == F.col("_id"))
+    outcome = F.when(F.col("_least") != F.col("_most"), F.raise_error(F.lit("a pair has two candidate ids"))).when(F.col("_pairs") > 1, F.raise_error(F.lit("a candidate id names two pairs")))
+    return rows.select(*new.columns, outcome.when(F.col("_first") == F.col("seq"), "CREATED").otherwise("ALREADY_EXISTS").alias("outcome"))

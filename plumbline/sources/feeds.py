@@ -47,6 +47,60 @@ def sparql(payloads: DataFrame, body: str = "body", limit: int | None = None) ->
     return first.orderBy("seq").limit(limit) if limit is not None else first
 
 
+_FOUND = "struct<articles:array<struct<url:string,title:string,language:string,domain:string,sourcecountry:string,seendate:string>>>"
+#: Characters of a provider's remark that are kept.
+REMARK = 512
+
+
+def discovery(payloads: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(candidates, counts) of discovery responses (query_id, observed_at, body; other columns are kept in counts).
+
+    A response must be an object with a list of articles, which may be empty; anything else is a
+    problem, not an empty answer.  A record without a URL is invalid.  The time a provider saw a
+    page is a remark, never its publication.
+    """
+    keep = [c for c in payloads.columns if c != body]
+    p = payloads.withColumn("_a", F.from_json(F.col(body), _FOUND)["articles"])
+    good = F.filter("_a", lambda r: F.coalesce(F.trim(r["url"]) != "", F.lit(False)))
+    found = F.col("_a").isNotNull()
+    counts = p.select(*keep, F.when(found, F.size("_a")).alias("provider_record_count"), F.when(found, F.size("_a") - F.size(good)).alias("invalid_record_count"), F.when(~found, "no list of articles").alias("problem"))
+    rows = p.filter(found).select("query_id", "observed_at", F.posexplode(good).alias("seq", "i"))
+    remark = lambda name, c: F.struct(F.lit(name).alias("key"), F.substring(F.trim(c), 1, REMARK).alias("value"))
+    remarks = F.filter(F.array(remark("sourcecountry", F.col("i.sourcecountry")), remark("provider_seendate", F.col("i.seendate"))), lambda e: F.coalesce(e["value"] != "", F.lit(False)))
+    tidy = lambda c: F.trim(_text(F.col(c)))
+    none = F.lit(None).cast("string")
+    return rows.select("query_id", "observed_at", "seq", F.trim("i.url").alias("original_url"), tidy("i.title").alias("title"), none.alias("published_at_raw"), tidy("i.language").alias("language_hint"), tidy("i.domain").alias("provider_publisher_hint"), F.map_from_entries(remarks).alias("provider_metadata")), counts
+
+
+_LIST = "struct<count:long,packages:array<struct<packageId:string>>,nextPage:string>"
+_SUMMARY = "struct<packageId:string,collectionCode:string,title:string,dateIssued:string,lastModified:string>"
+PACKAGE = "^PLAW-[A-Za-z0-9-]+$"
+
+
+def corpus_list(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Pages (page: their order, body) of a collection as distinct package ids in order of first sight.
+
+    A page that contradicts itself (no count, more packages than it counts, an unsafe id, an empty
+    collection that goes on) fails the scan.
+    """
+    p = pages.select("page", F.from_json(F.col(body), _LIST).alias("x"))
+    n, ids = F.col("x.count"), F.col("x.packages.packageId")
+    why = F.when(F.coalesce(n < 0, F.lit(True)) | ids.isNull(), "no count or no packages").when(F.size(ids) > n, "more packages than counted")
+    why = why.when((n == 0) & (F.trim("x.nextPage") != ""), "an empty collection goes on").when(F.exists(ids, lambda i: ~F.coalesce(i.rlike(PACKAGE), F.lit(False))), "an unsafe packageId")
+    rows = p.select("page", F.posexplode(F.when(why.isNotNull(), F.raise_error(why)).otherwise(ids)).alias("pos", "package_id"))
+    return rows.groupBy("package_id").agg(F.min(F.struct("page", "pos")).alias("at")).select("package_id", "at.page", "at.pos")
+
+
+def corpus_articles(listed: DataFrame, details: DataFrame, code: str = "PLAW", site: str = "https://www.govinfo.gov/app/details/") -> DataFrame:
+    """Listed packages with their details (package_id asked for, body); a missing or wrong detail fails the scan."""
+    d = details.select(F.col("package_id").alias("_id"), F.from_json("body", _SUMMARY).alias("x"))
+    why = F.when(~F.col("x.packageId").eqNullSafe(F.col("package_id")), "a detail of another package").when(~F.col("x.collectionCode").eqNullSafe(F.lit(code)), "another collection").when(_text(F.col("x.title")).isNull(), "no title")
+    rows = listed.join(d, F.col("package_id") == F.col("_id"), "left").withColumn("package_id", F.when(why.isNotNull(), F.raise_error(why)).otherwise(F.col("package_id")))
+    changed = F.trim(_text(F.col("x.lastModified")))
+    meta = F.when(changed.isNull(), F.create_map(F.lit("collection_code"), F.lit(code))).otherwise(F.create_map(F.lit("collection_code"), F.lit(code), F.lit("last_modified"), changed))
+    return rows.select("page", "pos", F.col("package_id").alias("source_item_id"), F.concat(F.lit(site), "package_id").alias("url"), F.trim("x.title").alias("title"), _text(F.col("x.dateIssued")).alias("published_at_raw"), meta.alias("raw_metadata"))
+
+
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as payloads: path and body."""
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("body"))

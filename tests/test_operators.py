@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
@@ -114,3 +115,13 @@ def test_routes_and_policy(spark):
     folds = spark.createDataFrame([("2026-01-01", ["x"]), ("2026-01-02", ["x"]), ("2026-01-03", []), ("2026-01-05", ["x"])], "d string, samples array<string>").withColumn("observation_day", F.to_date("d"))
     evidence = spark.createDataFrame([("2026-01-01",), ("2026-01-04",)], "d string").select(F.to_date("d").alias("evidence_day"))
     assert tuple(discovery.prune_counts(folds, evidence, "2026-01-02", "2026-01-05", "2026-01-04").first()) == (1, 1, 1)
+
+
+def test_candidate_outcomes(spark):
+    of = lambda *rows: spark.createDataFrame(list(rows), "candidate_id string, user_id string, article_id string, seq long")
+    stored = of(("c1", "u", "a", 0)).drop("seq")
+    got = match.record_candidates(of(("c1", "u", "a", 0), ("c2", "u", "b", 1), ("c2", "u", "b", 2)), stored)
+    assert {r["seq"]: r["outcome"] for r in got.collect()} == {0: "ALREADY_EXISTS", 1: "CREATED", 2: "ALREADY_EXISTS"}
+    for bad in (of(("c9", "u", "a", 0)), of(("c1", "u", "b", 0))):
+        with pytest.raises(Exception, match="candidate id"):
+            match.record_candidates(bad, stored).collect()

@@ -178,3 +178,27 @@ def test_listings_with_details(spark):
     assert {s: (r["source_item_id"], r["published_at_raw"]) for s, r in got.items()} == {"cn_state_council_policy_docs": ("国发〔2026〕3号", "2026-7-1"), "cn_pboc_regulatory_docs": ("中国人民银行令〔2026〕第1号", "2026-07-01"), "cn_csrc_regulatory_docs": ("bm56000001/2026-01", "2026-7-2")}
     assert got["cn_csrc_regulatory_docs"]["title"] == "全名" and got["cn_csrc_regulatory_docs"]["raw_metadata"] == {"document_number": "证监会公告〔2026〕5号"}
     assert {(r["url"], r["reason"]) for r in bad.collect()} == {("https://www.gov.cn/zhengce/content/2.htm", "missing_detail_page"), ("https://www.nea.gov.cn/2026/c.html", "detail_scope_leak")}
+
+
+def test_discovery_responses(spark):
+    bodies = ['{"articles":[{"url":" http://a ","title":" ","language":"English","seendate":"x"},{"title":"no url"},{"url":" "}]}', '{"articles":[]}', "{}", "no json"]
+    found, counts = feeds.discovery(spark.createDataFrame([(f"q{k}", "2026-07-01", b) for k, b in enumerate(bodies)], "query_id string, observed_at string, body string"))
+    assert [(r["original_url"], r["title"], r["language_hint"], r["published_at_raw"], r["provider_metadata"]) for r in found.collect()] == [("http://a", None, "English", None, {"provider_seendate": "x"})]
+    assert [tuple(r)[2:] for r in counts.orderBy("query_id").collect()] == [(3, 2, None), (0, 0, None), (None, None, "no list of articles"), (None, None, "no list of articles")]
+
+
+def test_corpus(spark):
+    pages = lambda *bodies: spark.createDataFrame(list(enumerate(bodies)), "page int, body string")
+    listed = feeds.corpus_list(pages('{"count":3,"packages":[{"packageId":"PLAW-2"},{"packageId":"PLAW-1"}],"nextPage":"n"}', '{"count":3,"packages":[{"packageId":"PLAW-2"}]}'))
+    assert [r["package_id"] for r in listed.orderBy("page", "pos").collect()] == ["PLAW-2", "PLAW-1"]
+    for bad in ('{"count":0,"packages":[{"packageId":"PLAW-1"}]}', '{"count":1,"packages":[{"packageId":"../x"}]}', "{}", '{"count":0,"packages":[],"nextPage":"n"}'):
+        with pytest.raises(Exception):
+            feeds.corpus_list(pages(bad)).collect()
+    details = lambda *rows: spark.createDataFrame(list(rows), "package_id string, body string")
+    one = ("PLAW-1", '{"packageId":"PLAW-1","collectionCode":"PLAW","title":" T ","lastModified":"m"}')
+    two = ("PLAW-2", '{"packageId":"PLAW-2","collectionCode":"PLAW","title":"U","dateIssued":"2026-07-01"}')
+    got = feeds.corpus_articles(listed, details(one, two)).orderBy("page", "pos").collect()
+    assert [(r["source_item_id"], r["title"], r["published_at_raw"], r["raw_metadata"].get("last_modified")) for r in got] == [("PLAW-2", "U", "2026-07-01", None), ("PLAW-1", "T", None, "m")]
+    for wrong in (details(one), details(one, ("PLAW-2", one[1]))):
+        with pytest.raises(Exception):
+            feeds.corpus_articles(listed, wrong).collect()
