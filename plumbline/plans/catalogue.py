@@ -196,12 +196,16 @@ SELECT user_id, article_id, array_to_string(list_concat(list_concat(list_transfo
   sha256('["alert-candidate-v1","' || user_id || '","' || article_id || '"]') AS candidate_id FROM z"""
 
 
-def _matched(spark, sf_dir):
+#: The same with every customer as a user.
+_MATCHED_ALL = _MATCHED.replace(_PREFS_SQL, _PREFS_SQL.removesuffix(" WHERE c_custkey < 60"))
+
+
+def _matched(spark, sf_dir, customers):
     work = _classified(spark, sf_dir).filter("outcome = 'DETERMINISTIC'").select(F.col("doc_id").cast("string").alias("article_id"), F.col("source").alias("source_id"), "markets", "category", "topics", F.col("confidence").cast("double").alias("confidence"), F.lit(None).cast("long").alias("published_at"), (F.col("doc_id") * 60).alias("discovered_at"), F.lit(90_000).cast("long").alias("matched_at"))
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     none = F.expr("cast(array() as array<string>)")
     of = lambda *x: F.array(*map(F.lit, x))
-    prefs = table(spark, sf_dir, "customer").filter("c_custkey < 60").select(
+    prefs = customers.select(
         k.cast("string").alias("user_id"), F.when(k % 3 == 0, of("US", "EU")).when(k % 3 == 1, of("VN")).otherwise(none).alias("markets"), F.when(n % 2 == 0, of("LAW_POLICY")).otherwise(none).alias("categories"),
         F.when(n % 5 == 0, of("REGULATION", "AI")).otherwise(none).alias("topics"), F.array(F.concat(F.lit("src"), (k % 20).cast("string"))).alias("muted_source_ids"), none.alias("muted_topics"), (k % 2 == 0).alias("breaking_alert_enabled"),
     )
@@ -210,7 +214,13 @@ def _matched(spark, sf_dir):
 
 @_query(_MATCHED)
 def alert_match(spark, sf_dir):
-    return _matched(spark, sf_dir).withColumn("reasons", F.array_join("reasons", ","))
+    """The users that the SQL names; alert_match_all_users has every customer."""
+    return _matched(spark, sf_dir, table(spark, sf_dir, "customer").filter("c_custkey < 60")).withColumn("reasons", F.array_join("reasons", ","))
+
+
+@_query(_MATCHED_ALL)
+def alert_match_all_users(spark, sf_dir):
+    return _matched(spark, sf_dir, table(spark, sf_dir, "customer")).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @_query("SELECT CAST(user_id AS BIGINT) AS user_id, event_type, min(event_id) AS event_id FROM events WHERE (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE ts < TIMESTAMP '2024-01-03') GROUP BY ALL")
