@@ -1,13 +1,18 @@
 """Duplicate detection in arrival order.
 
 A row is a duplicate of the earliest row before it that matches on any layer: canonical URL, item id
-within a source, content hash, and (separately) title similarity.  For the exact layers only the
-first row with a key can be the earliest match, so each layer is a grouped minimum joined back; no
-pairs are made.
+within a source, content hash and title similarity.  For the exact layers only the first row with a
+key can be the earliest match, so each layer is a grouped minimum joined back; no pairs are made.
+Titles meet in cells of bounded size, where counts of characters rule out nearly all pairs and each
+row looks for its earliest match only.
 """
 
 from __future__ import annotations
 
+import difflib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,8 @@ LAYERS = (("CANONICAL_URL", ("canonical_url",)), ("SOURCE_ITEM_ID", ("source_id"
 THRESHOLD = 0.98
 MIN_KEY = 30
 DAY = 86_400
+CELL_ROWS = 2_000
+_BUCKETS = 32
 
 
 def first_seen(rows: DataFrame, keys: list[str], seq: str, name: str) -> DataFrame:
@@ -59,6 +66,78 @@ def title_similarity(rows: DataFrame, *, threshold: float = THRESHOLD) -> DataFr
     return scored.filter(F.col("score") >= threshold)
 
 
+def _profiles(keys: np.ndarray) -> np.ndarray:
+    """Bucketed counts of each key's characters; two keys' counts differ by no more than their unmatched characters."""
+    out = np.zeros((len(keys), _BUCKETS), np.int32)
+    for k, key in enumerate(keys):
+        out[k] = np.bincount(np.frombuffer(key.encode("utf-32-le"), np.uint32) % _BUCKETS, minlength=_BUCKETS)
+    return out
+
+
+def _earliest_in_cell(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """seq, of, score: the earliest match of each left row among the right rows."""
+    right = cell[~cell["is_left"]].sort_values("seq")
+    r_codes, r_keys = pd.factorize(right["title_key"])
+    r_keys = np.asarray(r_keys, dtype=object)
+    size, profile = np.array([len(k) for k in r_keys], dtype=np.int64), _profiles(r_keys)
+    digits = dict(zip(cell["title_key"], map(tuple, cell["digits"]), strict=True))
+    seqs, ats = right["seq"].to_numpy(), right["at"].to_numpy()
+    found = []
+    for key, rows in cell[cell["is_left"]].groupby("title_key", sort=False):
+        most = (1 - threshold) * (size + len(key)) + 1e-6  # unmatched characters of a match
+        near = np.flatnonzero(np.abs(size - len(key)) <= most)
+        near = near[np.abs(profile[near] - _profiles(np.array([key], dtype=object))[0]).sum(axis=1) <= most[near]]
+        mine = digits[key]
+        able = np.zeros(len(r_keys), dtype=bool)
+        able[[k for k in near if not mine or not digits[r_keys[k]] or digits[r_keys[k]] == mine]] = True
+        scores: dict[int, float] = {}
+        at_rows = np.flatnonzero(able[r_codes])
+        for seq, at, below in zip(rows["seq"], rows["at"], rows["below"], strict=True):
+            for k in at_rows[(seqs[at_rows] < below) & (np.abs(ats[at_rows] - at) <= DAY)]:
+                c = r_codes[k]
+                if c not in scores:
+                    scores[c] = 1.0 if r_keys[c] == key else difflib.SequenceMatcher(None, key, r_keys[c], autojunk=False).ratio()
+                if scores[c] >= threshold:
+                    found.append((seq, seqs[k], scores[c]))
+                    break
+    return pd.DataFrame(found, columns=["seq", "of", "score"]).astype({"seq": "int64", "of": "int64", "score": "float64"})
+
+
+def earliest_title(rows: DataFrame, *, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(seq, of, score) of the earliest match at or above the threshold, for rows that have one.
+
+    rows: seq, market, title_key, at (seconds), below (only matches with a smaller seq are of use).
+    Length classes are those of title_similarity.  Left rows of a class and right rows of it and its
+    neighbours are dealt into pieces of about cell_rows; every pair of pieces is a cell.
+    """
+    ratio = (2 - threshold) / threshold
+    r = rows.filter((F.length("title_key") >= MIN_KEY) & F.col("market").isNotNull() & F.col("at").isNotNull())
+    r = r.select("market", "title_key", *[F.col(c).cast("long").alias(c) for c in ("seq", "at", "below")], T.numeric_tokens(F.col("title_key")).alias("digits"), F.floor(F.log(F.length("title_key").cast("double")) / F.log(F.lit(ratio))).alias("band"))
+    left, right = r.withColumn("is_left", F.lit(True)), r.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)]))).withColumn("is_left", F.lit(False))
+    pieces = lambda x, name: x.groupBy("market", "band").agg(F.ceil(F.count("*") / F.lit(cell_rows)).alias(name))
+    dealt = F.broadcast(pieces(left, "n_left").join(pieces(right, "n_right"), ["market", "band"]))  # a row for each market and length class
+    other = lambda x: F.explode(F.sequence(F.lit(0).cast("long"), F.col(x) - 1))
+    piece = lambda x: F.pmod(F.xxhash64("seq"), F.col(x))
+    left = left.join(dealt, ["market", "band"]).withColumn("l", piece("n_left")).withColumn("r", other("n_right"))
+    right = right.join(dealt, ["market", "band"]).withColumn("r", piece("n_right")).withColumn("l", other("n_left"))
+    cells = left.unionByName(right).select("market", "band", "l", "r", "is_left", "title_key", "seq", "at", "below", "digits")
+    found = cells.groupBy("market", "band", "l", "r").applyInPandas(lambda cell: _earliest_in_cell(cell, threshold), "seq long, of long, score double")
+    return found.groupBy("seq").agg(F.min(F.struct("of", "score")).alias("m")).select("seq", "m.of", "m.score")
+
+
+def all_layers(rows: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row: seq, duplicate_of (the earliest match by any layer), reason (the first layer that matches it) and, for titles, score.
+
+    rows: seq, canonical_url, source_id, source_item_id, content_hash, market, title_key, at (seconds).
+    """
+    exact = exact_layers(rows)
+    below = F.coalesce(F.col("duplicate_of"), F.col("seq"))  # an exact match comes first where it is the same row
+    titles = earliest_title(exact.select("seq", "market", "title_key", "at", below.alias("below")), threshold=threshold)
+    both = exact.select("seq", "duplicate_of", "reason").join(titles, "seq", "left")
+    earlier = F.col("of").isNotNull()  # every such match lies before the exact one
+    return both.select("seq", F.when(earlier, F.col("of")).otherwise(F.col("duplicate_of")).alias("duplicate_of"), F.when(earlier, "TITLE_SIMILARITY").otherwise(F.col("reason")).alias("reason"), "score")
+
+
 def sightings(rows: DataFrame, key: Column) -> DataFrame:
     """Per query and key: the first sighting's fields, the earliest time.  rows: query_id, seq, observed_at and more."""
     fields = [c for c in rows.columns if c not in ("query_id", "observed_at")]

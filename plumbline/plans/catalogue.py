@@ -101,8 +101,15 @@ def dedup_exact_layers(spark, sf_dir):
 
 @_query()
 def dedup_title_similarity(spark, sf_dir):
-    rows = _articles(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("lang").alias("market"), T.text_key(F.col("title")).alias("title_key"), (F.col("doc_id") * 3600).alias("at"))
-    return dedup.title_similarity(rows)
+    """Documents in order of their ids, with the URL of the page of that id where there is one, and times all over a week whatever the id."""
+    seq, c = F.col("doc_id"), F.col("canonical_url")
+    item = F.regexp_extract(c, "/([0-9]+)", 1)
+    urls = _canonical(spark, sf_dir).withColumnRenamed("page_id", "doc_id")
+    rows = _articles(spark, sf_dir).join(urls, "doc_id", "left").select(
+        seq.alias("seq"), c, F.coalesce(U.host_of(c), F.col("source")).alias("source_id"), F.when(item != "", item).alias("source_item_id"), T.json_hash(F.lit("v1"), F.col("title"), F.col("description")).alias("content_hash"),
+        F.col("lang").alias("market"), T.text_key(F.col("title")).alias("title_key"), (seq * 7_919 % (7 * dedup.DAY)).alias("at"),
+    )
+    return dedup.all_layers(rows)
 
 
 @_query()
