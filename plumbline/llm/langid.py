@@ -4,8 +4,11 @@ Texts are cut into windows of WINDOW bytes, all of them; in each window one GRU
 one backwards, and a softmax over both states labels every byte position with a language.  A
 document's probabilities are the mean over all its positions.  The network is trained here, in
 numpy, by backpropagation through time and Adam, on windows spread evenly over a bounded sample of
-labelled rows (TRAIN_ROWS, by hash of the id; up to ROW_WINDOWS windows a row).  Everything is
-seeded: the same rows give the same network.
+labelled rows (TRAIN_ROWS; up to ROW_WINDOWS windows a row).  Rows are counted by language first:
+each language has an equal quota of the sample, what rare ones leave over goes to the others, and
+within a language rows are taken by hash of the id, the one with the least hash always.  So every
+language of a row that may be learnt from is a class at every size; only beyond TRAIN_ROWS languages
+is the sample larger, with one row each.  Everything is seeded: the same rows give the same network.
 
 Gates use the softsign pair x / (1 + |x|) instead of tanh and the logistic function, which keeps a
 step to a few vector operations.
@@ -190,13 +193,26 @@ def spread(data: np.ndarray, most: int) -> np.ndarray:
     return windows if len(windows) <= most else windows[np.linspace(0, len(windows) - 1, most).astype(int)]
 
 
+def quotas(counts: dict[str, int], total: int) -> dict[str, int]:
+    """How many rows of each language are learnt from: equal shares, of which rare languages leave the rest to others; one at least."""
+    out, left = {}, total
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = max(1, min(n, left // (len(counts) - k)))
+        left = max(0, left - out[lang])
+    return out
+
+
 def sample(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows and labels of a bounded sample of the labelled rows that may be learnt from."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    n = rows.count()
-    share = min(1.0, train_rows / max(n, 1))
-    rows = rows.filter(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("text", "lang", "doc_id")
+    part = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30))
+    seen = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(part).alias("least")).collect()}
+    quota = quotas({k: r["n"] for k, r in seen.items()}, train_rows)
+    below = [(k, max(int(quota[k] / r["n"] * (1 << 30)), r["least"]) + 1) for k, r in sorted(seen.items())]  # the least hash is always in
+    bounds = docs.sparkSession.createDataFrame(below, "b_lang string, b_below long")
+    rows = rows.join(F.broadcast(bounds), F.col("lang") == F.col("b_lang")).filter(part < F.col("b_below"))
+    rows = rows.select("text", "lang", "doc_id")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

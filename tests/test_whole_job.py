@@ -10,6 +10,7 @@ import unicodedata
 
 import pytest
 
+from plumbline.llm import langid
 from plumbline.operators import dedup
 from plumbline.plans import catalogue
 
@@ -88,3 +89,13 @@ def test_title_query_by_brute_force(spark, sf):
     want = brute_duplicates(rows)
     assert any(reason == "TITLE_SIMILARITY" and seq - of > 24 for seq, (of, reason, _) in want.items())
     assert {r["seq"]: (r["duplicate_of"], r["reason"], r["score"]) for r in catalogue.queries()["dedup_title_similarity"](spark, sf).collect()} == want
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(k, "the cat and the dog ", "en") for k in range(3_000)] + [(k, "der hund und die katze ", "de") for k in range(3_000, 3_400)]
+    rows += [(k, "og hundurinn ", "is") for k in range(5_000, 5_006)] + [(k, "ja koira ", "fi") for k in range(6_000, 6_003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    _, labels, classes = langid.sample(docs, train_rows=100)
+    assert classes == ["de", "en", "fi", "is"] and 70 < len(labels) < 130
+    assert langid.sample(docs, train_rows=2)[2] == classes
+    assert langid.quotas({"en": 10_000_000, "de": 1_000, "is": 3}, 4_000) == {"is": 3, "de": 1_000, "en": 2_997}
