@@ -6,6 +6,10 @@ the root with digits blurred.  Votes are summed by host and path in Spark, one p
 Second pass: each page gives the text under its host's winning path, or, where it has no such
 element, under its own best container.  Menus, headers outside the article, footers, asides, forms,
 scripts, styles, notices, adverts, comments of readers and hidden elements are left out in both.
+What only a word of its class or id marks as such is judged after parsing: an element stays if it is
+or holds the main element or an article (of half the largest article's text or more, and not within
+comments or recommendations), or holds most of the text that tags alone leave (MOST); and where
+these words leave a page without text, they are ignored for the page.
 
 Winners (one row a host) are broadcast only if they were counted and are under BROADCAST_HOSTS;
 otherwise the join is shuffled, where adaptive execution splits a host with many pages.
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOTES = 3
+MOST = 0.5
 BROADCAST_HOSTS = 200_000
 STEP_ROWS = 200
 
@@ -42,6 +47,8 @@ BOILER = frozenset(
     "signup popup modal overlay sidebar sidebars side widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer masthead topbar comment comments commentlist disqus respond "
     "reply replies discussion share sharing social related recommended recommendations toolbar login search skip outbrain taboola".split()
 )
+#: Of these, what marks lists that are often made of small articles.
+LISTS = frozenset("comment comments commentlist disqus respond reply replies discussion related recommended recommendations outbrain taboola".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 MEANT = frozenset("article articlebody post content contents entry story main text body maincontent".split())
 IMPLIED = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "p": "p"}
@@ -59,6 +66,8 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.paths, self.parents, self.dropped, self.weights = ["#"], [""], [-1], [False], [0.0]
+        self.named: list[int] = []  # elements that a word of their class or id marks as boilerplate
+        self._lists: set[int] = set()  # those of them that such a word marks as a list
         self.runs: list[tuple[int, str | None]] = []  # (element, text), or (element, None) for a border between blocks
         self._stack = [0]
         at = 0
@@ -85,6 +94,41 @@ class Page:
                 self._end(tag)
         if at < len(source):
             self._text(source[at:])
+        if self.named:
+            self._judge()
+
+    def _judge(self) -> None:
+        """Drops the named elements, but for those that are or hold the main part of the page."""
+        n = len(self.tags)
+        sizes, listed = [0] * n, [False] * n
+        for e, text in self.runs:
+            if text and not text.isspace():
+                sizes[e] += len(text)
+        total = sum(sizes)
+        for e in range(n - 1, 0, -1):
+            sizes[self.parents[e]] += sizes[e]
+        for e in self.named:
+            listed[e] = e in self._lists and sizes[e] <= MOST * total
+        for e in range(1, n):
+            listed[e] = listed[e] or listed[self.parents[e]]
+        stories = [e for e in range(n) if self.tags[e] == "article" and sizes[e] and not listed[e]]
+        least = max((sizes[e] for e in stories), default=0) / 2
+        central = [t == "main" and sizes[e] > 0 for e, t in enumerate(self.tags)]
+        for e in stories:
+            central[e] = central[e] or sizes[e] >= least
+        for e in range(n - 1, 0, -1):
+            if central[e]:
+                central[self.parents[e]] = True
+        out = list(self.dropped)
+        for e in self.named:
+            if not central[e] and sizes[e] <= MOST * total:
+                out[e] = True
+        for e in range(1, n):
+            out[e] = out[e] or out[self.parents[e]]
+        if total and not any(text and not text.isspace() and not out[e] for e, text in self.runs):
+            return
+        self.dropped = out
+        self.runs = [(e, text) for e, text in self.runs if text is None or not out[e]]
 
     def _text(self, text: str) -> None:
         e = self._stack[-1]
@@ -122,24 +166,33 @@ class Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.paths.append(f"{self.paths[parent]}>{tag}" + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(classes)[:3]))
-        self.dropped.append(self.dropped[parent] or self._left_out(tag, classes, found))
+        self.dropped.append(self.dropped[parent] or self._left_out(tag, found))
+        if not self.dropped[-1] and (marks := self._named(tag, classes, found)):
+            self.named.append(len(self.tags) - 1)
+            if marks & LISTS:
+                self._lists.add(len(self.tags) - 1)
         words = {w for c in classes for w in _WORD.findall(c)} | set(_WORD.findall(found.get("id", "").lower())) if classes or "id" in found else set()
         meant = 1.5 if tag == "article" else 1.3 if tag == "main" or found.get("role") == "main" else 1.4 if found.get("itemprop", "").lower() == "articlebody" else 1.25 if words & MEANT else 0.8 if tag == "body" else 1.0
         self.weights.append(meant if tag in CONTAINER else 0.0)
         stack.append(len(tags) - 1)
 
-    def _left_out(self, tag: str, classes: list[str], found: dict[str, str]) -> bool:
+    def _left_out(self, tag: str, found: dict[str, str]) -> bool:
         if tag in DROP or "hidden" in found or found.get("role", "").lower() in BOILER_ROLES:
             return True
         if tag == "header" and not any(self.tags[e] in ("article", "main") for e in self._stack):
             return True
+        return False
+
+    def _named(self, tag: str, classes: list[str], found: dict[str, str]) -> set[str]:
+        """The words of class and id that mark the element as boilerplate."""
+        marks: set[str] = set()
         if tag in ("html", "body", "main"):
-            return False
+            return marks
         for name in (*classes, found.get("id", "").lower()):
             words = _WORD.findall(name)
-            if words and words[0] not in ("has", "with", "no", "without", "is") and not BOILER.isdisjoint(words):
-                return True
-        return False
+            if words and words[0] not in ("has", "with", "no", "without", "is"):
+                marks |= BOILER.intersection(words)
+        return marks
 
     def _end(self, tag: str) -> None:
         if tag in BLOCK:

@@ -10,7 +10,7 @@ import unicodedata
 
 import pytest
 
-from plumbline.llm import langid
+from plumbline.llm import html_extract, langid
 from plumbline.operators import dedup
 from plumbline.plans import catalogue
 
@@ -99,3 +99,16 @@ def test_rare_languages_are_learnt(spark):
     assert classes == ["de", "en", "fi", "is"] and 70 < len(labels) < 130
     assert langid.sample(docs, train_rows=2)[2] == classes
     assert langid.quotas({"en": 10_000_000, "de": 1_000, "is": 3}, 4_000) == {"is": 3, "de": 1_000, "en": 2_997}
+
+
+def test_layout_words_keep_the_article():
+    text = "The whole story in one long sentence."
+    page = lambda x: html_extract.extract(f"<html><body>{x}</body></html>", None)
+    assert page(f'<div id="page" class="layout-right-sidebar"><article><p>{text}</p></article></div>') == text
+    assert page(f'<article class="social-share"><p>{text}</p></article><div class="sidebar">Side</div>') == text
+    assert page(f'<section class="notice-layout"><main><p>{text}</p></main></section><p>Home</p>') == text
+    assert page(f'<div class="widget-wrap"><p>{text}</p></div><div class="promo">Buy</div>') == text  # by share
+    assert page('<div class="alert">One third.</div><div class="notice">Another.</div><div class="promo">And more.</div>') == "One third. Another. And more."  # nothing else is there
+    said = "<article>" + "A reader says much. " * 3 + "</article>"
+    assert page(f'<div class="wrap"><p>{text * 4}</p><div id="comments">{said}{said}</div></div>') == text * 4
+    assert page(f'<div class="wrap"><article><p>{text}</p></article><div class="sidebar"><article>Teaser</article></div></div>') == text
