@@ -5,8 +5,7 @@ labels mark as good) and the raw corpus (every text).  A document's score is the
 4-grams of log p_target - log p_raw, so long and short texts share one scale.  One threshold, a
 parameter, decides every document: nothing is drawn at random.
 
-Raw counts cover all documents.  Target counts cover labelled good rows; where there are more
-than `target_rows` of them, those with the smallest hashes of their ids (a documented bound).
+Raw counts cover all documents, target counts all labelled good rows.
 
 Edge cases: a null text counts as empty; an empty text has no words, so `base_failed` is true and
 `kept` false; a text of under four bytes scores 0.  Without any trusted row the ratio is 0 for
@@ -16,10 +15,11 @@ input other than the id and the text are passed through by `judge` untouched, wh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +29,8 @@ from .textvec import BASES, U, Words, flat, mix, powers, runs_of_equal, steps, w
 SLOTS = 1 << 16
 #: Mean nats a 4-gram below which a document is rejected.
 THRESHOLD = -0.4
-TARGET_ROWS = 5_000
+#: Most trusted ids that are sent to every worker (8 bytes each); more are joined.
+BROADCAST_IDS = 16_000_000
 SMOOTHING = 1.0
 SYMBOLS = b"#*$%&|<>"
 _PIECES = 16
@@ -81,12 +82,12 @@ def _add(pieces: pa.Table) -> pa.Table:
     return pa.table({"piece": pa.array([pieces["piece"][0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def gram_counts(texts: DataFrame) -> np.ndarray:
-    """Counts of the hashed 4-grams of every text of the only column; of fixed size whatever the input."""
+def gram_counts(texts: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = _count) -> np.ndarray:
+    """Counts of the hashed 4-grams of every text of the only column (or of those that count chooses); of fixed size whatever the input."""
     out = np.zeros(SLOTS, dtype=np.int64)
     size = SLOTS // _PIECES
     schema = "piece int, counts binary"
-    for row in texts.mapInArrow(_count, schema).groupBy("piece").applyInArrow(_add, schema).collect():
+    for row in texts.mapInArrow(count, schema).groupBy("piece").applyInArrow(_add, schema).collect():
         out[row["piece"] * size : (row["piece"] + 1) * size] = np.frombuffer(row["counts"], np.int64)
     return out
 
@@ -100,19 +101,47 @@ def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING)
     return np.log(p_target) - np.log(p_raw)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", target_rows: int = TARGET_ROWS, smoothing: float = SMOOTHING) -> np.ndarray:
-    """The log ratio of each slot; trusted are the documents with a label of quality 1."""
+def _among(ids: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of the texts (second column) whose ids (first) are among the sorted ones."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ids.value
+
+        def mine() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                there = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                mark = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+                at = np.minimum(np.searchsorted(known, mark), len(known) - 1)
+                yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(there & (known[at] == mark)))], names=["text"])
+
+        yield from _count(mine())
+
+    return count
+
+
+def target_counts(docs: DataFrame, good: DataFrame, n: int, *, doc_id: str, text: str, broadcast_ids: int = BROADCAST_IDS) -> np.ndarray:
+    """Counts over every document whose id is among the n of good (trusted_id).
+
+    Texts stay where they are: the ids, 8 bytes each, go to the workers.  Only ids that aren't
+    integers, or more of them than broadcast_ids, are joined by dealing out texts.
+    """
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if n <= broadcast_ids and isinstance(docs.schema[doc_id].dataType, kinds) and isinstance(good.schema["trusted_id"].dataType, kinds):
+        ids = np.sort(good.select(F.col("trusted_id").cast("long").alias("trusted_id")).toArrow()["trusted_id"].to_numpy())
+        sent = docs.sparkSession.sparkContext.broadcast(ids)
+        return gram_counts(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), _among(sent))
+    mine = docs.select(F.col(doc_id).alias("trusted_id"), F.col(text).alias("trusted_text"))
+    return gram_counts(mine.join(good, "trusted_id", "left_semi").select("trusted_text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", smoothing: float = SMOOTHING) -> np.ndarray:
+    """The log ratio of each slot; trusted are the documents with a label of quality 1, all of them."""
     raw = gram_counts(docs.select(F.col(text)))
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("trusted_id")).distinct()
     n = good.count()
     if n == 0:
         return np.zeros(SLOTS)
-    share = min(1.0, target_rows / n)
-    chosen = F.pmod(F.xxhash64("trusted_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    mine = docs.select(F.col(doc_id).alias("trusted_id"), F.col(text).alias("trusted_text"))
-    if share < 1:  # on both sides, so that only chosen texts are dealt out
-        good, mine = good.filter(chosen), mine.filter(chosen)
-    return log_ratio(gram_counts(mine.join(good, "trusted_id", "left_semi").select("trusted_text")), raw, smoothing)
+    return log_ratio(target_counts(docs, good, n, doc_id=doc_id, text=text), raw, smoothing)
 
 
 def measures(column: pa.Array, ratio: np.ndarray) -> dict[str, np.ndarray]:
@@ -180,7 +209,7 @@ def judge(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", threshold:
     return docs.mapInArrow(run, schema)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per document: id, the measures, the length-normalised log ratio and whether it is kept."""
-    ratio = fit(docs, labels, doc_id=doc_id, text=text, target_rows=target_rows)
+    ratio = fit(docs, labels, doc_id=doc_id, text=text)
     return judge(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ratio, threshold=threshold).drop("text")

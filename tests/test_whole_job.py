@@ -5,12 +5,17 @@ from __future__ import annotations
 import difflib
 import hashlib
 import json
+import math
+import random
 import re
 import unicodedata
+from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from plumbline.llm import html_extract, langid
+from plumbline.llm import html_extract, langid, quality
 from plumbline.operators import dedup
 from plumbline.plans import catalogue
 
@@ -112,3 +117,33 @@ def test_layout_words_keep_the_article():
     said = "<article>" + "A reader says much. " * 3 + "</article>"
     assert page(f'<div class="wrap"><p>{text * 4}</p><div id="comments">{said}{said}</div></div>') == text * 4
     assert page(f'<div class="wrap"><article><p>{text}</p></article><div class="sidebar"><article>Teaser</article></div></div>') == text
+
+
+def slots(text):
+    """The slot of each 4-gram, in plain integers."""
+    b = text.encode()
+    return [(sum(x * m for x, m in zip(b[k : k + 4], (1, 2533, 246515, 32773589), strict=True)) * 2654435761 % 2**32) >> 16 for k in range(len(b) - 3)]
+
+
+def brute_ratio(texts, trusted):
+    raw, target = Counter(), Counter()
+    for i, t in texts:
+        raw.update(slots(t))
+        if i in trusted:
+            target.update(slots(t))
+    n, m = raw.total(), target.total()
+    p = lambda s: (raw[s] + 1) / (n + 65_536)
+    return lambda s: math.log((target[s] + 65_536 * p(s)) / (m + 65_536)) - math.log(p(s))
+
+
+@pytest.mark.parametrize("bound", [quality.BROADCAST_IDS if hasattr(quality, "BROADCAST_IDS") else None, 0])
+def test_every_trusted_row_counts(spark, monkeypatch, bound):
+    if bound is not None:
+        monkeypatch.setitem(quality.target_counts.__kwdefaults__, "broadcast_ids", bound)
+    texts = [(k, f"{k * 7919 % 10_007} says {k * k % 9_973}") for k in range(7_000)]
+    docs = spark.createDataFrame([*texts, (None, "no id"), (7_001, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 6_400)] + [(3, 1), (6_500, 0), (None, 1), (9_999, 1)], "doc_id int, quality int")
+    want = brute_ratio([*texts, (None, "no id")], set(range(6_400)))
+    assert np.allclose(quality.fit(docs, labels), [want(s) for s in range(quality.SLOTS)])
+    named = quality.fit(docs.withColumn("doc_id", F.col("doc_id").cast("string")), labels.withColumn("doc_id", F.col("doc_id").cast("string")))
+    assert np.allclose(named, [want(s) for s in range(quality.SLOTS)])
