@@ -7,6 +7,11 @@ parameter, decides every document: nothing is drawn at random.
 
 Raw counts cover all documents, target counts all labelled good rows.
 
+The target is smoothed towards the corpus by SLOTS pseudo-counts, so that a small one doesn't reject
+clean texts.  No 4-gram's ratio is then below -log(1 + T / SLOTS), T being the target's 4-grams: with
+fewer than `least_target` of them (32,233 at THRESHOLD) the ratio alone rejects nothing
+and only the base rules decide; `fit` warns of that.
+
 Edge cases: a null text counts as empty; an empty text has no words, so `base_failed` is true and
 `kept` false; a text of under four bytes scores 0.  Without any trusted row the ratio is 0 for
 every document and only the base rules decide.  Repeated rows get equal results.  Columns of the
@@ -15,6 +20,7 @@ input other than the id and the text are passed through by `judge` untouched, wh
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -101,6 +107,11 @@ def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING)
     return np.log(p_target) - np.log(p_raw)
 
 
+def least_target(threshold: float = THRESHOLD, smoothing: float = SMOOTHING) -> int:
+    """The fewest 4-grams of a target whose ratio can fall below the threshold."""
+    return int(smoothing * SLOTS * np.expm1(-threshold)) + 1
+
+
 def _among(ids: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of the texts (second column) whose ids (first) are among the sorted ones."""
 
@@ -141,7 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     n = good.count()
     if n == 0:
         return np.zeros(SLOTS)
-    return log_ratio(target_counts(docs, good, n, doc_id=doc_id, text=text), raw, smoothing)
+    target = target_counts(docs, good, n, doc_id=doc_id, text=text)
+    if target.sum() < (least := least_target(smoothing=smoothing)):
+        warnings.warn(f"the target has {target.sum()} 4-grams; under {least} the ratio rejects nothing at the threshold {THRESHOLD}", stacklevel=2)
+    return log_ratio(target, raw, smoothing)
 
 
 def measures(column: pa.Array, ratio: np.ndarray) -> dict[str, np.ndarray]:

@@ -147,3 +147,27 @@ def test_every_trusted_row_counts(spark, monkeypatch, bound):
     assert np.allclose(quality.fit(docs, labels), [want(s) for s in range(quality.SLOTS)])
     named = quality.fit(docs.withColumn("doc_id", F.col("doc_id").cast("string")), labels.withColumn("doc_id", F.col("doc_id").cast("string")))
     assert np.allclose(named, [want(s) for s in range(quality.SLOTS)])
+
+
+def test_ratio_alone_rejects_junk(spark):
+    rnd = random.Random(3)
+    vocab = ["".join(rnd.choice("aeinrstl") for _ in range(rnd.randint(3, 8))) for _ in range(300)]
+    good = [" ".join(rnd.choice(vocab) for _ in range(220)) for _ in range(80)]
+    junk = [" ".join("".join(rnd.choice("bcdfghjkmpqvwxyz0123456789") for _ in range(6)) for _ in range(160)) for _ in range(12)]
+    texts = list(enumerate(good + junk))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for trusted in (set(range(60)), set(range(4))):
+        labels = spark.createDataFrame([(k, 1) for k in trusted], "doc_id long, quality int")
+        enough = sum(len(slots(good[k])) for k in trusted) >= quality.least_target()
+        assert enough == (len(trusted) == 60)
+        ratio = brute_ratio(texts, trusted)
+        mean = {k: np.mean([ratio(s) for s in slots(t)]) for k, t in texts}
+        if enough:
+            got = quality.quality_rules(docs, labels).collect()
+        else:
+            with pytest.warns(UserWarning, match="rejects nothing"):
+                got = quality.quality_rules(docs, labels).collect()
+        assert not any(r["base_failed"] for r in got)
+        assert np.allclose([r["llr"] for r in got], [mean[r["doc_id"]] for r in got])
+        assert {r["doc_id"] for r in got if not r["kept"]} == {k for k, x in mean.items() if x < -0.4} == (set(range(80, 92)) if enough else set())
+    assert quality.least_target() == 32_233
