@@ -448,21 +448,41 @@ def queue_enqueue(spark, sf_dir):
     return state.enqueue(commands, _stored(spark, sf_dir)).select("article_id", "outcome", F.array_join("mismatched_fields", ",").alias("mismatched_fields"))
 
 
-def _tokens(spark, sf_dir):
-    """A command for each stored row, one in five with another token."""
+def _tokens(orders):
+    """A command for each order, one in five with another token."""
     k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").filter(k % 2 == 0).select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.when(k % 5 == 0, "other").otherwise(F.concat(F.lit("t"), k)).alias("claim_token"))
+    return orders.select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.when(k % 5 == 0, "other").otherwise(F.concat(F.lit("t"), k)).alias("claim_token"))
 
 
 @_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'RENEWED' ELSE 'LOST_CLAIM' END AS outcome, CASE WHEN ok THEN {_NOW} + 300 END AS lease_expires_at FROM (SELECT o_orderkey, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
 def queue_renew(spark, sf_dir):
-    return state.renew(_tokens(spark, sf_dir), _stored(spark, sf_dir), _NOW, 300).select("article_id", "outcome", "lease_expires_at")
+    """The stored half of the orders, as the SQL has it; queue_renew_all_orders has every order."""
+    return _renewed(spark, sf_dir, table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0"))
+
+
+@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'RENEWED' ELSE 'LOST_CLAIM' END AS outcome, CASE WHEN ok THEN {_NOW} + 300 END AS lease_expires_at FROM (SELECT o_orderkey, o_orderkey % 2 = 0 AND o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders)")
+def queue_renew_all_orders(spark, sf_dir):
+    return _renewed(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _renewed(spark, sf_dir, orders):
+    return state.renew(_tokens(orders), _stored(spark, sf_dir), _NOW, 300).select("article_id", "outcome", "lease_expires_at")
 
 
 @_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'SUCCEEDED' WHEN o_orderstatus = 'P' THEN 'ALREADY_SUCCEEDED' ELSE 'LOST_CLAIM' END AS outcome, CAST(CASE WHEN ok THEN 35 ELSE 15 END AS BIGINT) AS total_tokens FROM (SELECT o_orderkey, o_orderstatus, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
 def queue_complete(spark, sf_dir):
+    """The stored half of the orders, as the SQL has it; queue_complete_all_orders has every order."""
+    return _completed(spark, sf_dir, table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0"))
+
+
+@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'SUCCEEDED' WHEN stored AND o_orderstatus = 'P' THEN 'ALREADY_SUCCEEDED' ELSE 'LOST_CLAIM' END AS outcome, CAST(CASE WHEN ok THEN 35 WHEN stored THEN 15 END AS BIGINT) AS total_tokens FROM (SELECT *, stored AND o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM (SELECT *, o_orderkey % 2 = 0 AS stored FROM orders))")
+def queue_complete_all_orders(spark, sf_dir):
+    return _completed(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _completed(spark, sf_dir, orders):
     usage = [F.lit(n).cast("decimal(24,12)" if c == "estimated_cost_usd" else "long").alias(c) for c, n in zip(state.USAGE, (12, 6, 6, 8, 20, 2))]
-    commands = _tokens(spark, sf_dir).select("*", F.lit("PROVIDER").alias("method"), F.lit(1).alias("provider_attempts"), *usage)
+    commands = _tokens(orders).select("*", F.lit("PROVIDER").alias("method"), F.lit(1).alias("provider_attempts"), *usage)
     return state.complete(commands, _stored(spark, sf_dir), _NOW).select("article_id", "outcome", "total_tokens")
 
 

@@ -171,3 +171,13 @@ def test_ratio_alone_rejects_junk(spark):
         assert np.allclose([r["llr"] for r in got], [mean[r["doc_id"]] for r in got])
         assert {r["doc_id"] for r in got if not r["kept"]} == {k for k, x in mean.items() if x < -0.4} == (set(range(80, 92)) if enough else set())
     assert quality.least_target() == 32_233
+
+
+@pytest.mark.parametrize("name", ["queue_renew_all_orders", "queue_complete_all_orders"])
+def test_commands_without_a_stored_row_lose_the_claim(spark, sf, name):
+    keys = {r["o_orderkey"] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()}
+    got = {r["article_id"]: r for r in catalogue.queries()[name](spark, sf).collect()}
+    assert set(got) == keys and any(k % 2 for k in keys)
+    assert {got[k]["outcome"] for k in keys if k % 2} == {"LOST_CLAIM"}
+    assert len({got[k]["outcome"] for k in keys if k % 2 == 0}) > 1
+    assert all(got[k][2] is None for k in keys if k % 2)
