@@ -3,7 +3,7 @@
 Sets are the distinct SHINGLE-word shingles of lower-cased texts (64-bit hashes); two documents link
 when 100 * |intersection| >= 80 * |union|.  The join is exact; what follows only skips work.
 
-* Equal sets are one class (by 128 bits), and its smallest id stands for it.
+* Equal sets are one class (by 128 bits of two independent hashes), and its smallest id stands for it.
 * Sets that share several of their smallest hashes with a smaller set are put in one cluster.  Any
   clustering gives right results: pairs inside a cluster are answered in the cluster, pairs across
   clusters by the index.  Inside, the cluster's first set is answered first.  A set's overlap with
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_count, checkpointed, id_array, join_groups, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .components import components
-from .textvec import BASES, LOWER, U, Words, flat, mix, powers, steps, windows
+from .textvec import LOWER, SEEDS, U, Words, flat, mix, steps, windows
 
 SHINGLE = 5
 SMALLEST = 8
@@ -51,29 +51,37 @@ SHORT_LIST = 48
 BROADCAST_ROWS = 1_000_000
 
 
-def shingle_sets(column: pa.Array) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def _hashed(column: pa.Array, seed: np.uint64) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The words of lower-cased texts, their hashes and those of their shingles."""
     data, off = flat(column)
     w = Words(LOWER[data], off)
-    h = w.hashes()
-    g = windows(h, SHINGLE)
-    out = []
-    for k in range(len(off) - 1):
-        a, n = w.first[k], w.counts[k]
-        if n >= SHINGLE:
-            s = np.sort(g[a : a + n - SHINGLE + 1])
-            out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
-        elif n:
-            with np.errstate(over="ignore"):
-                out.append(mix((h[a : a + n] * powers(BASES[2], int(n))).sum(keepdims=True) + U(n)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    h = w.hashes(seed)
+    return w, h, windows(h, SHINGLE)
+
+
+def _shingles(w: Words, h: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
+    """The shingles of text k in the order of their places; of a short text the whole."""
+    a, n = w.first[k], w.counts[k]
+    if n >= SHINGLE:
+        return g[a : a + n - SHINGLE + 1]
+    return mix(windows(h[a : a + n], int(n)) ^ SEEDS[2]) if n else np.zeros(0, np.uint64)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    s = np.sort(x)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
+def shingle_sets(column: pa.Array) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    w, h, g = _hashed(column, SEEDS[0])
+    return [_distinct(_shingles(w, h, g, k)) for k in range(len(w.counts))]
 
 
-def signature(s: np.ndarray) -> tuple[int, int]:
+def signature(s: np.ndarray) -> int:
+    """64 bits of a set, whatever its order."""
     with np.errstate(over="ignore"):
-        return int(mix(s).sum().astype(np.int64)), int(mix(s ^ BASES[1]).sum().astype(np.int64))
+        return int(mix(s).sum().astype(np.int64))
 
 
 def need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -90,8 +98,10 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a document (n, signature, smallest hashes) and a row a step (tokens that many of its sets have)."""
     for batch in batches:
         for a, b in steps(batch.column(1), STEP_BYTES):
-            sets = shingle_sets(batch.column(1).slice(a, b - a))
-            sig = [signature(s) for s in sets]
+            part = batch.column(1).slice(a, b - a)
+            sets = shingle_sets(part)
+            w, h, g = _hashed(part, SEEDS[1])
+            sig = [(signature(s), signature(_distinct(_shingles(w, h, g, k)))) for k, s in enumerate(sets)]
             every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
             first = runs(every)
             often = np.diff(np.append(first, len(every)))
@@ -208,7 +218,7 @@ def _inside(table: pa.Table) -> pa.Table:
     for a, b in steps(column, STEP_BYTES):
         sets += shingle_sets(column.slice(a, b - a))
     # Of rows that share an id only those that the class stands for, and of repeated rows one.
-    own = [k for k, s in enumerate(sets) if signature(s)[0] == s1[k]]
+    own = [k for k, s in enumerate(sets) if signature(s) == s1[k]]
     own = [k for j, k in enumerate(own) if not j or (rep[k], s1[k]) != (rep[own[j - 1]], s1[own[j - 1]])]
     ids, sets = rep[own], [sets[k] for k in own]
     found = links_inside(sets) if len(sets) > 1 else []
@@ -243,7 +253,7 @@ def _entries(late: np.ndarray, buckets: int):
             s1 = np.asarray(batch.column(3))
             for a, b in steps(batch.column(1), STEP_BYTES):
                 sets = shingle_sets(batch.column(1).slice(a, b - a))
-                own = np.array([len(s) > 0 and signature(s)[0] == s1[a + k] for k, s in enumerate(sets)], dtype=bool)
+                own = np.array([len(s) > 0 and signature(s) == s1[a + k] for k, s in enumerate(sets)], dtype=bool)
                 sets = [s for s, o in zip(sets, own, strict=True) if o]
                 rep, group = reps[a:b][own], groups[a:b][own]
                 size = np.array([len(s) for s in sets], dtype=np.int64)
@@ -320,7 +330,7 @@ def _pairs(buckets: int):
 def _met(one: np.ndarray, two: np.ndarray, times: np.ndarray, depth: np.ndarray) -> list[np.ndarray]:
     """Pairs put together: key, ids, how often they met, how often they must; in the order of the key."""
     with np.errstate(over="ignore"):
-        key = mix(one.view(np.uint64) * BASES[0] ^ mix(two.view(np.uint64)))
+        key = mix(one.view(np.uint64) * SEEDS[0] ^ mix(two.view(np.uint64)))
     order = np.lexsort((two, one, key))
     key, one, two, times, depth = key[order], one[order], two[order], times[order], depth[order]
     if not len(key):

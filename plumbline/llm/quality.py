@@ -12,6 +12,10 @@ clean texts.  No 4-gram's ratio is then below -log(1 + T / SLOTS), T being the t
 fewer than `least_target` of them (32,233 at THRESHOLD) the ratio alone rejects nothing
 and only the base rules decide; `fit` warns of that.
 
+Lines and windows meet by hash and are compared byte by byte; a text in which unequal ones met is counted
+anew without hashes.  Log ratios are summed as integers, so a score depends on its text alone and a score
+equal to the threshold is kept everywhere.
+
 Edge cases: a null text counts as empty; an empty text has no words, so `base_failed` is true and
 `kept` false; a text of under four bytes scores 0.  Without any trusted row the ratio is 0 for
 every document and only the base rules decide.  Repeated rows get equal results.  Columns of the
@@ -21,6 +25,7 @@ input other than the id and the text are passed through by `judge` untouched, wh
 from __future__ import annotations
 
 import warnings
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textvec import BASES, U, Words, flat, mix, powers, runs_of_equal, steps, windows
+from .textvec import SEEDS, U, Words, flat, mix, runs_of_equal, spans_equal, steps, windows
 
 SLOTS = 1 << 16
 #: Mean nats a 4-gram below which a document is rejected.
@@ -40,6 +45,10 @@ BROADCAST_IDS = 16_000_000
 SMOOTHING = 1.0
 SYMBOLS = b"#*$%&|<>"
 _PIECES = 16
+#: Words of a window whose repetition counts.
+REPEAT = 5
+#: Steps of a log ratio in one nat.
+FIXED = 1 << 26
 
 _IS_SYMBOL = np.zeros(256, dtype=bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
@@ -158,6 +167,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     return log_ratio(target, raw, smoothing)
 
 
+def fixed_point(ratio: np.ndarray) -> np.ndarray:
+    """The ratio in steps of 1 / FIXED; a text of 2**31 4-grams sums up in 64 bits."""
+    return np.rint(ratio * FIXED).astype(np.int64)
+
+
+def repeats_by_hand(raw: bytes) -> tuple[int, int]:
+    """n_dup_lines and n_repeat_words of one text without any hash of ours."""
+    lines = [x for x in raw.split(b"\n") if x.split()]
+    words = raw.split()
+    grams = [tuple(words[k : k + REPEAT]) for k in range(len(words) - REPEAT + 1)]
+    often = Counter(grams)
+    covered = {k + j for k, g in enumerate(grams) if often[g] > 1 for j in range(REPEAT)}
+    return len(lines) - len(set(lines)), len(covered)
+
+
 def measures(column: pa.Array, ratio: np.ndarray) -> dict[str, np.ndarray]:
     """The countable faults and the mean log ratio of each text of a step."""
     data, off = flat(column)
@@ -180,27 +204,42 @@ def measures(column: pa.Array, ratio: np.ndarray) -> dict[str, np.ndarray]:
     words_before = np.concatenate([[0], np.cumsum(w.is_start)])
     real = (ends > begins) & (words_before[ends] > words_before[np.minimum(begins, ends)])
     begins, ends, line_text = begins[real], ends[real], line_text[real]
-    with np.errstate(over="ignore"):
-        h = mix(w.span_hashes(begins, ends) ^ mix(line_text.astype(np.uint64) * BASES[2]))
-    out["n_dup_lines"] = np.bincount(line_text[runs_of_equal(h)[1]], minlength=n).astype(np.int64)
+    in_text = lambda h, text: mix(h ^ mix(text.astype(np.uint64) ^ SEEDS[2]))
+    _, again, before = runs_of_equal(in_text(w.span_hashes(begins, ends), line_text))
+    size = ends - begins
+    unlike = (size[again] != size[before]) | ~spans_equal(data, begins[again], begins[before], np.minimum(size[again], size[before]))
+    unlike |= line_text[again] != line_text[before]
+    out["n_dup_lines"] = np.bincount(line_text[again], minlength=n).astype(np.int64)
+    by_hand = set(line_text[again[unlike]].tolist()) | set(line_text[before[unlike]].tolist())  # texts whose hashes met by chance
 
     # Words in 5-word windows that the same text holds at least twice.
     covered = np.zeros(len(w) + 1, dtype=np.int32)
-    g = windows(w.hashes(), 5)
+    g = windows(w.hashes(), REPEAT)
     if len(g):
-        first = np.flatnonzero(w.left[: len(g)] >= 5)
-        with np.errstate(over="ignore"):
-            key = mix(g[first] ^ mix(w.text_of[first].astype(np.uint64) * BASES[2]))
-        twice = first[runs_of_equal(key)[0]]
+        text_of, size = w.text_of, w.ends - w.starts
+        first = np.flatnonzero(w.left[: len(g)] >= REPEAT)
+        twice, again, before = (first[x] for x in runs_of_equal(in_text(g[first], text_of[first])))
+        unlike = text_of[again] != text_of[before]
+        compared = np.full(len(w), -1)
+        for k in range(REPEAT):
+            unlike |= size[again + k] != size[before + k]
+        for k in range(REPEAT):
+            same = np.flatnonzero(~unlike)
+            same = same[compared[again[same] + k] != before[same] + k]  # found equal in another window
+            unlike[same] |= ~spans_equal(data, w.starts[again[same] + k], w.starts[before[same] + k], size[again[same] + k])
+            compared[again[same] + k] = before[same] + k
+        by_hand |= set(text_of[again[unlike]].tolist()) | set(text_of[before[unlike]].tolist())
         np.add.at(covered, twice, 1)
-        np.add.at(covered, twice + 5, -1)
+        np.add.at(covered, twice + REPEAT, -1)
     hit = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
     out["n_repeat_words"] = np.diff(hit[w.first])
+    for k in by_hand:
+        out["n_dup_lines"][k], out["n_repeat_words"][k] = repeats_by_hand(data[off[k] : off[k + 1]].tobytes())
 
     gr = grams(data)
     lo, hi = _spans(off, len(gr))
-    total = np.concatenate([[0.0], np.cumsum(ratio[gr])])
-    out["llr"] = np.where(hi > lo, (total[hi] - total[lo]) / np.maximum(hi - lo, 1), 0.0)
+    total = np.concatenate([[0], np.cumsum(fixed_point(ratio)[gr])])  # integers: a text's sum doesn't depend on its neighbours
+    out["llr"] = np.where(hi > lo, (total[hi] - total[lo]) / np.maximum(hi - lo, 1) / FIXED, 0.0)
     return out
 
 

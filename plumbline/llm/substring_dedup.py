@@ -7,9 +7,13 @@ As ANCHOR + PERIOD - 1 = WINDOW, two equal windows always hold an aligned pair o
 
 1. Anchors meet by hash; those that two documents share are told to their documents.
 2. Around shared anchors only, documents extend to the windows that hold them and hash these whole.
-3. Windows meet by hash (80 bits); those that a smaller id has too are told to their documents.
+3. Windows meet by hash (96 bits of two independent hashes); those that a smaller id has too are told to their documents.
 4. Each document drops the words that such windows cover.
 
+Equality of windows is by those 96 bits: of the 10**13 windows that 100 TB hold, all pairs give a chance
+of less than one in a thousand that two unequal ones meet.  The hashes are not linear in the text, so
+regular texts (Thue-Morse words, say) meet no more often than others.
+
 Entries travel packed, a row a bucket.  Before they leave a task, equal entries are merged: only the
 task's smallest id goes on, the others know enough already.  So a passage in a third of all rows
 costs one entry a task, not one a row.  Buckets are ranges of a hash and bounded by the input's size.
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bucket_count, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
-from .textvec import BASES, U, Words, flat, steps, windows
+from .textvec import SEEDS, U, Words, flat, steps, windows
 
 WINDOW = 50
 PERIOD = 31
@@ -48,7 +52,7 @@ ENTRIES = 400_000
 
 _COVERED = np.zeros(PERIOD, dtype=bool)
 _COVERED[list(COVER)] = True
-_TOLD = [np.int64, np.uint32, np.uint16]  # document, position, check
+_TOLD = [np.int64, np.uint32, np.uint32]  # document, position, check
 
 
 def _prime(n: int) -> int:
@@ -59,7 +63,7 @@ def _prime(n: int) -> int:
 
 
 def _check(h: np.ndarray) -> np.ndarray:
-    return (h & U(0xFFFF)).astype(np.uint16)
+    return (h & U(0xFFFFFFFF)).astype(np.uint32)
 
 
 def _tell(doc: np.ndarray, pos: np.ndarray, check: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
@@ -158,7 +162,7 @@ def _extend(id_at: int, text_at: int, buckets: int, parts: int):
         for a, b in steps(column, STEP_BYTES):
             w = Words(*flat(column.slice(a, b - a)))
             h = w.hashes()
-            anchor, whole, second = windows(h, ANCHOR), windows(h, WINDOW), windows(h, WINDOW, BASES[2])
+            anchor, whole, second = windows(h, ANCHOR), windows(h, WINDOW), windows(w.hashes(SEEDS[1]), WINDOW)
             mark = np.zeros(len(w) + 1, dtype=np.int32)
             for k in range(b - a):
                 n, first = w.counts[k], w.first[k]
@@ -191,7 +195,7 @@ def _meet_windows(parts: int):
     def run(table: pa.Table) -> pa.Table:
         if (passed := _passed(table)) is not None:
             return passed
-        key, doc, pos, check = unpack(table["entries"].to_pylist(), [np.uint64, np.int64, np.uint32, np.uint16])
+        key, doc, pos, check = unpack(table["entries"].to_pylist(), [np.uint64, np.int64, np.uint32, np.uint32])
         order, least, _ = _owners([key, check], doc, pos)
         later = order[doc[order] > least]
         return _told(_tell(doc[later], pos[later], check[later], parts))
@@ -216,7 +220,7 @@ def _drop(names: list[str], id_at: int, text_at: int, with_text: bool):
             kept = words
             if hi > lo and len(words) >= WINDOW:
                 w = Words(*flat(column.slice(k, 1)))
-                second = windows(w.hashes(), WINDOW, BASES[2])
+                second = windows(w.hashes(SEEDS[1]), WINDOW)
                 p = pos[lo:hi].astype(np.int64)
                 fits = p < len(second)
                 p = p[fits][_check(second[p[fits]]) == check[lo:hi][fits]]
