@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, StringType
 _WORD = r"[\p{L}\p{N}\p{M}_]"
 
 # Elements that separate words in visible text, and those without visible text.
-SEPARATORS = frozenset("address article aside blockquote br caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
+SEPARATORS = frozenset("address article aside blockquote br dd div dl dt figcaption figure footer h1 h2 h3 h4 h5 h6 header li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 HIDDEN = frozenset(("script", "style"))
 
 
@@ -31,6 +31,12 @@ def tidy(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFC", t).split()) or None)
 
 
+@F.pandas_udf(StringType())
+def stripped(texts: pd.Series) -> pd.Series:
+    """NFC without white space at the ends, empty to null; white space inside an identifier is its own."""
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t).strip() or None)
+
+
 class _Visible(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -90,8 +96,9 @@ def any_keyword(text: Column, keywords: list[str]) -> Column:
 
 
 def first_keyword(text: Column, keywords: list[str]) -> Column:
-    """The lexicographically first keyword that a text holds."""
-    return F.coalesce(*[F.when(text.rlike(keyword_pattern(k)), k) for k in sorted(keywords)], F.lit(None).cast("string"))
+    """The lexicographically first keyword that a text holds; each is tested only if the one alternation of all matches."""
+    found = F.coalesce(*[F.when(text.rlike(keyword_pattern(k)), k) for k in sorted(keywords)], F.lit(None).cast("string"))
+    return F.when(any_keyword(text, keywords), found)
 
 
 def json_hash(*parts: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from plumbline.functions import dates
 from plumbline.functions import text as T
 from plumbline.functions import url as U
+from plumbline.session import ship
 
 #: Sources are a configured dimension; a larger table is joined by a shuffle.
 DIMENSION_ROWS = 100_000
@@ -34,13 +35,14 @@ def normalize(raw: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]
     retrieved_at, seq.  Rejects carry the first field that fails and why.  An unknown publication
     time stays null.  Names of raw's other columns are kept in neither.
     """
+    ship(raw.sparkSession)
     dim = dimension(sources.select(F.col("source_id").alias("_source"), F.col("market").alias("_market"), F.col("language").alias("_language")))
     r = raw.join(dim, F.col("source_id") == F.col("_source"), "left").withColumns({
         "canonical_url": U.canonicalize(F.col("url")),
         "_title": T.visible_text("title"),
         "_description": T.visible_text("description"),
-        "_item": T.tidy("source_item_id"),
-        "_hint": T.tidy("language_hint"),
+        "_item": T.stripped("source_item_id"),
+        "_hint": T.stripped("language_hint"),
     })
     no = lambda field, why: F.struct(F.lit(field).alias("field"), F.lit(why).alias("reason"))
     bad = F.when(F.col("_source").isNull(), no("source_id", "unknown source")).when(F.col("canonical_url").isNull(), no("url", "not an absolute http(s) URL")).when(F.col("_title").isNull(), no("title", "missing or empty"))

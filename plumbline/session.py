@@ -3,9 +3,35 @@
 from __future__ import annotations
 
 import os
+import sys
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application, unless they import it from the same folder.
+
+    Python functions travel by name, so executors need the package wherever the driver was started.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped or any(p and os.path.realpath(p) == _ROOT for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="package-"), "plumbline.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for top, _, files in os.walk(os.path.join(_ROOT, "plumbline")):
+            for f in files:
+                if f.endswith((".py", ".toml")):
+                    full = os.path.join(top, f)
+                    z.write(full, os.path.relpath(full, _ROOT))
+    spark.sparkContext.addPyFile(name)  # the driver serves it to every executor
+    sys.path[:] = [p for p in sys.path if p != name]
+    _shipped.add(app)
+
 
 def local_session(app: str = "plumbline", cpus: str | None = None, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
@@ -28,4 +54,5 @@ def local_session(app: str = "plumbline", cpus: str | None = None, **conf: str)
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table.  Only Spark's readers open it, so any store that Spark reads will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
