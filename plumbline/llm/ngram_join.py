@@ -6,17 +6,22 @@ when 100 * |intersection| >= 80 * |union|.  The join is exact; what follows only
 * Equal sets are one class (by 128 bits of two independent hashes), and its smallest id stands for it.
 * Sets that share several of their smallest hashes with a smaller set are put in one cluster.  Any
   clustering gives right results: pairs inside a cluster are answered in the cluster, pairs across
-  clusters by the index.  Inside, the cluster's first set is answered first.  A set's overlap with
-  another follows within bounds from what both share with that first set and what they add to it; sets
-  that link with it are one component already and need no answer among themselves; only pairs that
-  the bounds leave open are counted, many at a time.
+  clusters by the index.  Inside, the cluster's lead is answered first, and the answers of the other
+  sets are derived from its: |x & y| = |x & lead| + |y & lead| - |lead| + |dx & dy|, where dx holds
+  the few tokens in which x differs from the lead.  Sets that link with the lead are one component
+  already and need no answer among themselves, and bounds from the first two terms leave few others.
+* Clusters of many sets are cut into blocks (BLOCK_SETS, BLOCK_SHINGLES).  Each block gets a copy of
+  the lead, so that its answers connect the blocks; only sets that don't link with the lead meet
+  other blocks' sets, through the index.
 * Across, an index over prefixes (a set's first tokens in one global order; similar sets must share
   enough of them) lists for each token the sets that have it, with size and position.  Lists whose
-  entries are of one cluster are skipped; long lists are walked in blocks by size, and a block is
-  skipped when no position in it can belong to a link.  Pairs must share as many prefix tokens as
-  their sizes and positions demand before their texts are compared.
-* The global order is by hash, but for tokens found often in single tasks: the KEEP most frequent
-  come last, rarest first.  Any such list is right; it keeps common passages out of prefixes.
+  entries are answered already are skipped; lists are ordered by size and position and walked in
+  blocks, and two blocks are skipped where no position in them can belong to a link.  Pairs must share
+  as many prefix tokens as their sizes and positions demand before their texts are compared.
+* The global order is by hash, but for frequent tokens, which come last, rarest first: KEEP tokens
+  found often in single tasks, and up to KEEP a round whose lists turn out longer than LONG.  Pairs
+  that share such a list are left to the next round, in which only sets of long lists take part.  The
+  last round walks its lists whatever their length, a bounded number of pairs at a time.
 
 Edge cases: null and empty texts have an empty set, are linked with nothing and are their own
 component; texts of under SHINGLE words have one shingle, the whole; rows that share an id are one
@@ -27,6 +32,7 @@ none (null) if no such row has an id.  Only doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +48,15 @@ SMALLEST = 8
 #: Tokens that come last in the global order, at most: 16 bytes each, sent to every task.
 KEEP = 65_536
 LOCAL_OFTEN = 3
-#: Shingles in one block of a cluster; larger clusters are cut, and cut pairs go through the index.
+#: Shingles and sets in one block of a cluster, about; larger clusters are cut.
 BLOCK_SHINGLES = 1_200_000
+BLOCK_SETS = 1_000
+#: Entries of a list that is put off to the next round, and the number of rounds.
+LONG = 1_000
+ROUNDS = 3
+#: Entries of a list that are walked together, and pairs that leave a task together.
+WALK = 256
+PAIRS = 1_000_000
 STEP_BYTES = 1_500_000
 ENTRIES = 200_000
 SHORT_LIST = 48
@@ -163,7 +176,7 @@ def _forest(n: int) -> tuple:
 
 
 def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect what is connected among some sets, the first of which is answered first."""
+    """Links that connect what is connected among some sets, the first of which is the lead; each link with the lead is one of them."""
     m = len(sets)
     size = np.array([len(s) for s in sets])
     _, join = _forest(m)
@@ -178,15 +191,16 @@ def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     rest = np.flatnonzero(~direct)
     if not len(rest):
         return out
-    tokens, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(m), size)
+    differ = [np.setxor1d(s, lead, assume_unique=True) for s in sets]
+    tokens, at, often = np.unique(np.concatenate(differ), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), [len(d) for d in differ])
+    dims = int((often > 1).sum())
     column = np.full(len(tokens), -1)
-    column[often > 1] = np.arange((often > 1).sum())
+    column[often > 1] = np.arange(dims)
     where = column[at]
     owner, where = owner[where >= 0], where[where >= 0]
     order = np.argsort(where, kind="stable")
     owner, where = owner[order], where[order]
-    dims = int((often > 1).sum())
     for lo in range(0, len(rest), 512):
         rows = rest[lo : lo + 512]
         least = need(size[rows][:, None], size[None, :])
@@ -202,7 +216,8 @@ def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             slab = np.zeros((m, min(1024, dims - a)), np.float32)
             slab[owner[x:y], where[x:y] - a] = 1
             together += slab[rows] @ slab[cols].T
-        linked = open_[:, cols] & (together >= least[:, cols])
+        both = shared[rows][:, None] + shared[cols][None, :] - len(lead) + together
+        linked = open_[:, cols] & (both >= least[:, cols])
         for r, c in zip(*np.nonzero(linked), strict=True):
             if join(int(rows[r]), int(cols[c])):
                 out.append((int(rows[r]), int(cols[c])))
@@ -210,8 +225,8 @@ def links_inside(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _inside(table: pa.Table) -> pa.Table:
-    """The links of one block of a cluster."""
-    table = table.sort_by([("rep", "ascending"), ("s1", "ascending")])
+    """The links of one block of a cluster; the lead comes first where it was sent along."""
+    table = table.sort_by([("sent", "descending"), ("rep", "ascending"), ("s1", "ascending")])
     rep, s1 = np.asarray(table["rep"]), np.asarray(table["s1"])
     column = table["text"].combine_chunks()
     sets: list[np.ndarray] = []
@@ -219,7 +234,8 @@ def _inside(table: pa.Table) -> pa.Table:
         sets += shingle_sets(column.slice(a, b - a))
     # Of rows that share an id only those that the class stands for, and of repeated rows one.
     own = [k for k, s in enumerate(sets) if signature(s) == s1[k]]
-    own = [k for j, k in enumerate(own) if not j or (rep[k], s1[k]) != (rep[own[j - 1]], s1[own[j - 1]])]
+    known: set[tuple[int, int]] = set()
+    own = [k for k in own if (key := (int(rep[k]), int(s1[k]))) not in known and not known.add(key)]
     ids, sets = rep[own], [sets[k] for k in own]
     found = links_inside(sets) if len(sets) > 1 else []
     del sets
@@ -249,48 +265,80 @@ def _entries(late: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps, _ = id_array(batch.column(0))
-            groups, _ = id_array(batch.column(2))
+            clusters, blocks, direct = (np.asarray(batch.column(k)) for k in (2, 4, 5))
             s1 = np.asarray(batch.column(3))
             for a, b in steps(batch.column(1), STEP_BYTES):
                 sets = shingle_sets(batch.column(1).slice(a, b - a))
                 own = np.array([len(s) > 0 and signature(s) == s1[a + k] for k, s in enumerate(sets)], dtype=bool)
                 sets = [s for s, o in zip(sets, own, strict=True) if o]
-                rep, group = reps[a:b][own], groups[a:b][own]
+                rep, toward, block, near = reps[a:b][own], (reps - clusters)[a:b][own], blocks[a:b][own].astype(np.uint32), direct[a:b][own].astype(np.uint8)
                 size = np.array([len(s) for s in sets], dtype=np.int64)
                 length = prefix_length(size)
                 key = np.concatenate([ordered(s)[:n] for s, n in zip(sets, length, strict=True)]) if sets else np.zeros(0, np.uint64)
                 pos = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
                 order = np.argsort(key)
                 of = np.repeat(np.arange(len(sets)), length)[order]
-                yield packed_batch(pack([key[order], rep[of], size[of].astype(np.uint32), pos[order].astype(np.uint32), (rep - group)[of]], buckets))
+                yield packed_batch(pack([key[order], rep[of], size[of].astype(np.uint32), pos[order].astype(np.uint32), toward[of], block[of], near[of]], buckets))
         settle()
 
     return run
 
 
-def _open_pairs(x, y, rep, size, pos, group) -> np.ndarray:
-    """Which pairs of entries of one token can belong to a link across clusters."""
+_ENTRY = [np.uint64, np.int64, np.uint32, np.uint32, np.int64, np.uint32, np.uint8]
+
+
+def _open_pairs(x, y, rep, size, pos, cluster, block, direct) -> np.ndarray:
+    """Which pairs of entries of one token can belong to a link that isn't answered yet."""
     a, b = size[x], size[y]
-    ok = (group[x] != group[y]) & (rep[x] != rep[y]) & (5 * np.minimum(a, b) >= 4 * np.maximum(a, b))
-    least = need(a, b)
-    depth = np.minimum(prefix_length(a) - a + least, prefix_length(b) - b + least)
-    return ok & (pos[x] < a - least + depth) & (pos[y] < b - least + depth)
+    ok = (rep[x] != rep[y]) & (5 * np.minimum(a, b) >= 4 * np.maximum(a, b))
+    ok &= (cluster[x] != cluster[y]) | ((block[x] != block[y]) & ~(direct[x] & direct[y]))
+    pa_, pb = prefix_length(a), prefix_length(b)
+    return ok & (pos[x] < np.minimum(pa_, pb + a - b)) & (pos[y] < np.minimum(pb, pa_ + b - a))
 
 
-def _pairs(buckets: int):
-    """Entries of a range of tokens to packed pairs, with how often they met and how often they must."""
+def walk(size: np.ndarray, pos: np.ndarray, step: int) -> Iterator[tuple[int, list[int]]]:
+    """Blocks of a list that is ordered by size and position, each with the blocks (itself, later ones) whose sizes and positions can belong to a link."""
+    starts = np.arange(0, len(size), step)
+    low, high = size[starts], np.maximum.reduceat(size, starts)
+    least = np.minimum.reduceat(pos, starts)
+    p = prefix_length(high)
+    for k in range(len(starts)):
+        later = np.arange(k, len(starts))
+        can = 5 * high[k] >= 4 * low[later]
+        can &= least[k] < np.minimum(p[k], p[later] + high[k] - low[later])
+        can &= least[later] < np.minimum(p[later], p[k] + high[later] - low[k])
+        yield int(starts[k]), starts[later[can]].tolist()
 
-    def run(table: pa.Table) -> pa.Table:
-        key, rep, size, pos, back = unpack(table["entries"].to_pylist(), [np.uint64, np.int64, np.uint32, np.uint32, np.int64])
-        size, pos, group = size.astype(np.int64), pos.astype(np.int64), rep - back
-        order = np.lexsort((size, key))
-        key, rep, size, pos, group = key[order], rep[order], size[order], pos[order], group[order]
+
+def _pairs(buckets: int, longest: int | None):
+    """Entries of a range of tokens to packed pairs, with how often they met and how often they must; and the sets of lists that are put off."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [x for batch in batches for x in batch.column(batch.schema.get_field_index("entries")).to_pylist()]
+        key, rep, size, pos, toward, block, near = unpack(blobs, _ENTRY)
+        del blobs
+        size, pos, cluster, direct = size.astype(np.int64), pos.astype(np.int64), rep - toward, near.astype(bool)
+        order = np.lexsort((pos, size, key))
+        key, rep, size, pos, cluster, block, direct = (x[order] for x in (key, rep, size, pos, cluster, block, direct))
         first = runs(key)
         count = np.diff(np.append(first, len(key)))
-        least = np.minimum.reduceat(group, first) if len(first) else np.zeros(0, np.int64)
-        most = np.maximum.reduceat(group, first) if len(first) else np.zeros(0, np.int64)
-        useful = (count > 1) & (least != most)  # a list of one cluster is skipped whole
-        xs, ys = [], []
+        if not len(key):
+            return
+        many = lambda x: np.minimum.reduceat(x, first) != np.maximum.reduceat(x, first)
+        useful = (count > 1) & (many(cluster) | (many(block) & ~np.logical_and.reduceat(direct, first)))
+        state = (rep, size, pos, cluster, block, direct)
+        xs, ys, held = [], [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            x, y = np.concatenate(xs), np.concatenate(ys)
+            a, b = size[x], size[y]
+            alpha = need(a, b)
+            depth = np.minimum(prefix_length(a) - a + alpha, prefix_length(b) - b + alpha)
+            one, two = np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
+            for bucket, entries in pack(_met(one, two, np.ones(len(x), np.uint32), depth.astype(np.uint32)), buckets):
+                yield _out(bucket, entries, None, 0)
+
+        # Short lists, all at once: each entry with the next one, the one after that, and so on.
         short = useful & (count <= SHORT_LIST)
         left = np.repeat(np.where(short, first + count, 0), count)  # where each entry's list ends
         at = np.flatnonzero(left)
@@ -298,35 +346,48 @@ def _pairs(buckets: int):
             at = at[at + d < left[at]]
             if not len(at):
                 break
-            ok = _open_pairs(at, at + d, rep, size, pos, group)
+            ok = _open_pairs(at, at + d, *state)
             xs.append(at[ok])
             ys.append(at[ok] + d)
-        for lo, n in zip(first[useful & ~short], count[useful & ~short], strict=True):
-            sizes = size[lo : lo + n]
-            for a in range(0, n, 256):
-                b = min(n, a + 256)
-                stop = int(np.searchsorted(sizes, 5 * sizes[b - 1] // 4, "right"))  # larger sets can't link
-                if pos[lo + a : lo + b].min() >= prefix_length(sizes[b - 1 :][:1])[0]:
-                    continue
-                x, y = np.meshgrid(np.arange(lo + a, lo + b), np.arange(lo + a, lo + stop), indexing="ij")
-                ok = (x < y).ravel()
-                x, y = x.ravel()[ok], y.ravel()[ok]
-                ok = _open_pairs(x, y, rep, size, pos, group)
-                xs.append(x[ok])
-                ys.append(y[ok])
-        x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
-        y = np.concatenate(ys) if ys else np.zeros(0, np.int64)
-        del xs, ys
+            held += int(ok.sum())
+            if held > PAIRS:
+                yield from packed()
+                xs, ys, held = [], [], 0
+        for lo, n in zip(first[useful & ~short].tolist(), count[useful & ~short].tolist(), strict=True):
+            if longest is not None and n > longest:
+                yield _out(-1, np.uint32(n).tobytes() + planes(rep[lo : lo + n]), int(key[lo : lo + 1].view(np.int64)[0]), n)
+                continue
+            for a, others in walk(size[lo : lo + n], pos[lo : lo + n], WALK):
+                for c in others:
+                    x, y = np.meshgrid(np.arange(lo + a, lo + min(n, a + WALK)), np.arange(lo + c, lo + min(n, c + WALK)), indexing="ij")
+                    ok = (x < y).ravel()
+                    x, y = x.ravel()[ok], y.ravel()[ok]
+                    ok = _open_pairs(x, y, *state)
+                    xs.append(x[ok])
+                    ys.append(y[ok])
+                    held += int(ok.sum())
+                    if held > PAIRS:
+                        yield from packed()
+                        xs, ys, held = [], [], 0
+        if held:
+            yield from packed()
         settle()
-        a, b = size[x], size[y]
-        alpha = need(a, b)
-        depth = np.minimum(prefix_length(a) - a + alpha, prefix_length(b) - b + alpha)
-        one, two = np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
-        return pa.Table.from_batches([packed_batch(pack(_met(one, two, np.ones(len(x), np.uint32), depth.astype(np.uint32)), buckets))])
 
     return run
 
 
+def _out(bucket: int, entries: bytes, token: int | None, often: int) -> pa.RecordBatch:
+    columns = [pa.array([bucket], pa.int32()), pa.array([entries], pa.binary()), pa.array([token], pa.int64()), pa.array([often], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "entries", "token", "often"])
+
+
+def _put_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of lists that are put off."""
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(unpack([blob], [np.int64])[0]))], names=["rep"])
+
+
 def _met(one: np.ndarray, two: np.ndarray, times: np.ndarray, depth: np.ndarray) -> list[np.ndarray]:
     """Pairs put together: key, ids, how often they met, how often they must; in the order of the key."""
     with np.errstate(over="ignore"):
@@ -378,21 +439,53 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     # Clusters, cut to blocks of bounded size.
     clusters = _clusters(reps)
     sums = clusters.groupBy(F.col("cluster").alias("k")).agg(F.sum("n").alias("shingles"), F.count("*").alias("members"))
-    blocks = F.ceil(F.col("shingles") / BLOCK_SHINGLES)
-    labels = join_groups(clusters, sums, {"cluster": "k"}, "members").select("rep", "n", "s1", "cluster", "members", F.pmod(F.xxhash64("rep"), blocks).alias("block"))
-    # A block is named by its smallest member.
-    names = labels.groupBy(F.col("cluster").alias("c2"), F.col("block").alias("b2")).agg(F.min("rep").alias("group"), F.count("*").alias("members"))
-    labels = checkpointed(labels.drop("members").join(names, (F.col("cluster") == F.col("c2")) & (F.col("block") == F.col("b2"))).select(F.col("rep"), "s1", "group", "members"))
-
-    texts = rows.join(labels, rows["doc_id"] == labels["rep"]).select("rep", "text", "group", "s1", "members")
-    inside = texts.filter("members > 1").select("rep", "text", "group", "s1").groupBy("group").applyInArrow(_inside, "a long, b long")
+    blocks = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("members") / BLOCK_SETS)).cast("int")
+    labels = join_groups(clusters, sums, {"cluster": "k"}, "members").select("rep", "n", "s1", "cluster", "members", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
+    labels = checkpointed(labels)
+    with_text = lambda which: rows.join(which, rows["doc_id"] == which["rep"]).drop("doc_id")
+    inside = lambda texts: texts.select("rep", "text", "cluster", "block", "s1", "sent").groupBy("cluster", "block").applyInArrow(_inside, "a long, b long")
+
+    # Clusters of several blocks come first: their lead goes to each block, and what links with it is answered in all of them.
+    sure = []
+    cut = labels.filter("blocks > 1")
+    if cut.isEmpty():
+        labels = labels.withColumn("direct", F.lit(False))
+    else:
+        lead = cut.groupBy(F.col("cluster").alias("c")).agg(F.max("blocks").alias("blocks")).join(labels.select("rep", "s1"), F.col("c") == F.col("rep"))
+        lead = lead.select("rep", "s1", F.col("c").alias("cluster"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("sent"))
+        parts = cut.join(F.broadcast(lead.select(F.col("rep").alias("l")).distinct()) if lead.count() <= BROADCAST_ROWS else lead.select(F.col("rep").alias("l")).distinct(), F.col("rep") == F.col("l"), "left_anti")
+        sure.append(checkpointed(inside(with_text(parts.select("rep", "s1", "cluster", "block", F.lit(False).alias("sent")).unionByName(lead)))))
+        near = sure[0].select(F.col("a").alias("l"), F.col("b").alias("d"))
+        near = near.unionByName(lead.select(F.col("rep").alias("l"), F.col("rep").alias("d"))).distinct()
+        labels = checkpointed(labels.join(near, (F.col("cluster") == F.col("l")) & (F.col("rep") == F.col("d")), "left").withColumn("direct", F.col("d").isNotNull()).drop("l", "d"))
+
+    # The index, a round at a time; a round's long lists are put off to the next.
     packed = "bucket int, entries binary"
-    entries = texts.select("rep", "text", "group", "s1").mapInArrow(_entries(late, buckets), packed)
-    likely = entries.groupBy("bucket").applyInArrow(_pairs(buckets), packed).groupBy("bucket").applyInArrow(_likely, "a long, b long")
-    found = checkpointed(inside.withColumn("sure", F.lit(True)).unionByName(likely.withColumn("sure", F.lit(False))))
+    todo, likely = labels, []
+    for k in range(ROUNDS):
+        texts = with_text(todo.select("rep", "s1", "cluster", "block", "direct", "members", "blocks", F.lit(False).alias("sent")))
+        entries = texts.select("rep", "text", "cluster", "s1", "block", "direct").mapInArrow(_entries(late, buckets), packed)
+        met = entries.groupBy("bucket").applyInArrow(_pairs(buckets, LONG if k + 1 < ROUNDS else None), packed + ", token long, often long")
+        none = F.lit(None).cast("long")
+        if k == 0:  # in the same job, so that texts move once
+            links = inside(texts.filter("members > 1 and blocks = 1"))
+            met = met.select("*", none.alias("a"), none.alias("b")).unionByName(links.select(*[F.lit(None).cast(t).alias(c) for c, t in (("bucket", "int"), ("entries", "binary"), ("token", "long"), ("often", "long"))], "a", "b"))
+        met = checkpointed(met)
+        if k == 0:
+            sure.append(met.filter("a is not null").select("a", "b"))
+        likely.append(met.filter("bucket >= 0").select("bucket", "entries").groupBy("bucket").applyInArrow(_likely, "a long, b long"))
+        off = met.filter("token is not null")
+        often = off.groupBy("token").agg(F.sum("often").alias("often")).orderBy(F.desc("often"), "token").limit(KEEP).orderBy("often", "token").collect()  # KEEP rows at most
+        if not often:
+            break
+        new = np.array([r["token"] for r in often], dtype=np.int64).view(np.uint64)
+        late = np.concatenate([late[~np.isin(late, new)], new])
+        again = off.select("entries").mapInArrow(_put_off, "rep long").distinct()
+        todo = checkpointed(todo.join(again, "rep", "left_semi"))
+    likely = checkpointed(reduce(DataFrame.unionByName, likely).distinct())
+    sure = reduce(DataFrame.unionByName, sure)
 
     # Likely pairs are compared on their texts.
-    likely = found.filter("not sure").select("a", "b")
     chosen = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
@@ -403,7 +496,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     # Rows that share an id tie their classes together.
     ids = member.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter("b <> top")
     tied = member.join(ids.select(F.col("doc_id").alias("i"), "b"), F.col("doc_id") == F.col("i")).select(F.col("rep").alias("a"), "b")
-    roots = components(found.filter("sure").select("a", "b").unionByName(across).unionByName(tied))
+    roots = components(sure.unionByName(across).unionByName(tied))
 
     rest = summary.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     mine = member.select("doc_id", F.col("n").alias("n_shingles"), "rep")

@@ -122,11 +122,76 @@ def test_ngram_join(odd, none, spark, monkeypatch):
         near.append((k, " ".join(w[: rnd.choice([130, 110, 60])])))
     got = ngram_join.jaccard_components(spark.createDataFrame(near, "doc_id long, text string").repartition(4))
     assert sorted([tuple(r) for r in got.collect()], key=repr) == brute_components(near)
-    # Without clusters and with tiny blocks the index alone must find every link.
-    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 200)
-    monkeypatch.setattr(ngram_join, "SHORT_LIST", 4)
+
+
+@pytest.mark.parametrize("settings", [{"BLOCK_SHINGLES": 200, "SHORT_LIST": 4}, {"BLOCK_SETS": 3, "LONG": 6, "SHORT_LIST": 2, "WALK": 3, "PAIRS": 5, "LOCAL_OFTEN": 1_000}, {"BLOCK_SETS": 1, "LONG": 2, "SHORT_LIST": 1, "WALK": 2, "KEEP": 4}])
+def test_ngram_join_by_blocks_and_index(odd, spark, monkeypatch, settings):
+    """With tiny blocks the index must find what the lead doesn't answer, in several rounds."""
+    for name, value in settings.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rnd = random.Random(7)
+    bases = [[str(rnd.randint(0, 500)) for _ in range(130)] for _ in range(3)]
+    near = []
+    for k in range(80):
+        w = list(bases[k % 3] if k % 5 else bases[0][:60] + bases[1][60:])
+        for _ in range(rnd.randint(0, 12)):
+            w[rnd.randrange(len(w))] = str(rnd.randint(0, 10**6))
+        near.append((k, " ".join(w[: rnd.choice([130, 110, 104, 60])])))
+    near += [(100 + k, f"read all of our daily news {k // 2}") for k in range(40)]
     got = ngram_join.jaccard_components(spark.createDataFrame(near, "doc_id long, text string").repartition(4))
     assert sorted([tuple(r) for r in got.collect()], key=repr) == brute_components(near)
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert sorted([tuple(r) for r in ngram_join.jaccard_components(odd).collect()], key=repr) == brute_components(rows)
+
+
+def test_answers_derived_from_the_lead():
+    rnd = random.Random(8)
+    for _ in range(60):
+        base = rnd.sample(range(400), rnd.randint(1, 60))
+        sets = [np.array(sorted(set(rnd.sample(base, rnd.randint(1, len(base)))) | set(rnd.sample(range(400), rnd.randint(0, 12)))), np.uint64) for _ in range(rnd.randint(2, 25))]
+        links = ngram_join.links_inside(sets)
+        find, join = ngram_join._forest(len(sets))
+        for a, b in links:
+            assert len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))
+            join(a, b)
+        got = [find(k) for k in range(len(sets))]
+        find, join = ngram_join._forest(len(sets))
+        for a in range(len(sets)):
+            for b in range(a):
+                if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b])):
+                    join(a, b)
+                    assert b or (0, a) in links  # all of the lead's own answers are told
+        assert got == [find(k) for k in range(len(sets))]
+
+
+def test_walk_skips_blocks_by_size_and_position():
+    rng = np.random.default_rng(1)
+    size = np.sort(rng.choice([40, 45, 50], 400))
+    pos = np.array([rng.integers(0, ngram_join.prefix_length(n)) for n in size])
+    order = np.lexsort((pos, size))
+    size, pos = size[order], pos[order]
+    x, y = (z.ravel() for z in np.meshgrid(np.arange(400), np.arange(400), indexing="ij"))
+    x, y = x[x < y], y[x < y]
+    other = np.arange(400)
+    ok = ngram_join._open_pairs(x, y, other, size, pos, other, np.zeros(400, int), np.zeros(400, bool))
+    blocks = {(a, c) for a, others in ngram_join.walk(size, pos, 8) for c in others}
+    assert {(int(a) // 8 * 8, int(b) // 8 * 8) for a, b in zip(x[ok], y[ok], strict=True)} <= blocks
+    by_size = {(a, c) for a in range(0, 400, 8) for c in range(a, 400, 8) if 5 * size[a : a + 8].max() >= 4 * size[c]}
+    assert blocks < by_size and len(blocks) < 0.8 * len(by_size)
+
+
+def test_long_lists_stay_bounded(monkeypatch):
+    """8,000 equal-sized sets of 8,000 clusters in one list: pairs leave in batches, nothing grows with their number."""
+    n = 8_000
+    entries = next(ngram_join.pack([np.full(n, 77, np.uint64), np.arange(n), np.full(n, 20, np.uint32), np.zeros(n, np.uint32), np.zeros(n, np.int64), np.zeros(n, np.uint32), np.zeros(n, np.uint8)], 1))[1]
+    batch = lambda: iter([pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([entries], pa.binary())], names=["bucket", "entries"])])
+    off = list(ngram_join._pairs(1, 1_000)(batch()))
+    assert [b.column(3).to_pylist() for b in off] == [[n]] and off[0].nbytes < 10 * n
+    biggest = total = 0
+    for b in ngram_join._pairs(1, None)(batch()):
+        biggest = max(biggest, b.nbytes)
+        total += int(np.frombuffer(b.column(1)[0].as_py()[:4], np.uint32)[0])
+    assert total == n * (n - 1) // 2 and biggest < 60_000_000
 
 
 def test_components(spark):
@@ -183,18 +248,19 @@ def brute_hits(docs, items):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bound", [2_000_000, 0])
+@pytest.mark.parametrize("bound", [(2_000_000, 64_000_000), (40, 0)])
 def test_decontamination(odd, none, spark, bound):
+    bound = {"broadcast_rows": bound[0], "broadcast_bytes": bound[1]}
     rnd = random.Random(4)
     w = [f"t{rnd.randint(0, 60)}" for _ in range(3000)]
     docs = [(k, " ".join(w[(a := rnd.randint(0, 2900)) : a + rnd.randint(0, 60)]) + ("!É Ab" if k % 3 else "")) for k in range(80)]
     items = [(k, ", ".join(w[(a := rnd.randint(0, 2900)) : a + n]).upper()) for k, n in enumerate([1, 2, 7, 12, 13, 14, 20, 40, 0, 30, 200])] + [(None, " ".join(w[50:90])), (99, None)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), bench, broadcast_rows=bound)
+    got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), bench, **bound)
     assert sorted([(r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in got.collect()], key=repr) == brute_hits(docs, items)
-    assert decontaminate.decontaminate(odd, bench, broadcast_rows=bound).count() == odd.count()
-    assert decontaminate.decontaminate(none, bench, broadcast_rows=bound).count() == 0
-    assert {r["n_hit"] for r in decontaminate.decontaminate(odd, bench.limit(0), broadcast_rows=bound).collect()} == {0}
+    assert decontaminate.decontaminate(odd, bench, **bound).count() == odd.count()
+    assert decontaminate.decontaminate(none, bench, **bound).count() == 0
+    assert {r["n_hit"] for r in decontaminate.decontaminate(odd, bench.limit(0), **bound).collect()} == {0}
 
 
 def test_bpe(odd, none):
