@@ -4,20 +4,23 @@ Words are lower-cased (A-Z) and cut at ASCII characters other than letters and d
 NEAR consecutive K-gram hashes the smallest is kept, leftmost on ties, for training texts and for
 benchmark items alike.  Two texts that share SPAN = K + NEAR - 1 words share such a stretch of
 hashes, so they share a kept hash at the same place of it: joining kept hashes finds every shared
-span.  A hit is then extended: the SPAN-word windows around it are compared with the benchmark's
-windows word by word, so the result is exact whatever the hashes.
-
-An item of fewer words than SPAN, but not none, is one window; those few are found by their first
-word and compared whole.
-
-The benchmark's fingerprints are broadcast only after they were counted and found under
-BROADCAST_ROWS; beyond it, hits are found by shuffled joins on (document, position, hash) rows and
-only documents with hits come back for extension.
-
-Edge cases: null texts have no words; documents and items without words have no hits; repeated
-rows get equal results, and rows with one id but different texts are told apart by a hash of the
-text; a null item id names no item but its windows still hit; an empty benchmark gives no hits.
-Only the id and text columns are read, so other columns may have any name.
+span.  An item of fewer words than SPAN, but not none, is one window; for these the hashes of all
+windows of their lengths are joined too.
+
+A hit is then extended: the windows around it are compared with the benchmark's word by word, so the
+result is exact whatever the hashes.
+
+Every text is cut into words once; a row for each hash leaves that step without its words, and only
+texts with a hit are read again.  The benchmark's fingerprints are broadcast BROADCAST_ROWS (8 bytes
+each) at a time, in as many passes as it takes, so texts stay where they are however large the
+benchmark.  Its windows are broadcast if they were counted and have BROADCAST_BYTES at most;
+otherwise they meet the texts' windows in a join that deals out all but hot ones.
+
+Edge cases: null texts have no words; documents and items without words have no hits; very long texts
+are read whole; repeated rows get equal results, and rows with one id but different texts are told
+apart by a hash of the text; a null item id names no item but its windows still hit; an empty
+benchmark gives no hits, an empty table no rows.  Only the id and text columns are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -27,11 +30,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpointed, join_groups
+
 SPAN = 13
 K = 5
 NEAR = SPAN - K + 1
-#: Benchmark fingerprints (about 20 bytes each) that may be broadcast: 40 MB.
+#: Benchmark fingerprints that are broadcast at a time: 16 MB, some 50 MB as a hash table.
 BROADCAST_ROWS = 2_000_000
+#: Bytes of benchmark windows, and rows of ids, that may be broadcast.
+BROADCAST_BYTES = 64_000_000
+BROADCAST_IDS = 1_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CUT = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -66,71 +74,96 @@ def _kept(grams: Column) -> Column:
     return F.when(F.size(grams) >= NEAR, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(grams) - (NEAR - 1)), least))).otherwise(F.expr("cast(array() as array<int>)"))
 
 
-def winnowed(df: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """A row for each winnowed hash: `keep`, the words w, their number n, all hashes g and the place p."""
-    both = lambda w: _let(_grams(w), lambda g: F.struct(w.alias("w"), g.alias("g"), _kept(g).alias("kept")))
-    found = df.select(*keep, _let(words_of(F.col(text)), both).alias("x"))
-    return found.select(*keep, "x", F.explode("x.kept").alias("p")).select(*keep, F.col("x.w").alias("w"), F.size("x.w").alias("n"), F.element_at("x.g", F.col("p")).alias("fp"), "p")
+def _prints(words: Column, lengths: list[int]) -> Column:
+    """Structs of len (0 for a winnowed K-gram, else the length of a short item), place p (1-based) and hash fp."""
+
+    def kept(g: Column) -> Column:
+        return F.transform(_kept(g), lambda p: F.struct(F.lit(0).alias("len"), p.alias("p"), F.element_at(g, p).alias("fp")))
+
+    def whole(n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.struct(F.lit(n).alias("len"), i.alias("p"), F.xxhash64(F.lit(n), F.slice(words, i, n)).alias("fp")))
+        return F.when(F.size(words) >= n, each).otherwise(F.array().cast("array<struct<len:int,p:int,fp:bigint>>"))
 
+    return F.concat(_let(_grams(words), kept), *[whole(n) for n in lengths])
 
-def _windows(df: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each start `s` (0-based) of a SPAN-word window that holds a hit at `p`, with its words."""
-    first = F.greatest(F.lit(1), F.col("p") - (NEAR - 1))
-    last = F.least(F.col("p"), F.col("n") - (SPAN - 1))
-    near = df.select(*keep, F.col("p"), first.alias("a"), last.alias("b"), F.slice("w", first, last - first + SPAN).alias("ctx"))
-    return near.select(*keep, F.col("a"), "ctx", F.explode(F.sequence("a", "b")).alias("s1")).select(*keep, (F.col("s1") - 1).alias("s"), F.lit(SPAN).alias("len"), F.concat_ws(" ", F.slice("ctx", F.col("s1") - F.col("a") + 1, SPAN)).alias("win"))
 
+def _read(df: DataFrame, keep: list[str], text: str, lengths: list[int]) -> DataFrame:
+    """A row for each fingerprint, and one with len -1 for the text itself, which tells its number of words."""
+    cut = lambda w: F.struct(F.size(w).alias("n"), _prints(w, lengths).alias("prints"))
+    none = F.lit(None).cast("bigint")
+    read = df.select(*keep, _let(words_of(F.col(text)), cut).alias("x"))
+    itself = F.array(F.struct(F.lit(-1).alias("len"), F.col("x.n").alias("p"), none.alias("fp")))
+    return read.select(*keep, F.explode(F.concat(itself, F.col("x.prints"))).alias("at")).select(*keep, "at.len", "at.p", "at.fp")
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+
+def _starts(n: Column, at: Column) -> Column:
+    """Where windows begin (1-based) that hold the hit `at`, as structs of s and len."""
+    first, last = F.greatest(F.lit(1), at["p"] - (NEAR - 1)), F.least(at["p"], n - (SPAN - 1))
+    around = F.transform(F.sequence(first, last), lambda s: F.struct(s.alias("s"), F.lit(SPAN).alias("len")))
+    return F.when(at["len"] == 0, around).otherwise(F.array(F.struct(at["p"].alias("s"), at["len"].alias("len"))))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per document: doc_id, text_hash, n_words, n_hit, item_ids (sorted as strings)."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
-    items = items.withColumn("n", F.size("w"))
-    long_items = items.filter(F.col("n") >= SPAN)
-    spans = long_items.select("item", "w", F.explode(F.sequence(F.lit(1), F.col("n") - (SPAN - 1))).alias("i")).select("item", F.concat_ws(" ", F.slice("w", F.col("i"), SPAN)).alias("win"))
-    short = items.filter(F.col("n") < SPAN).select("item", F.col("n").alias("len"), F.col("w")[0].alias("head"), F.concat_ws(" ", "w").alias("win"))
-    all_windows = spans.unionByName(short.select("item", "win")).groupBy("win").agg(F.collect_set("item").alias("items"))
-    prints = winnowed(benchmark, [], "text").select("fp").distinct()
-    heads = short.select("head", "len").distinct()
-
-    sizes = prints.agg(F.count("*").alias("n")).unionAll(heads.agg(F.count("*").alias("n"))).unionAll(all_windows.agg(F.count("*").alias("n"))).collect()
-    n_prints, n_heads, n_windows = (r["n"] for r in sizes)
-    small = max(n_prints, n_heads, n_windows) <= broadcast_rows
-    sent = F.broadcast if small else (lambda df: df)
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).select("*", F.size("w").alias("n")).filter("n > 0")
+    span = F.least(F.col("n"), F.lit(SPAN))
+    spans = items.select("item", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - span + 1), lambda i: F.concat_ws(" ", F.slice("w", i, span)))).alias("win"))
+    lengths = sorted(r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect())  # SPAN - 1 values at most
+    prints = _read(benchmark, [], "text", []).filter("len = 0").select("fp")
+    if lengths:
+        prints = prints.unionByName(items.filter(F.col("n") < SPAN).select(F.xxhash64("n", "w").alias("fp")))
+    prints = checkpointed(prints.distinct())
+    passes = max(1, -(-prints.count() // max(1, broadcast_rows)))
 
     key = ["doc", "th"]
     texts = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
-    worded = texts.select(*key, words_of(F.col("t")).alias("w"))
-    places = winnowed(texts, key, "t")
-
-    def back(found: DataFrame) -> DataFrame:
-        """worded rows of documents with places, a row a place: only these documents' words are dealt out, once each."""
-        per = found.groupBy(*[F.col(c).alias("f_" + c) for c in key]).agg(F.collect_set("at").alias("ats"))
-        rows = worded.join(per, F.col("doc").eqNullSafe(F.col("f_doc")) & (F.col("th") == F.col("f_th")))
-        return rows.select(*key, "w", F.size("w").alias("n"), F.explode("ats").alias("at"))
-
-    if small:  # words stay in the task: a row is written only for a hit
-        hits = places.join(sent(prints), "fp")
+    found = None
+    for k in range(passes):
+        some = prints.filter(F.pmod(F.xxhash64(F.lit("pass"), "fp"), F.lit(passes)) == k) if passes > 1 else prints
+        rows = _read(texts, key, "t", lengths).join(F.broadcast(some.select(F.col("fp").alias("known"))), F.col("fp") == F.col("known"), "left")
+        rows = rows.filter("len = -1 or known is not null" if k == 0 else "known is not null").select(*key, "len", "p")
+        found = rows if found is None else found.unionByName(rows)
+    found = checkpointed(found)
+
+    # Only texts with hits are read again, each once.
+    hits = found.filter("len >= 0").groupBy(*key).agg(F.collect_set(F.struct("len", "p")).alias("ats"))
+    ids = found.filter("len >= 0").select(*key).distinct()
+    again = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, texts["doc"].eqNullSafe(ids["doc"]) & (texts["th"] == ids["th"]), "left_semi").dropDuplicates(key)
+    read = again.join(hits.select(F.col("doc").alias("h_doc"), F.col("th").alias("h_th"), "ats"), F.col("doc").eqNullSafe(F.col("h_doc")) & (F.col("th") == F.col("h_th")))
+
+    def windows(w: Column) -> Column:
+        starts = F.array_distinct(F.flatten(F.transform("ats", lambda at: _starts(F.size(w), at))))
+        return F.transform(starts, lambda x: F.struct(x["s"].alias("s"), x["len"].alias("len"), F.concat_ws(" ", F.slice(w, x["s"], x["len"])).alias("win")))
+
+    candidates = read.select(*key, F.explode(_let(words_of(F.col("t")), windows)).alias("c")).select(*key, "c.s", "c.len", "c.win")
+    known = spans.groupBy(F.col("win").alias("k_win")).agg(F.count("*").alias("c"))
+    size = known.agg(F.sum(F.octet_length("k_win") + 16).alias("b")).first()["b"] or 0
+    if size <= broadcast_bytes:
+        spots = candidates.join(F.broadcast(known.select("k_win")), F.col("win") == F.col("k_win")).drop("k_win")
     else:
-        hits = back(places.select(*key, F.col("p").alias("at"), "fp").join(prints, "fp", "left_semi")).withColumnRenamed("at", "p")
-    candidates = _windows(hits, key)
-    if n_heads:
-        if small:
-            at = worded.select(*key, "w", F.size("w").alias("n"), F.posexplode("w").alias("s", "head")).join(sent(heads), "head")
-        else:
-            at = back(worded.select(*key, F.posexplode("w").alias("s", "head")).join(heads, "head").select(*key, F.struct("s", "len").alias("at"))).select(*key, "w", "n", "at.s", "at.len")
-        at = at.filter(F.col("s") + F.col("len") <= F.col("n"))
-        candidates = candidates.unionByName(at.select(*key, "s", "len", F.concat_ws(" ", F.slice("w", F.col("s") + 1, F.col("len"))).alias("win")))
-    spots = candidates.join(sent(all_windows), "win").groupBy(*key).agg(F.collect_set(F.struct("s", "len")).alias("spots"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("item_ids"))
+        candidates = checkpointed(candidates)
+        met = candidates.groupBy(F.col("win").alias("c_win")).agg(F.count("*").alias("rows")).join(known, F.col("c_win") == F.col("k_win"), "left_semi")
+        spots = join_groups(candidates, met, {"win": "c_win"}, "rows").drop("c_win", "rows")
+    spots = checkpointed(spots)
+
+    # Which items the windows are of, and how many words they cover.
+    often = spots.select(*key, "win").distinct()
+    named = spans.filter("item is not null").distinct().select(F.col("win").alias("i_win"), "item")
+    named = named.join(F.broadcast(often.select("win").distinct()) if often.count() <= BROADCAST_IDS else often.select("win").distinct(), F.col("i_win") == F.col("win"), "left_semi")
+    of = often.join(named, F.col("win") == F.col("i_win")).select(*key, "item").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
 
     def cover(acc: Column, x: Column) -> Column:
         end = x["s"] + x["len"]
         return F.struct(F.greatest(acc["end"], end).alias("end"), (acc["hit"] + F.greatest(F.lit(0), end - F.greatest(acc["end"], x["s"]))).alias("hit"))
 
-    covered = F.aggregate(F.array_sort("spots"), F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")), cover)["hit"]
-    spots = spots.select(F.col("doc").alias("s_doc"), F.col("th").alias("s_th"), covered.cast("long").alias("n_hit"), F.array_sort("item_ids").alias("item_ids"))
-    counted = texts.select(*key, F.size(words_of(F.col("t"))).cast("long").alias("n_words"))
+    covered = F.aggregate(F.array_sort(F.collect_set(F.struct("s", "len"))), F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")), cover)["hit"]
+    same = lambda x, y: F.col(f"{x}doc").eqNullSafe(F.col(f"{y}doc")) & (F.col(f"{x}th") == F.col(f"{y}th"))
+    hit = spots.groupBy(F.col("doc").alias("s_doc"), F.col("th").alias("s_th")).agg(covered.cast("long").alias("n_hit"))
+    of = of.select(F.col("doc").alias("o_doc"), F.col("th").alias("o_th"), "item_ids")
+    hit = checkpointed(hit.join(of, same("s_", "o_"), "left").drop("o_doc", "o_th"))
+    counted = found.filter("len = -1").select(*key, F.col("p").cast("long").alias("n_words"))
     none = F.expr("cast(array() as array<string>)")
-    return counted.join(spots, F.col("doc").eqNullSafe(F.col("s_doc")) & (F.col("th") == F.col("s_th")), "left").select(F.col("doc").alias("doc_id"), F.col("th").alias("text_hash"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
+    return counted.join(hit, same("", "s_"), "left").select(F.col("doc").alias("doc_id"), F.col("th").alias("text_hash"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
 
 
 def contaminated() -> Column:
