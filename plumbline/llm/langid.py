@@ -3,8 +3,9 @@
 Texts are cut into windows of WINDOW bytes, all of them; in each window one GRU reads forwards and
 one backwards, and a softmax over both states labels every byte position with a language.  A
 document's probabilities are the mean over all its positions.  The network is trained here, in
-numpy, by backpropagation through time and Adam, on windows spread evenly over a bounded sample of
-labelled rows (TRAIN_ROWS; up to ROW_WINDOWS windows a row).  Rows are counted by language first:
+numpy, by backpropagation through time and Adam, on windows of a bounded sample of labelled rows
+(TRAIN_ROWS).  Of a row's windows, from all over its text, up to ROW_WINDOWS are drawn, each weighing as many windows
+as it stands for, so that every part of a long text counts.  Rows are counted by language first:
 each language has an equal quota of the sample, what rare ones leave over goes to the others, and
 within a language rows are taken by hash of the id, the one with the least hash always.  So every
 language of a row that may be learnt from is a class at every size; only beyond TRAIN_ROWS languages
@@ -13,18 +14,20 @@ is the sample larger, with one row each.  Everything is seeded: the same rows gi
 Gates use the softsign pair x / (1 + |x|) instead of tanh and the logistic function, which keeps a
 step to a few vector operations.
 
-Edge cases: a null text or one without a letter is `und` with score 0; without any labelled row
-every text is `und`; one learnt language is predicted with score 1; repeated rows get equal
-results; only doc_id, text and (for learning) lang are read.
+Edge cases: a null text or one without a letter (Unicode category L) is `und` with score 0; without
+any labelled row, as in an empty table, every text is `und`; one learnt language is predicted with
+score 1; of languages with equal probabilities the first by name is predicted; very long texts are
+read whole, a bounded number of windows at a time; repeated rows get equal results; only doc_id, text
+and (for learning) lang are read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +38,11 @@ WINDOW = 128
 TRAIN_WINDOW = 64
 UNITS = 8
 TRAIN_ROWS = 4_000
-ROW_WINDOWS = 4
+ROW_WINDOWS = 8
 BATCHES = 260
 BATCH = 256
 PAD = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BLOCK = 2048
 f4 = np.float32
 
@@ -152,17 +155,19 @@ class BiGru:
         return loss, grad
 
 
-def train(windows: np.ndarray, labels: np.ndarray, classes: list[str], *, units: int = UNITS, batches: int = BATCHES, batch: int = BATCH, rate: float = 0.03, seed: int = 7) -> BiGru:
-    """Adam on random batches; languages weigh the same however many windows they have."""
+def train(windows: np.ndarray, labels: np.ndarray, classes: list[str], stands_for: np.ndarray | None = None, *, units: int = UNITS, batches: int = BATCHES, batch: int = BATCH, rate: float = 0.03, seed: int = 7) -> BiGru:
+    """Adam on random batches; windows are drawn by what they stand for, and languages weigh the same."""
     net = BiGru(classes, units, seed)
     rng = np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
-    per_class = np.bincount(labels, minlength=len(classes))
-    weights = (1.0 / np.maximum(per_class, 1))[labels]
-    weights = (weights / weights.mean()).astype(f4)
+    stands_for = np.ones(len(windows)) if stands_for is None else stands_for
+    per_class = np.bincount(labels, weights=stands_for, minlength=len(classes))
+    weights = (1.0 / np.maximum(per_class, 1e-9))[labels]
+    weights = (weights * stands_for.sum() / (weights * stands_for).sum()).astype(f4)
+    chance = stands_for / stands_for.sum()
     for k in range(1, batches + 1):
-        pick = rng.integers(0, len(windows), batch)
+        pick = rng.choice(len(windows), batch, p=chance)
         cut = int(rng.integers(0, windows.shape[1] - TRAIN_WINDOW + 1)) if windows.shape[1] > TRAIN_WINDOW else 0
         _, grad = net.gradients(windows[pick, cut : cut + TRAIN_WINDOW], labels[pick], weights[pick])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
@@ -187,10 +192,14 @@ def cut(data: np.ndarray, off: np.ndarray, size: int = WINDOW) -> tuple[np.ndarr
     return out, text
 
 
-def spread(data: np.ndarray, most: int) -> np.ndarray:
-    """Up to `most` windows of one text, evenly spread over the whole of it."""
+def spread(data: np.ndarray, most: int, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Up to `most` windows of one text, one drawn from each of as many equal stretches of it, and how many each stands for."""
     windows, _ = cut(data, np.array([0, len(data)]))
-    return windows if len(windows) <= most else windows[np.linspace(0, len(windows) - 1, most).astype(int)]
+    if len(windows) <= most:
+        return windows, 1.0
+    edges = np.linspace(0, len(windows), most + 1)
+    at = edges[:-1] + np.random.default_rng([seed, len(data)]).random(most) * np.diff(edges)
+    return windows[at.astype(int)], len(windows) / most
 
 
 def quotas(counts: dict[str, int], total: int) -> dict[str, int]:
@@ -202,8 +211,8 @@ def quotas(counts: dict[str, int], total: int) -> dict[str, int]:
     return out
 
 
-def sample(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows and labels of a bounded sample of the labelled rows that may be learnt from."""
+def sample(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Windows, labels, languages and weights of a bounded sample of the labelled rows that may be learnt from."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     part = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30))
@@ -218,15 +227,17 @@ def sample(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
         for batch in batches:
             for a, b in steps(batch.column(0)):
                 data, off = flat(batch.column(0).slice(a, b - a))
-                packed = [spread(data[off[k] : off[k + 1]], ROW_WINDOWS).astype("<i2").tobytes() for k in range(b - a)]
-                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["windows", "lang", "doc_id"])
+                drawn = [spread(data[off[k] : off[k + 1]], ROW_WINDOWS) for k in range(b - a)]
+                packed = [w.astype("<i2").tobytes() for w, _ in drawn]
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([x for _, x in drawn])], names=["windows", "lang", "doc_id", "stands_for"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = sorted(rows.mapInArrow(take, f"windows binary, lang string, doc_id {kind}").collect(), key=lambda r: (r["doc_id"], r["lang"], bytes(r["windows"])))
+    found = sorted(rows.mapInArrow(take, f"windows binary, lang string, doc_id {kind}, stands_for double").collect(), key=lambda r: (r["doc_id"], r["lang"], bytes(r["windows"])))
     classes = sorted({r["lang"] for r in found})
     parts = [np.frombuffer(r["windows"], "<i2").reshape(-1, WINDOW) for r in found]
     labels = np.repeat([classes.index(r["lang"]) for r in found], [len(p) for p in parts]) if found else np.zeros(0, int)
-    return (np.concatenate(parts) if parts else np.zeros((0, WINDOW), np.int16)), labels, classes
+    stands_for = np.repeat([r["stands_for"] for r in found], [len(p) for p in parts]) if found else np.zeros(0)
+    return (np.concatenate(parts) if parts else np.zeros((0, WINDOW), np.int16)), labels, classes, stands_for
 
 
 def identify(docs: DataFrame, net: BiGru | None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,6 +268,6 @@ def identify(docs: DataFrame, net: BiGru | None, *, doc_id: str = "doc_id", text
 
 def language_id(docs: DataFrame, **columns: str) -> DataFrame:
     """Trains on the learning fold of docs and labels every document."""
-    windows, labels, classes = sample(docs, **columns)
-    net = train(windows, labels, classes) if len(windows) else None
+    windows, labels, classes, stands_for = sample(docs, **columns)
+    net = train(windows, labels, classes, stands_for) if len(windows) else None
     return identify(docs, net, **{k: v for k, v in columns.items() if k != "lang"})
