@@ -97,6 +97,7 @@ class Vocabulary:
         self.token = {v: k.encode() for k, v in (ids | self.special).items()}
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.spelt: dict[bytes, bytes] = {}
 
     def _cutting(self, spec: dict) -> None:
         norm = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
@@ -175,30 +176,48 @@ class Vocabulary:
             before = spell
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as little-endian 32-bit integers."""
-        cut: list[list] = []
-        for text in texts:
-            if text and self.special_cut is not None and "<|" in text and self.special_cut.search(text):
-                parts: list = []
-                for k, piece in enumerate(self.special_cut.split(text)):
-                    parts += [np.uint32(self.special[piece])] if k % 2 else self.cut_words(piece)
-                cut.append(parts)
-            else:
-                cut.append(self.cut_words(text) if text else [])
-        new = {w for ws in cut for w in ws if w.__class__ is str} - self.words.keys()
+    def cut_text(self, text: str | None) -> list[str | np.uint32]:
+        """Words of a text, and the ids of special tokens between them."""
+        if not text or self.special_cut is None or "<|" not in text or not self.special_cut.search(text):
+            return self.cut_words(text) if text else []
+        parts: list = []
+        for k, piece in enumerate(self.special_cut.split(text)):
+            parts += [np.uint32(self.special[piece])] if k % 2 else self.cut_words(piece)
+        return parts
+
+    def encode_parts(self, texts: list[str | None]) -> list[list[bytes]]:
+        """The ids of each word of each text, as little-endian 32-bit integers."""
+        cut = [self.cut_text(t) for t in texts]
+        distinct = set().union(*cut)
+        special = {w for w in distinct if w.__class__ is not str}
+        new = {w for w in distinct if w not in self.words and w not in special}
         if len(self.words) + len(new) > KEEP_WORDS:
             self.words.clear()
-            new = {w for ws in cut for w in ws if w.__class__ is str}
+            self.spelt.clear()
+            new = distinct - special
         self.words |= self.encode_words(new)
         get = self.words.__getitem__
-        return [b"".join([get(w) if w.__class__ is str else w.tobytes() for w in ws]) if any(w.__class__ is not str for w in ws[:1] + ws) else b"".join(map(get, ws)) for ws in cut]
+        if not special:
+            return [list(map(get, ws)) for ws in cut]
+        return [[get(w) if w.__class__ is str else w.tobytes() for w in ws] for ws in cut]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as little-endian 32-bit integers."""
+        return [b"".join(parts) for parts in self.encode_parts(texts)]
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens' own strings joined by blanks, as files without a decoder are decoded, in UTF-8."""
         token = self.token
         return b" ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist() if i in token])
 
+    def decode_parts(self, parts: list[bytes]) -> bytes:
+        """decode() of ids that come in pieces; a piece that was seen before isn't decoded again."""
+        spelt = self.spelt
+        for ids in parts:
+            if ids not in spelt:
+                spelt[ids] = self.decode(ids)
+        return b" ".join(map(spelt.__getitem__, parts))
+
     def plain(self, ids: bytes) -> str:
         """Readable text: bytes put together again, a blank where a word ended."""
         back = {c: b for b, c in enumerate(_byte_alphabet())}
@@ -233,13 +252,15 @@ def encode_decode(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: s
         for batch in batches:
             for a, b in steps(batch.column(1), STEP_BYTES):
                 part = batch.slice(a, b - a)
-                ids = v.encode(part.column(1).to_pylist())
+                parts = v.encode_parts(part.column(1).to_pylist())
+                ids = [b"".join(x) for x in parts]
                 columns = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64())]
                 if with_ids:
                     columns.append(pa.array(ids, pa.binary()))
-                columns += [pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(v.decode(x)).hexdigest() for x in ids])]
+                columns += [pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(v.decode_parts(x)).hexdigest() for x in parts])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         v.words.clear()
+        v.spelt.clear()
         settle()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
