@@ -5,23 +5,30 @@ Totals by source, language and tokenizer version are never recounted.  A batch o
 between the new count and the old) is summed to a few delta rows and committed under a batch id.
 Totals are the sum of all committed deltas, in any order.
 
-Commits are idempotent.  A batch is written beside the ledger and then renamed to its id in one
-step; if the id is there already, nothing changes, so a job that was lost and runs again, or a batch
-that is delivered twice, counts once.  The ledger is a folder that executors and driver share.
-
-Edge cases: null texts have 0 tokens and count as documents; null sources and languages are groups
-of their own; a delete or a revision of a document that the state doesn't hold changes nothing;
-repeated rows are counted as often as they occur; an empty batch commits and changes nothing.
+Commits are idempotent.  Each run of a batch writes to a folder of its own beside the ledger, which
+is then renamed to the batch's id by a rename that fails where the id is there already; so of runs
+that race one wins, and a job that was lost and runs again, or a batch that is delivered twice, counts
+once.  A run that dies before its rename leaves a hidden folder that nothing reads.  `compact` sums
+what is committed to one folder that takes these batches' place for readers.  The ledger is a folder
+that executors and driver share.
+
+Edge cases: null texts have 0 tokens and count as documents, very long ones are read whole; null
+sources and languages are groups of their own; a delete or a revision of a document that the state
+doesn't hold changes nothing; repeated rows are counted as often as they occur; an empty table or
+batch commits and changes nothing; only doc_id, text, source and lang are read, so other columns may
+have any name.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,30 +104,69 @@ class Ledger:
     def _at(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def batches(self) -> list[str]:
+    def _names(self, kind: str) -> list[str]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._root)]
-        return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch="))
+        return sorted(n.removeprefix(f"{kind}=") for n in names if n.startswith(f"{kind}="))
+
+    def batches(self) -> list[str]:
+        return self._names("batch")
+
+    def _publish(self, rows: DataFrame, name: str) -> bool:
+        """Writes rows under a name of their own and renames them; False if the name is taken."""
+        pending = f".pending-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{pending}")
+        sc = self.spark.sparkContext
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        none = sc._gateway.new_array(rename, 1)
+        none[0] = rename.NONE
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._root.toUri(), sc._jsc.hadoopConfiguration()).rename(self._at(pending), self._at(name), none)
+        except Py4JJavaError as e:
+            self._fs.delete(self._at(pending), True)
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            return False
+        return True
 
     def commit(self, batch_id: str, deltas: DataFrame) -> bool:
-        """Adds a batch of deltas; False if the batch is there already."""
+        """Adds a batch of deltas; False if the batch is there already, whoever committed it."""
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
             raise ValueError(f"not a batch id: {batch_id!r}")
-        final = self._at(f"batch={batch_id}")
-        if self._fs.exists(final):
+        if self._fs.exists(self._at(f"batch={batch_id}")):
             return False
-        pending = f"{self.path}/.pending-{batch_id}"
-        deltas.select(*KEYS, "d_docs", "d_tokens").groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens")).coalesce(1).write.mode("overwrite").parquet(pending)
-        if self._fs.exists(final) or not self._fs.rename(self._at(f".pending-{batch_id}"), final):
-            self._fs.delete(self._at(f".pending-{batch_id}"), True)  # another run committed it meanwhile
-            return False
-        return True
+        rows = deltas.select(*KEYS, "d_docs", "d_tokens").groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+        return self._publish(rows, f"batch={batch_id}")
+
+    def _base(self) -> tuple[DataFrame, set[str]]:
+        """The deltas of the widest compaction and the batches that it stands for."""
+        found: DataFrame = self.spark.createDataFrame([], DELTA_SCHEMA)
+        held: set[str] = set()
+        for name in self._names("base"):
+            rows = self.spark.read.parquet(f"{self.path}/base={name}")
+            batches = {r["batch"] for r in rows.filter("batch is not null").select("batch").collect()}  # a row a batch
+            if len(batches) > len(held):
+                found, held = rows.filter("batch is null").drop("batch"), batches
+        return found, held
+
+    def _deltas(self) -> tuple[DataFrame, set[str]]:
+        found, held = self._base()
+        new = [b for b in self.batches() if b not in held]
+        if new:
+            found = found.unionByName(self.spark.read.schema(DELTA_SCHEMA).parquet(*[f"{self.path}/batch={b}" for b in new]))
+        return found, held | set(new)
+
+    def compact(self) -> int:
+        """Sums all committed batches to one folder; the number of batches that it stands for."""
+        found, held = self._deltas()
+        rows = found.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens")).withColumn("batch", F.lit(None).cast("string"))
+        named = self.spark.createDataFrame([(None, None, None, 0, 0, b) for b in sorted(held)], DELTA_SCHEMA + ", batch string")
+        if held:
+            self._publish(rows.unionByName(named), f"base={uuid.uuid4().hex}")
+        return len(held)
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens over all committed batches; groups without documents go."""
-        if not self.batches():
-            found = self.spark.createDataFrame([], DELTA_SCHEMA)
-        else:
-            found = self.spark.read.schema(DELTA_SCHEMA).parquet(*[f"{self.path}/batch={b}" for b in self.batches()])
+        found, _ = self._deltas()
         summed = found.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
         return summed.filter((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
