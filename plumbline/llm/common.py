@@ -35,10 +35,13 @@ def settle() -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names; only where none is set (tests, a single machine) a temporary one."""
+    """The shared folder that the session names; only where none is set on a single machine (tests) a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 

@@ -2,46 +2,31 @@
 
 from __future__ import annotations
 
-import os
-import sys
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline import session
 from plumbline.session import table
 
 from . import bpe, decontaminate, html_extract, langid, ngram_join, quality, sharding, substring_dedup, token_counts, toxicity
 from .common import checkpoint_folder, checkpointed, held_out
 from .sql import ORACLES
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_shipped: set[str] = set()
 BATCH_ROWS = 2_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Readies a session: smaller Arrow batches, as texts are long rows; and this package where executors can't import it."""
+    """Readies a session: this package on the executors, and smaller Arrow batches, as texts are long rows.
+
+    The batch size stays as it is set here for the rest of the session: plans read it when they run.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    paths = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
-    app = spark.sparkContext.applicationId
-    if app in _shipped or any(p and os.path.realpath(p) == os.path.realpath(_ROOT) for p in paths):
-        return
-    name = os.path.join(tempfile.mkdtemp(prefix="package-"), "plumbline.zip")
-    with zipfile.ZipFile(name, "w") as z:
-        for top, _, files in os.walk(os.path.join(_ROOT, "plumbline")):
-            for f in files:
-                if f.endswith((".py", ".toml")):
-                    full = os.path.join(top, f)
-                    z.write(full, os.path.relpath(full, _ROOT))
-    spark.sparkContext.addPyFile(name)  # the driver serves it to every executor
-    sys.path[:] = [p for p in sys.path if p != name]
-    _shipped.add(app)
+    session.ship(spark)
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -48,4 +48,48 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(root,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN roots USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op3_ngram_jaccard_join": OP3, "op8_benchmark_decontamination": OP8}
+#: CRC-32 of a text's bytes: the table by its rule, then a byte at a time.
+_HEX = "hex(encode(coalesce(text, '')))"
+_CRC = f"""list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(octet_length(encode(coalesce(text, '')))), lambda i: CAST(('0x' || substr({_HEX}, CAST(2 * i + 1 AS INTEGER), 2)) AS BIGINT))),
+  lambda acc, b: xor(acc >> 8, t[CAST(xor(acc & 255, b) AS INTEGER) + 1]))"""
+OP10 = rf"""
+WITH RECURSIVE step AS (SELECT i, i AS c, 0 AS k FROM range(256) x(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+d AS (SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 8 AS size, xor({_CRC}, 4294967295) AS text_crc32 FROM documents, crc),
+r AS (SELECT *, CAST('0x' || substr(sha256('mixture-1:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || text_crc32 || ':' || size), 1, 15) AS BIGINT) AS r FROM d),
+f AS (SELECT *, CAST(2 * (row_number() OVER (PARTITION BY source ORDER BY r, doc_id NULLS FIRST, text_crc32, size) - 1) + 1 AS DOUBLE) / CAST(2 * count(*) OVER (PARTITION BY source) AS DOUBLE) AS f FROM r),
+p AS (SELECT *, row_number() OVER (ORDER BY f, source NULLS FIRST, r, doc_id NULLS FIRST, text_crc32, size) - 1 AS position, count(*) OVER () AS n FROM f),
+s AS (SELECT *, position * 24 // n AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(position - (shard * n + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+#: Slots of the 4-grams, the log ratio in steps of 2**-26, and the verdict.
+_BYTE = [f"CAST('0x' || substr(g, {2 * k + 1}, 2) AS BIGINT)" for k in range(4)]
+_P_RAW = "((raw + 1::DOUBLE) / (n + 65536::DOUBLE))"
+OP4 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_BLANK} AS w FROM documents),
+n AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT doc_id, s, list_slice(w, s + 1, s + 5) AS g FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS s FROM d WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(s, s + 5)) AS p FROM twice) GROUP BY doc_id),
+gr AS (SELECT doc_id, substr(h, CAST(2 * k + 1 AS INTEGER), 8) AS g FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 3)) AS k FROM (SELECT doc_id, {_HEX} AS h FROM d) WHERE length(h) >= 8)),
+pc AS (SELECT doc_id, g, count(*) AS c FROM gr GROUP BY ALL),
+slots AS (SELECT g, (({_BYTE[0]} + 2533 * {_BYTE[1]} + 246515 * {_BYTE[2]} + 32773589 * {_BYTE[3]}) * 2654435761::HUGEINT % 4294967296)::BIGINT >> 16 AS slot FROM (SELECT DISTINCT g FROM pc)),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+cnt AS (SELECT slot, CAST(sum(c) AS DOUBLE) AS raw, CAST(coalesce(sum(c) FILTER (WHERE doc_id IN (SELECT doc_id FROM good)), 0) AS DOUBLE) AS target FROM pc JOIN slots USING (g) GROUP BY slot),
+tot AS (SELECT sum(raw) AS n, sum(target) AS m FROM cnt),
+ratio AS (SELECT slot, CASE WHEN m = 0 THEN 0 ELSE CAST(round((ln((target + 65536::DOUBLE * {_P_RAW}) / (m + 65536::DOUBLE)) - ln({_P_RAW})) * 67108864) AS BIGINT) END AS x FROM cnt, tot),
+llr AS (SELECT doc_id, CAST(sum(c * x) AS DOUBLE) / sum(c) / 67108864 AS llr FROM pc JOIN slots USING (g) JOIN ratio USING (slot) GROUP BY doc_id),
+a AS (SELECT n.doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(llr, 0) AS llr
+  FROM n LEFT JOIN rep USING (doc_id) LEFT JOIN llr USING (doc_id))
+SELECT * EXCLUDE (llr), n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND llr >= -0.4 AS kept FROM a
+"""
+
+#: For pages whose article is one `article` element of headings, paragraphs, bold text and line breaks, as the tables' are.
+_ARTICLE = r"regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(p|br|h1)>', ' ', 'g'), '<[^>]*>', '', 'g')"
+for _entity, _char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&#x27;", "chr(39)"), ("&amp;", "'&'")):
+    _ARTICLE = f"replace({_ARTICLE}, '{_entity}', {_char})"
+OP9 = rf"SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (SELECT page_id, url, trim(regexp_replace({_ARTICLE}, '[\x20\x09-\x0D]+', ' ', 'g')) AS text FROM pages)"
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op3_ngram_jaccard_join": OP3, "op4_quality_rules": OP4, "op8_benchmark_decontamination": OP8, "op9_html_extraction": OP9, "op10_sharding": OP10}
