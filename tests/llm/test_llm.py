@@ -364,12 +364,20 @@ def test_toxicity(odd, none, spark, sf):
 
 def test_label_model():
     rng = np.random.default_rng(1)
-    y = rng.random(4000) < 0.3
-    good = [np.where(rng.random(4000) < 0.9, np.where(y, 1, -1), np.where(y, -1, 1)) for _ in range(3)]
-    v = np.stack([*good, good[0], rng.integers(-1, 2, 4000)], axis=1)
-    m = toxicity.LabelModel(0.3).fit(v)
-    assert np.mean((m.posterior(v) > 0.5) == y) > 0.93
-    assert m.correlations[0, 3] > 0.9 and m.share[0] < m.share[1]
+    y = rng.random(4000) < 0.1
+    say = lambda right: np.where(rng.random(4000) < right, np.where(y, 1, -1), np.where(y, -1, 1))
+    good = [say(0.9) for _ in range(3)]
+    echo = np.where(rng.random(4000) < 0.97, good[0], -good[0])  # repeats the first voter, mistakes and all
+    v = np.stack([*good, echo, rng.integers(-1, 2, 4000)], axis=1)
+    m = toxicity.LabelModel(0.1).fit(v)
+    assert [0, 3] in m.groups and m.correlations[0, 3] > 0.8 and abs(m.correlations[0, 1]) < 0.3
+    assert np.mean((m.posterior(v) > 0.5) == y) > 0.96 and abs(m.accuracies(v)[1] - 0.9) < 0.04
+    alone = np.array([[1, -1, -1, 1, 0]])  # two voices against one and its echo
+    assert m.posterior(alone)[0] < 0.2
+    # Rows that stand for many weigh as many rows.
+    few = np.concatenate([np.flatnonzero(y), np.flatnonzero(~y)[:400]])
+    w = np.where(y[few], 1.0, (~y).sum() / 400)
+    assert np.mean((toxicity.LabelModel(0.1).fit(v[few], w).posterior(v) > 0.5) == y) > 0.96
 
 
 def test_hot_and_other_groups_join_alike(spark, none):
