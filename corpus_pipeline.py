@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of docs.  Each judges
 all that its predecessor kept.
+
+Edge cases: rows with a null id are judged like others, but the Jaccard join drops none of them; rows
+with a null or empty text fail the quality rules; of rows that share an id and whose document stays,
+the one with the least hash of its text (then of all its columns) stays; rows that are equal in all
+columns are one; very long texts are handled whole; an empty table gives an empty result; other columns
+are carried along under any names but those that begin with `__stage_`.
 """
 
 from __future__ import annotations
@@ -43,7 +49,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     if not twice.isEmpty():  # rows that repeat an id
         twice = _sent(twice)
         same = F.col("doc_id") == F.col(_MARK + "id")
-        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        one = kept.join(twice, same, "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.struct(F.xxhash64("text"), F.xxhash64(whole))).alias(_MARK + "row"))
+        kept = kept.join(twice, same, "left_anti").unionByName(one.select(_MARK + "row.*"))
     return kept
 
 
