@@ -5,17 +5,11 @@ from __future__ import annotations
 import difflib
 import hashlib
 import json
-import math
-import random
 import re
 import unicodedata
-from collections import Counter
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from plumbline.llm import html_extract, langid, quality
 from plumbline.operators import dedup
 from plumbline.plans import catalogue
 
@@ -96,83 +90,6 @@ def test_title_query_by_brute_force(spark, sf):
     assert {r["seq"]: (r["duplicate_of"], r["reason"], r["score"]) for r in catalogue.queries()["dedup_title_similarity"](spark, sf).collect()} == want
 
 
-def test_rare_languages_are_learnt(spark):
-    rows = [(k, "the cat and the dog ", "en") for k in range(3_000)] + [(k, "der hund und die katze ", "de") for k in range(3_000, 3_400)]
-    rows += [(k, "og hundurinn ", "is") for k in range(5_000, 5_006)] + [(k, "ja koira ", "fi") for k in range(6_000, 6_003)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
-    _, labels, classes = langid.sample(docs, train_rows=100)
-    assert classes == ["de", "en", "fi", "is"] and 70 < len(labels) < 130
-    assert langid.sample(docs, train_rows=2)[2] == classes
-    assert langid.quotas({"en": 10_000_000, "de": 1_000, "is": 3}, 4_000) == {"is": 3, "de": 1_000, "en": 2_997}
-
-
-def test_layout_words_keep_the_article():
-    text = "The whole story in one long sentence."
-    page = lambda x: html_extract.extract(f"<html><body>{x}</body></html>", None)
-    assert page(f'<div id="page" class="layout-right-sidebar"><article><p>{text}</p></article></div>') == text
-    assert page(f'<article class="social-share"><p>{text}</p></article><div class="sidebar">Side</div>') == text
-    assert page(f'<section class="notice-layout"><main><p>{text}</p></main></section><p>Home</p>') == text
-    assert page(f'<div class="widget-wrap"><p>{text}</p></div><div class="promo">Buy</div>') == text  # by share
-    assert page('<div class="alert">One third.</div><div class="notice">Another.</div><div class="promo">And more.</div>') == "One third. Another. And more."  # nothing else is there
-    said = "<article>" + "A reader says much. " * 3 + "</article>"
-    assert page(f'<div class="wrap"><p>{text * 4}</p><div id="comments">{said}{said}</div></div>') == text * 4
-    assert page(f'<div class="wrap"><article><p>{text}</p></article><div class="sidebar"><article>Teaser</article></div></div>') == text
-
-
-def slots(text):
-    """The slot of each 4-gram, in plain integers."""
-    b = text.encode()
-    return [(sum(x * m for x, m in zip(b[k : k + 4], (1, 2533, 246515, 32773589), strict=True)) * 2654435761 % 2**32) >> 16 for k in range(len(b) - 3)]
-
-
-def brute_ratio(texts, trusted):
-    raw, target = Counter(), Counter()
-    for i, t in texts:
-        raw.update(slots(t))
-        if i in trusted:
-            target.update(slots(t))
-    n, m = raw.total(), target.total()
-    p = lambda s: (raw[s] + 1) / (n + 65_536)
-    return lambda s: math.log((target[s] + 65_536 * p(s)) / (m + 65_536)) - math.log(p(s))
-
-
-@pytest.mark.parametrize("bound", [quality.BROADCAST_IDS if hasattr(quality, "BROADCAST_IDS") else None, 0])
-def test_every_trusted_row_counts(spark, monkeypatch, bound):
-    if bound is not None:
-        monkeypatch.setitem(quality.target_counts.__kwdefaults__, "broadcast_ids", bound)
-    texts = [(k, f"{k * 7919 % 10_007} says {k * k % 9_973}") for k in range(7_000)]
-    docs = spark.createDataFrame([*texts, (None, "no id"), (7_001, None)], "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(k, 1) for k in range(0, 6_400)] + [(3, 1), (6_500, 0), (None, 1), (9_999, 1)], "doc_id int, quality int")
-    want = brute_ratio([*texts, (None, "no id")], set(range(6_400)))
-    assert np.allclose(quality.fit(docs, labels), [want(s) for s in range(quality.SLOTS)])
-    named = quality.fit(docs.withColumn("doc_id", F.col("doc_id").cast("string")), labels.withColumn("doc_id", F.col("doc_id").cast("string")))
-    assert np.allclose(named, [want(s) for s in range(quality.SLOTS)])
-
-
-def test_ratio_alone_rejects_junk(spark):
-    rnd = random.Random(3)
-    vocab = ["".join(rnd.choice("aeinrstl") for _ in range(rnd.randint(3, 8))) for _ in range(300)]
-    good = [" ".join(rnd.choice(vocab) for _ in range(220)) for _ in range(80)]
-    junk = [" ".join("".join(rnd.choice("bcdfghjkmpqvwxyz0123456789") for _ in range(6)) for _ in range(160)) for _ in range(12)]
-    texts = list(enumerate(good + junk))
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    for trusted in (set(range(60)), set(range(4))):
-        labels = spark.createDataFrame([(k, 1) for k in trusted], "doc_id long, quality int")
-        enough = sum(len(slots(good[k])) for k in trusted) >= quality.least_target()
-        assert enough == (len(trusted) == 60)
-        ratio = brute_ratio(texts, trusted)
-        mean = {k: np.mean([ratio(s) for s in slots(t)]) for k, t in texts}
-        if enough:
-            got = quality.quality_rules(docs, labels).collect()
-        else:
-            with pytest.warns(UserWarning, match="rejects nothing"):
-                got = quality.quality_rules(docs, labels).collect()
-        assert not any(r["base_failed"] for r in got)
-        assert np.allclose([r["llr"] for r in got], [mean[r["doc_id"]] for r in got])
-        assert {r["doc_id"] for r in got if not r["kept"]} == {k for k, x in mean.items() if x < -0.4} == (set(range(80, 92)) if enough else set())
-    assert quality.least_target() == 32_233
-
-
 @pytest.mark.parametrize("name", ["queue_renew_all_orders", "queue_complete_all_orders"])
 def test_commands_without_a_stored_row_lose_the_claim(spark, sf, name):
     keys = {r["o_orderkey"] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()}
