@@ -1,7 +1,7 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
 Words are lower-cased (A-Z) and cut at ASCII characters other than letters and digits.  Of every
-NEAR consecutive K-gram hashes the smallest is kept, leftmost on ties, for training texts and for
+NEAR consecutive K-gram hashes the smallest is kept (all of them on ties), for training texts and for
 benchmark items alike.  Two texts that share SPAN = K + NEAR - 1 words share such a stretch of
 hashes, so they share a kept hash at the same place of it: joining kept hashes finds every shared
 span.  An item of fewer words than SPAN, but not none, is one window; for these the hashes of all
@@ -41,6 +41,7 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64_000_000
 BROADCAST_IDS = 1_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PRINTS = "array<struct<len:int,p:int,fp:bigint>>"
 _CUT = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -56,35 +57,50 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _of(array: Column, place: Column, n: int) -> list[Column]:
+    """n elements from a place (0-based) on, null beyond the end.  slice() would copy the whole array each time."""
+    return [F.get(array, place + k) for k in range(n)]
+
+
 def _grams(words: Column) -> Column:
     """Hashes of the K-grams of words; none below SPAN words."""
 
     def of(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(h) - (K - 1)), lambda i: F.xxhash64(F.slice(h, i, K)))
+        return F.transform(F.sequence(F.lit(0), F.size(h) - K), lambda i: F.xxhash64(*_of(h, i, K)))
 
     return F.when(F.size(words) >= SPAN, _let(F.transform(words, lambda x: F.xxhash64(x)), of)).otherwise(F.expr("cast(array() as array<bigint>)"))
 
 
 def _kept(grams: Column) -> Column:
-    """The 1-based places of the winnowed hashes, each once."""
+    """The winnowed hashes as structs of len 0, place p (1-based) and hash fp: those that are the least of some NEAR hashes in a row."""
+
+    def of(least: Column) -> Column:
+        # A hash is no less than the least of any run that it is in, so it is kept if the greatest of these equals it.
+        places = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda p: F.greatest(*_of(least, p - (NEAR - 1), NEAR)) == F.get(grams, p))
+        return F.transform(places, lambda p: F.struct(F.lit(0).alias("len"), (p + 1).alias("p"), F.get(grams, p).alias("fp")))
+
+    least = F.transform(F.sequence(F.lit(0), F.size(grams) - NEAR), lambda i: F.least(*_of(grams, i, NEAR)))
+    return F.when(F.size(grams) >= NEAR, _let(least, of)).otherwise(F.expr(f"cast(array() as {_PRINTS})"))
 
-    def least(i: Column) -> Column:
-        return _let(F.slice(grams, i, NEAR), lambda near: i + F.array_position(near, F.array_min(near)).cast("int") - 1)
 
-    return F.when(F.size(grams) >= NEAR, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(grams) - (NEAR - 1)), least))).otherwise(F.expr("cast(array() as array<int>)"))
+def _whole(words: Column, n: int, i: Column) -> Column:
+    """The hash of a short item's words, n of them from i (0-based) on."""
+    return F.xxhash64(F.lit(n), *_of(words, i, n))
 
 
 def _prints(words: Column, lengths: list[int]) -> Column:
     """Structs of len (0 for a winnowed K-gram, else the length of a short item), place p (1-based) and hash fp."""
 
-    def kept(g: Column) -> Column:
-        return F.transform(_kept(g), lambda p: F.struct(F.lit(0).alias("len"), p.alias("p"), F.element_at(g, p).alias("fp")))
-
     def whole(n: int) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.struct(F.lit(n).alias("len"), i.alias("p"), F.xxhash64(F.lit(n), F.slice(words, i, n)).alias("fp")))
-        return F.when(F.size(words) >= n, each).otherwise(F.array().cast("array<struct<len:int,p:int,fp:bigint>>"))
+        each = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.struct(F.lit(n).alias("len"), (i + 1).alias("p"), _whole(words, n, i).alias("fp")))
+        return F.when(F.size(words) >= n, each).otherwise(F.expr(f"cast(array() as {_PRINTS})"))
+
+    return F.concat(_let(_grams(words), _kept), *[whole(n) for n in lengths])
+
 
-    return F.concat(_let(_grams(words), kept), *[whole(n) for n in lengths])
+def _window(words: Column, s: Column, n: Column) -> Column:
+    """The words of a window of n (SPAN at most) that begins at s (1-based), joined by blanks."""
+    return F.concat_ws(" ", *[F.when(F.lit(k) < n, w) for k, w in enumerate(_of(words, s - 1, SPAN))])
 
 
 def _read(df: DataFrame, keep: list[str], text: str, lengths: list[int]) -> DataFrame:
@@ -107,11 +123,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     """Per document: doc_id, text_hash, n_words, n_hit, item_ids (sorted as strings)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).select("*", F.size("w").alias("n")).filter("n > 0")
     span = F.least(F.col("n"), F.lit(SPAN))
-    spans = items.select("item", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - span + 1), lambda i: F.concat_ws(" ", F.slice("w", i, span)))).alias("win"))
+    spans = items.select("item", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - span + 1), lambda i: _window(F.col("w"), i, span))).alias("win"))
     lengths = sorted(r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect())  # SPAN - 1 values at most
     prints = _read(benchmark, [], "text", []).filter("len = 0").select("fp")
     if lengths:
-        prints = prints.unionByName(items.filter(F.col("n") < SPAN).select(F.xxhash64("n", "w").alias("fp")))
+        prints = prints.unionByName(items.filter(F.col("n") < SPAN).select(F.coalesce(*[F.when(F.col("n") == n, _whole(F.col("w"), n, F.lit(0))) for n in lengths]).alias("fp")))
     prints = checkpointed(prints.distinct())
     passes = max(1, -(-prints.count() // max(1, broadcast_rows)))
 
@@ -133,7 +149,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
 
     def windows(w: Column) -> Column:
         starts = F.array_distinct(F.flatten(F.transform("ats", lambda at: _starts(F.size(w), at))))
-        return F.transform(starts, lambda x: F.struct(x["s"].alias("s"), x["len"].alias("len"), F.concat_ws(" ", F.slice(w, x["s"], x["len"])).alias("win")))
+        return F.transform(starts, lambda x: F.struct(x["s"].alias("s"), x["len"].alias("len"), _window(w, x["s"], x["len"]).alias("win")))
 
     candidates = read.select(*key, F.explode(_let(words_of(F.col("t")), windows)).alias("c")).select(*key, "c.s", "c.len", "c.win")
     known = spans.groupBy(F.col("win").alias("k_win")).agg(F.count("*").alias("c"))
