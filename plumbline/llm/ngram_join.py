@@ -50,7 +50,7 @@ KEEP = 65_536
 LOCAL_OFTEN = 3
 #: Shingles and sets in one block of a cluster, about; larger clusters are cut.
 BLOCK_SHINGLES = 1_200_000
-BLOCK_SETS = 1_000
+BLOCK_SETS = 500
 #: Entries of a list that is put off to the next round, and the number of rounds.
 LONG = 1_000
 ROUNDS = 3
