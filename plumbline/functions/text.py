@@ -25,6 +25,12 @@ def text_key(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFC", t).casefold().split()))
 
 
+def matching_key(text: Column) -> Column:
+    """text_key, of which only texts beyond ASCII leave the JVM."""
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.trim(F.regexp_replace(F.lower(text), r"[\x09-\x0D\x1C-\x20]+", " "))).otherwise(text_key(F.when(~plain, text)))
+
+
 @F.pandas_udf(StringType())
 def tidy(texts: pd.Series) -> pd.Series:
     """NFC, runs of white space to one blank, empty to null."""

@@ -3,8 +3,8 @@
 A row is a duplicate of the earliest row before it that matches on any layer: canonical URL, item id
 within a source, content hash and title similarity.  For the exact layers only the first row with a
 key can be the earliest match, so each layer is a grouped minimum joined back; no pairs are made.
-Titles meet in cells of bounded size, where counts of characters rule out nearly all pairs and each
-row looks for its earliest match only.
+Equal titles meet by running minima; different ones in cells, where counts of characters rule out
+nearly all pairs.  Each row gets its earliest match only.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.functions import text as T
+from plumbline.session import ship
 
 LAYERS = (("CANONICAL_URL", ("canonical_url",)), ("SOURCE_ITEM_ID", ("source_id", "source_item_id")), ("CONTENT_HASH", ("content_hash",)))
 THRESHOLD = 0.98
@@ -48,24 +50,6 @@ def exact_layers(rows: DataFrame, *, seq: str = "seq") -> DataFrame:
     return out.withColumn("_best", best).select(*rows.columns, F.col("_best.of").alias("duplicate_of"), F.col("_best.reason").alias("reason"))
 
 
-def title_similarity(rows: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (seq, of, score) at or above the threshold.  rows: seq, market, title_key, at (seconds).
-
-    Pairs meet in a band: same market, neighbouring days, neighbouring length classes.  The length
-    classes lose nothing, as the ratio of two titles is at most 2 min / (a + b).
-    """
-    ratio = (2 - threshold) / threshold  # the longest title that can still match
-    r = rows.filter(F.length("title_key") >= MIN_KEY).withColumn("len", F.length("title_key")).withColumn("day", F.floor(F.col("at") / DAY)).withColumn("band", F.floor(F.log(F.col("len").cast("double")) / F.log(F.lit(ratio))))
-    r = r.withColumn("digits", T.numeric_tokens(F.col("title_key")))
-    probe = r.withColumn("p_day", F.explode(F.array(*[F.col("day") + k for k in (-1, 0, 1)]))).withColumn("p_band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])))
-    a, b = probe.alias("a"), r.alias("b")
-    near = a.join(b, (F.col("a.market") == F.col("b.market")) & (F.col("a.p_day") == F.col("b.day")) & (F.col("a.p_band") == F.col("b.band")) & (F.col("b.seq") < F.col("a.seq")))
-    short, long = F.least("a.len", "b.len"), F.greatest("a.len", "b.len")
-    near = near.filter((F.abs(F.col("a.at") - F.col("b.at")) <= DAY) & (2 * short >= threshold * (short + long)) & ((F.size("a.digits") == 0) | (F.size("b.digits") == 0) | (F.col("a.digits") == F.col("b.digits"))))
-    scored = near.select(F.col("a.seq").alias("seq"), F.col("b.seq").alias("of"), T.similarity(F.col("a.title_key"), F.col("b.title_key")).alias("score"))
-    return scored.filter(F.col("score") >= threshold)
-
-
 def _profiles(keys: np.ndarray) -> np.ndarray:
     """Bucketed counts of each key's characters; two keys' counts differ by no more than their unmatched characters."""
     out = np.zeros((len(keys), _BUCKETS), np.int32)
@@ -75,54 +59,83 @@ def _profiles(keys: np.ndarray) -> np.ndarray:
 
 
 def _earliest_in_cell(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """seq, of, score: the earliest match of each left row among the right rows."""
+    """seq, of, score: the earliest right point of another key that each left point's key resembles, within a day."""
     right = cell[~cell["is_left"]].sort_values("seq")
     r_codes, r_keys = pd.factorize(right["title_key"])
     r_keys = np.asarray(r_keys, dtype=object)
     size, profile = np.array([len(k) for k in r_keys], dtype=np.int64), _profiles(r_keys)
+    coarse = profile.reshape(len(r_keys), 4, _BUCKETS // 4).sum(axis=2)
+    by_size = np.argsort(size, kind="stable")
+    sizes = size[by_size]
     digits = dict(zip(cell["title_key"], map(tuple, cell["digits"]), strict=True))
     seqs, ats = right["seq"].to_numpy(), right["at"].to_numpy()
     found = []
     for key, rows in cell[cell["is_left"]].groupby("title_key", sort=False):
-        most = (1 - threshold) * (size + len(key)) + 1e-6  # unmatched characters of a match
-        near = np.flatnonzero(np.abs(size - len(key)) <= most)
-        near = near[np.abs(profile[near] - _profiles(np.array([key], dtype=object))[0]).sum(axis=1) <= most[near]]
-        mine = digits[key]
-        able = np.zeros(len(r_keys), dtype=bool)
-        able[[k for k in near if not mine or not digits[r_keys[k]] or digits[r_keys[k]] == mine]] = True
-        scores: dict[int, float] = {}
-        at_rows = np.flatnonzero(able[r_codes])
-        for seq, at, below in zip(rows["seq"], rows["at"], rows["below"], strict=True):
-            for k in at_rows[(seqs[at_rows] < below) & (np.abs(ats[at_rows] - at) <= DAY)]:
-                c = r_codes[k]
-                if c not in scores:
-                    scores[c] = 1.0 if r_keys[c] == key else difflib.SequenceMatcher(None, key, r_keys[c], autojunk=False).ratio()
-                if scores[c] >= threshold:
-                    found.append((seq, seqs[k], scores[c]))
-                    break
+        # A match leaves (1 - threshold) of both keys' characters unmatched at most.
+        lo, hi = np.searchsorted(sizes, [len(key) * threshold / (2 - threshold) - 1e-6, len(key) * (2 - threshold) / threshold + 1e-6])
+        near = by_size[lo:hi]
+        most = (1 - threshold) * (size[near] + len(key)) + 1e-6
+        mine = _profiles(np.array([key], dtype=object))[0]
+        for whole, one in ((coarse, mine.reshape(4, -1).sum(axis=1)), (profile, mine)):
+            ok = np.abs(whole[near] - one).sum(axis=1) <= most
+            near, most = near[ok], most[ok]
+        scores = {}
+        for k in near:
+            other = r_keys[k]
+            if other != key and (not digits[key] or not digits[other] or digits[key] == digits[other]):
+                score = difflib.SequenceMatcher(None, key, other, autojunk=False).ratio()
+                if score >= threshold:
+                    scores[k] = score
+        if scores:
+            at_rows = np.flatnonzero(np.isin(r_codes, list(scores)))
+            for seq, at in zip(rows["seq"], rows["at"], strict=True):
+                k = at_rows[np.abs(ats[at_rows] - at) <= DAY][:1]
+                if len(k):
+                    found.append((seq, seqs[k[0]], scores[r_codes[k[0]]]))
     return pd.DataFrame(found, columns=["seq", "of", "score"]).astype({"seq": "int64", "of": "int64", "score": "float64"})
 
 
+def _first_within_a_day(points: DataFrame, keys: list[str]) -> DataFrame:
+    """points (keys, at, seq; one row a time) with first: the least seq of the same keys no more than a day away.
+
+    Days are blocks: a point's neighbourhood is the end of the block before from its own offset on, its
+    block, and the beginning of the next one up to its offset, so running minima do, whatever the number of points.
+    """
+    block, off = F.floor(F.col("at") / DAY).alias("block"), F.pmod("at", F.lit(DAY)).alias("off")
+    data = points.select(*keys, block, off, F.lit(0).alias("step"), "seq")
+    asks = [data.select(*keys, (F.col("block") + x).alias("block"), "off", F.lit(x).alias("step"), F.lit(None).cast("long").alias("seq")) for x in (-1, 1)]
+    every = data.unionByName(asks[0]).unionByName(asks[1])
+    part = Window.partitionBy(*keys, "block")
+    upto, onward = (part.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.asc("off"), F.desc("off")))
+    told = every.withColumn("v", F.when(F.col("step") == 0, F.min("seq").over(part)).when(F.col("step") == 1, F.min("seq").over(upto)).otherwise(F.min("seq").over(onward)))
+    return told.groupBy(*keys, ((F.col("block") - F.col("step")) * DAY + F.col("off")).alias("at")).agg(F.min("v").alias("first"))
+
+
 def earliest_title(rows: DataFrame, *, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(seq, of, score) of the earliest match at or above the threshold, for rows that have one.
 
-    rows: seq, market, title_key, at (seconds), below (only matches with a smaller seq are of use).
-    Length classes are those of title_similarity.  Left rows of a class and right rows of it and its
-    neighbours are dealt into pieces of about cell_rows; every pair of pieces is a cell.
+    rows: seq, market, title_key, at (seconds), below (only matches with a smaller seq are of use).  Rows
+    of one title and time are one point; equal titles meet by running minima, whatever their number.
+    Points of different titles meet in cells: left points of a length class and right points of it and
+    its neighbours (the ratio of two titles is at most 2 min / (a + b)), dealt into pieces of about cell_rows.
     """
     ratio = (2 - threshold) / threshold
-    r = rows.filter((F.length("title_key") >= MIN_KEY) & F.col("market").isNotNull() & F.col("at").isNotNull())
-    r = r.select("market", "title_key", *[F.col(c).cast("long").alias(c) for c in ("seq", "at", "below")], T.numeric_tokens(F.col("title_key")).alias("digits"), F.floor(F.log(F.length("title_key").cast("double")) / F.log(F.lit(ratio))).alias("band"))
-    left, right = r.withColumn("is_left", F.lit(True)), r.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)]))).withColumn("is_left", F.lit(False))
+    r = rows.filter((F.length("title_key") >= MIN_KEY) & F.col("market").isNotNull() & F.col("at").isNotNull()).select("market", "title_key", *[F.col(c).cast("long").alias(c) for c in ("seq", "at", "below")])
+    keys = ["market", "title_key"]
+    points = r.groupBy(*keys, "at").agg(F.min("seq").alias("seq"))
+    p = points.withColumn("digits", T.numeric_tokens(F.col("title_key"))).withColumn("band", F.floor(F.log(F.length("title_key").cast("double")) / F.log(F.lit(ratio))))
+    left, right = p.withColumn("is_left", F.lit(True)), p.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)]))).withColumn("is_left", F.lit(False))
     pieces = lambda x, name: x.groupBy("market", "band").agg(F.ceil(F.count("*") / F.lit(cell_rows)).alias(name))
     dealt = F.broadcast(pieces(left, "n_left").join(pieces(right, "n_right"), ["market", "band"]))  # a row for each market and length class
     other = lambda x: F.explode(F.sequence(F.lit(0).cast("long"), F.col(x) - 1))
-    piece = lambda x: F.pmod(F.xxhash64("seq"), F.col(x))
+    piece = lambda x: F.pmod(F.xxhash64("title_key"), F.col(x))
     left = left.join(dealt, ["market", "band"]).withColumn("l", piece("n_left")).withColumn("r", other("n_right"))
     right = right.join(dealt, ["market", "band"]).withColumn("r", piece("n_right")).withColumn("l", other("n_left"))
-    cells = left.unionByName(right).select("market", "band", "l", "r", "is_left", "title_key", "seq", "at", "below", "digits")
-    found = cells.groupBy("market", "band", "l", "r").applyInPandas(lambda cell: _earliest_in_cell(cell, threshold), "seq long, of long, score double")
-    return found.groupBy("seq").agg(F.min(F.struct("of", "score")).alias("m")).select("seq", "m.of", "m.score")
+    cells = left.unionByName(right).select("market", "band", "l", "r", "is_left", "title_key", "seq", "at", "digits")
+    near = cells.groupBy("market", "band", "l", "r").applyInPandas(lambda cell: _earliest_in_cell(cell, threshold), "seq long, of long, score double").groupBy("seq").agg(F.min(F.struct("of", "score")).alias("near"))
+    equal = _first_within_a_day(points, keys)
+    best = points.join(near, "seq", "left").join(equal, [*keys, "at"]).select(*keys, "at", F.least("near", F.struct(F.col("first").alias("of"), F.lit(1.0).alias("score"))).alias("m"))
+    return r.join(best, [*keys, "at"]).filter(F.col("m.of") < F.col("below")).select("seq", "m.of", "m.score")
 
 
 def all_layers(rows: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -130,6 +143,7 @@ def all_layers(rows: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
 
     rows: seq, canonical_url, source_id, source_item_id, content_hash, market, title_key, at (seconds).
     """
+    ship(rows.sparkSession)
     exact = exact_layers(rows)
     below = F.coalesce(F.col("duplicate_of"), F.col("seq"))  # an exact match comes first where it is the same row
     titles = earliest_title(exact.select("seq", "market", "title_key", "at", below.alias("below")), threshold=threshold)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.functions.url import host_of, path_for_matching
+from plumbline.functions.url import canonicalize, host_of, path_for_matching
 
 SAMPLES = 3
 
@@ -65,17 +65,58 @@ def policy(tier_: Column, identity_mode: Column) -> Column:
     return F.coalesce(*[F.when((tier_ == t) & (identity_mode == m), F.struct(F.lit(role).alias("role"), F.lit(path).alias("direct_path"))) for t, modes in POLICY.items() for m, (role, path) in modes.items()])
 
 
+def utc_second(at: Column) -> Column:
+    """A time at whole seconds; a time without a zone (timestamp_ntz) isn't one and fails to cast."""
+    return F.date_trunc("second", at)
+
+
+def lookback(rows: DataFrame, at: str, end, minutes: int, start=None) -> DataFrame:
+    """Rows of [start, end) at whole seconds; without a start, minutes back from the end."""
+    stop = utc_second(F.lit(end).cast("timestamp"))
+    begin = utc_second(F.lit(start).cast("timestamp")) if start is not None else stop - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    checked = F.when(begin >= stop, F.raise_error(F.lit("a window must start before it ends"))).otherwise(begin)
+    return rows.filter((F.col(at) >= checked) & (F.col(at) < stop))
+
+
+def sample_of(url: Column) -> Column:
+    """struct(url, hostname) of a sighting, or null where its URL isn't canonical; nothing else is kept of it."""
+    c = canonicalize(url)
+    return F.when(c.isNotNull() & (F.coalesce(host_of(c), F.lit("")) != ""), F.struct(c.alias("url"), host_of(c).alias("hostname")))
+
+
+def duplicate_rate(rows: DataFrame, keys: list[str], url: str) -> DataFrame:
+    """Per key: n and the share of sightings that repeat a URL (in its canonical form, or verbatim where it has none)."""
+    seen = rows.withColumn("_url", F.coalesce(canonicalize(F.col(url)), F.col(url)))
+    return seen.groupBy(*keys).agg(F.count("*").alias("n"), ((F.count("*") - F.count_distinct("_url")) / F.count("*")).alias("rate"))
+
+
+def pivot_counts(rows: DataFrame, keys: list[str], column: str, values: dict[str, str]) -> DataFrame:
+    """Per key: how many rows have each of the named values."""
+    return rows.groupBy(*keys).agg(*[F.count_if(F.col(column) == value).alias(name) for name, value in values.items()])
+
+
+#: Delays of an item on its way to a reader: from one time to another.
+DELAYS = {
+    "discovery": ("published_at", "discovered_at"), "classification": ("discovered_at", "classified_at"), "matching": ("classified_at", "matched_at"),
+    "queue": ("matched_at", "queued_at"), "delivery": ("queued_at", "sent_at"), "end_to_end": ("published_at", "sent_at"),
+}
+
+
+def latencies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and the six delays in seconds; null where either time is unknown."""
+    return rows.select(*keys, *[(F.col(b) - F.col(a)).alias(f"{name}_latency") for name, (a, b) in DELAYS.items()])
+
+
 def fold_daily(sightings: DataFrame, keys: list[str], at: str, seq: str, sample: Column) -> DataFrame:
     """Per UTC day and key: count, first and last time, the first samples in order of arrival.
 
-    Samples are ranked, and ranks beyond SAMPLES are dropped before the shuffle and after it, so no list grows with the key.
+    One window ranks the samples, and one aggregate takes all; no list holds more than SAMPLES.
     """
-    s = sightings.withColumn("observation_day", F.to_date(F.col(at))).withColumn("_sample", sample)
-    base = s.groupBy("observation_day", *keys).agg(F.count("*").alias("observation_count"), F.min(at).alias("first_seen_at"), F.max(at).alias("last_seen_at"))
-    rank = F.row_number().over(Window.partitionBy("observation_day", *keys).orderBy(seq))
-    few = s.filter(F.col("_sample").isNotNull()).select("observation_day", *keys, "_sample", rank.alias("_rank")).filter(F.col("_rank") <= SAMPLES)
-    firsts = few.groupBy("observation_day", *keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_sample"))), lambda x: x["_sample"]).alias("samples"))
-    return base.join(firsts, ["observation_day", *keys], "left").withColumn("samples", F.coalesce("samples", F.expr("cast(array() as array<string>)")))
+    s = sightings.select(F.to_date(F.col(at)).alias("observation_day"), *keys, F.col(at).alias("_at"), F.col(seq).alias("_seq"), sample.alias("_sample"))
+    rank = F.row_number().over(Window.partitionBy("observation_day", *keys).orderBy(F.col("_sample").isNull(), "_seq"))
+    few = F.when(F.col("_sample").isNotNull() & (F.col("_rank") <= SAMPLES), F.struct("_rank", "_sample"))
+    g = s.withColumn("_rank", rank).groupBy("observation_day", *keys).agg(F.count("*").alias("observation_count"), F.min("_at").alias("first_seen_at"), F.max("_at").alias("last_seen_at"), F.array_sort(F.collect_list(few)).alias("_few"))
+    return g.select("observation_day", *keys, "observation_count", "first_seen_at", "last_seen_at", F.transform("_few", lambda x: x["_sample"]).alias("samples"))
 
 
 def merge_folds(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Matching classified articles with user preferences.
 
 The Cartesian product is never made: preferences and labels are exploded to (dimension, value) rows
-and meet by equality, which gives every pair with a match.  Rules are then judged on those pairs.
+and meet by equality.  A pair that shares several values is kept once, at the least of them, so no
+pairs are gathered again.  Users with equal preferences are matched as one and come apart at the end.
 """
 
 from __future__ import annotations
@@ -9,40 +10,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.normalize import DIMENSION_ROWS
+
 MARKET_ORDER = ("VN", "US", "EU", "CN")
 FRESH = 24 * 3600
 BREAKING = 2 * 3600
 
 
+#: Parts into which the rows of one value are dealt where neither side can be broadcast.
+SALTS = 16
+
+
+def _meet(left: DataFrame, right: DataFrame, key: str, other: str, spread: str) -> DataFrame:
+    """left and right where key = other: right is broadcast if its checked size is that of a dimension, else left's rows of a key are dealt to SALTS parts."""
+    if right.count() <= DIMENSION_ROWS:
+        return left.join(F.broadcast(right), F.col(key) == F.col(other))
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    right = right.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return left.join(right, (F.col(key) == F.col(other)) & (F.col("_salt") == F.col("_part"))).drop("_salt", "_part")
+
+
+def _values(markets, categories, topics):
+    named = lambda kind, values: F.transform(values, lambda x: F.concat(F.lit(kind + ":"), x))
+    return F.array_distinct(F.concat(named("market", markets), named("category", categories), named("topic", topics)))
+
+
 def match(work: DataFrame, prefs: DataFrame) -> DataFrame:
     """Candidates (user_id, article_id, reasons, importance, score, breaking, candidate_id).
 
     work: article_id, source_id, markets, category, topics, confidence, published_at, discovered_at,
-    matched_at (times in seconds).  prefs: user_id, markets, categories, topics, muted_source_ids,
-    muted_topics, breaking_alert_enabled.
+    matched_at (times in seconds) and, if they are there, classified_at and is_relevant.  prefs: user_id,
+    markets, categories, topics, muted_source_ids, muted_topics, breaking_alert_enabled.  A match before
+    the article was discovered or classified is an error; irrelevant articles match nobody.
     """
+    early = F.when(F.col("matched_at") < F.col("discovered_at"), F.raise_error(F.lit("matched_at lies before discovered_at")))
+    if "classified_at" in work.columns:
+        early = early.when(F.col("matched_at") < F.col("classified_at"), F.raise_error(F.lit("matched_at lies before classified_at")))
+    work = work.withColumn("matched_at", early.otherwise(F.col("matched_at")))
+    if "is_relevant" in work.columns:
+        work = work.filter("is_relevant")
     effective = F.when(F.col("published_at") <= F.col("matched_at"), F.col("published_at")).otherwise(F.col("discovered_at"))
     fresh = work.filter(F.col("matched_at") - effective <= FRESH)
-    values = lambda market, category, topic: F.array_distinct(F.concat(F.transform(market, lambda x: F.concat(F.lit("market:"), x)), F.transform(category, lambda x: F.concat(F.lit("category:"), x)), F.transform(topic, lambda x: F.concat(F.lit("topic:"), x))))
-    a = fresh.select("*", F.explode(values(F.col("markets"), F.array_compact(F.array("category")), F.col("topics"))).alias("value"))
-    p = prefs.select("user_id", "muted_source_ids", "muted_topics", "breaking_alert_enabled", *[(F.size(c) > 0).cast("int").alias(f"has_{c}") for c in ("markets", "categories", "topics")], F.explode(values(F.col("markets"), F.col("categories"), F.col("topics"))).alias("wanted"))
-    hits = a.join(p, F.col("value") == F.col("wanted")).filter(~F.array_contains("muted_source_ids", F.col("source_id")) & ~F.arrays_overlap("muted_topics", "topics"))
-    pairs = hits.groupBy("user_id", "article_id").agg(
-        F.collect_set("value").alias("hit"),
-        *[F.first(c).alias(c) for c in ("confidence", "matched_at", "discovered_at", "breaking_alert_enabled")],
-        F.first(F.col("has_markets") + F.col("has_categories") + F.col("has_topics")).alias("active"),
-    )
+    a = fresh.select("article_id", "source_id", "topics", "confidence", "matched_at", "discovered_at", _values(F.col("markets"), F.array_compact(F.array("category")), F.col("topics")).alias("labels"))
+    a = a.select("*", F.explode("labels").alias("value"))
+
+    kinds = ["markets", "categories", "topics", "muted_source_ids", "muted_topics"]
+    same = F.struct(*[F.array_sort(F.array_distinct(c)).alias(c) for c in kinds], "breaking_alert_enabled")
+    users = prefs.select(F.col("user_id"), same.alias("p")).withColumn("set_id", F.sha2(F.to_json("p"), 256))
+    sets = users.groupBy("set_id").agg(F.first("p").alias("p")).select("set_id", "p.muted_source_ids", F.col("p.muted_topics").alias("muted_topics"), "p.breaking_alert_enabled", sum((F.size(f"p.{c}") > 0).cast("int") for c in kinds[:3]).alias("active"), _values(F.col("p.markets"), F.col("p.categories"), F.col("p.topics")).alias("wants"))
+    sets = sets.select("*", F.explode("wants").alias("wanted"))
+
+    pairs = _meet(a, sets, "value", "wanted", "article_id").withColumn("hit", F.array_intersect("labels", "wants"))
+    pairs = pairs.filter((F.col("value") == F.array_min("hit")) & ~F.array_contains("muted_source_ids", F.col("source_id")) & ~F.arrays_overlap("muted_topics", "topics"))
     dims = F.size(F.array_distinct(F.transform("hit", lambda x: F.element_at(F.split(x, ":"), 1))))
     raw = F.col("confidence") * (dims / F.col("active"))
     rank = F.array(*[F.lit(f"market:{m}") for m in MARKET_ORDER])
     reasons = F.concat(F.filter(rank, lambda m: F.array_contains("hit", m)), F.array_sort(F.filter("hit", lambda x: x.startswith("category:"))), F.array_sort(F.filter("hit", lambda x: x.startswith("topic:"))))
     high = (dims >= 2) & (raw >= 0.90)  # before rounding
     age = F.col("matched_at") - F.col("discovered_at")
-    return pairs.select(
-        "user_id", "article_id", reasons.alias("reasons"), F.when(high, "HIGH").otherwise("NORMAL").alias("importance"), F.round(raw, 6).alias("score"),
+    pairs = pairs.select(
+        "set_id", "article_id", reasons.alias("reasons"), F.when(high, "HIGH").otherwise("NORMAL").alias("importance"), F.round(raw, 6).alias("score"),
         (F.col("breaking_alert_enabled") & high & age.between(0, BREAKING)).alias("breaking"),
-        F.sha2(F.to_json(F.array(F.lit("alert-candidate-v1"), F.col("user_id"), F.col("article_id"))), 256).alias("candidate_id"),
     )
+    found = _meet(pairs, users.select("user_id", F.col("set_id").alias("u_set")), "set_id", "u_set", "article_id")
+    return found.select("user_id", "article_id", "reasons", "importance", "score", "breaking", F.sha2(F.to_json(F.array(F.lit("alert-candidate-v1"), F.col("user_id"), F.col("article_id"))), 256).alias("candidate_id"))
 
 
 def first_write_wins(new: DataFrame, stored: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -52,7 +83,8 @@ def first_write_wins(new: DataFrame, stored: DataFrame, keys: list[str], seq: st
 
 
 def record_candidates(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """new (candidate_id, user_id, article_id, seq from 0) with outcome: CREATED, or ALREADY_EXISTS where an earlier or a stored row has the pair.
+    """new (candidate_id, user_id, article_id, seq from 0) with outcome: CREATED, or ALREADY_EXISTS where an earlier or a stored row has the pair,
+    and first_seq, the row that holds the pair (-1: the stored one).
 
     A pair under another id, or an id of another pair, is an error.
     """
@@ -62,4 +94,4 @@ def record_candidates(new: DataFrame, stored: DataFrame) -> DataFrame:
     ids = known.groupBy(F.col("candidate_id").alias("_id")).agg(F.count_distinct("user_id", "article_id").alias("_pairs"))
     rows = new.join(pairs, (F.col("user_id") == F.col("_user")) & (F.col("article_id") == F.col("_article"))).join(ids, F.col("candidate_id") == F.col("_id"))
     outcome = F.when(F.col("_least") != F.col("_most"), F.raise_error(F.lit("a pair has two candidate ids"))).when(F.col("_pairs") > 1, F.raise_error(F.lit("a candidate id names two pairs")))
-    return rows.select(*new.columns, outcome.when(F.col("_first") == F.col("seq"), "CREATED").otherwise("ALREADY_EXISTS").alias("outcome"))
+    return rows.select(*new.columns, outcome.when(F.col("_first") == F.col("seq"), "CREATED").otherwise("ALREADY_EXISTS").alias("outcome"), F.col("_first").alias("first_seq"))

@@ -64,9 +64,14 @@ def first_of_each(rows: DataFrame, n: int, key: str = "source_id", seq: str = "s
     return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def counters(fetched: DataFrame, selected: DataFrame, articles: DataFrame, rejects: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Per source: fetched, selected, normalized, rejected, duplicate (selected = normalized + rejected)."""
-    parts = {"fetched": fetched, "selected": selected, "normalized": articles, "rejected": rejects, "duplicate": duplicates}
+def counters(fetched: DataFrame, selected: DataFrame, articles: DataFrame, rejects: DataFrame, duplicates: DataFrame, storing: DataFrame) -> DataFrame:
+    """Per source: fetched, selected, normalized, rejected (selected = normalized + rejected), duplicate, persisted and storage_skipped.
+
+    storing (source_id) names the sources whose metadata may be kept; articles of others are skipped by storage.
+    """
+    kept = dimension(storing.select(F.col("source_id").alias("_storing")).distinct())
+    stored = articles.join(kept, F.col("source_id") == F.col("_storing"), "left").select("source_id", F.col("_storing").isNotNull().alias("_stored"))
+    parts = {"fetched": fetched, "selected": selected, "normalized": articles, "rejected": rejects, "duplicate": duplicates, "persisted": stored.filter("_stored"), "storage_skipped": stored.filter("not _stored")}
     tagged = [f.groupBy("source_id").count().select("source_id", F.lit(name).alias("what"), "count") for name, f in parts.items()]
     rows = tagged[0]
     for t in tagged[1:]:
@@ -135,11 +140,11 @@ LINEAGE = ("requested_model", "prompt_version", "taxonomy_version")
 
 
 def lineage_mismatch(classifications: DataFrame, version: str, want: dict[str, str]) -> DataFrame:
-    """One row of the version whose lineage differs, if there is one."""
+    """The first row (by article) of the version whose lineage differs, if there is one."""
     differs = F.lit(False)
     for c in LINEAGE:
         differs |= ~F.col(c).eqNullSafe(F.lit(want[c]))
-    return classifications.filter((F.col("classifier_version") == version) & differs).limit(1)
+    return classifications.filter((F.col("classifier_version") == version) & differs).orderBy("article_id").limit(1)
 
 
 def matching_work(articles: DataFrame, classifications: DataFrame, version: str, cutoff, fresh_since) -> DataFrame:
@@ -156,6 +161,31 @@ def page(rows: DataFrame, key: str, after, limit: int) -> DataFrame:
     return (rows if after is None else rows.filter(F.col(key) > F.lit(after))).orderBy(key).limit(limit)
 
 
+def all_pages(rows: DataFrame, key: str, limit: int, most: int = 50_000) -> DataFrame:
+    """Every row by key, in pages: page (from 0) and place.  More than most rows, or a key that repeats and so doesn't advance, is an error."""
+    page(rows, key, None, limit)  # checks the limit
+    n = rows.count()
+    if n > most:
+        raise ValueError(f"a snapshot of {n} rows exceeds {most}")
+    distinct_or_fail(rows, key)
+    place = F.row_number().over(Window.orderBy(key)) - 1  # most rows at most
+    return rows.withColumn("place", place.cast("long")).withColumn("page", F.floor(F.col("place") / limit))
+
+
+def model_input(articles: DataFrame, sources: DataFrame) -> DataFrame:
+    """article_id and what a model may see of it: seven fields without ids or addresses, domains in order.  An article without its source is an error."""
+    dim = dimension(sources.select(F.col("source_id").alias("_source"), F.array_sort("domains").alias("source_domains"), "source_type", "authority_level"))
+    rows = articles.join(dim, F.col("source_id") == F.col("_source"), "left")
+    missing = F.when(F.col("_source").isNull(), F.raise_error(F.concat(F.lit("unknown source "), F.col("source_id"))))
+    seen = F.struct("title", "description", F.col("market").alias("source_market"), F.col("language").alias("source_language"), "source_domains", "source_type", "authority_level")
+    return rows.select("article_id", missing.otherwise(seen).alias("input"))
+
+
+def published(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Only the columns of a contract, in its order; what a store adds of its own stays inside."""
+    return rows.select(*columns)
+
+
 def lookup(rows: DataFrame, **key) -> DataFrame:
     """The row with this key, if there is one."""
     for name, value in key.items():

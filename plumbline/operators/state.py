@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 from plumbline.operators.normalize import LINEAGE
 
 
-def claim(state: DataFrame, now, k: int, lease: int) -> DataFrame:
-    """The k rows to claim next: due retries and expired leases, by due time, creation and id; exhausted ones are quarantined."""
+def claim(state: DataFrame, now, k: int, lease: int, run: str) -> DataFrame:
+    """The k rows to claim next: due retries and expired leases, by due time, creation and id; exhausted ones are quarantined.
+
+    outcome is CLAIMED or RECOVERED_QUARANTINED.  A claim's token follows from the run's name, the row and
+    the attempt, so a claim that is worked out again has the same one.
+    """
+    if not 30 <= lease <= 900:
+        raise ValueError("a lease lasts 30 to 900 seconds")
+    if not run:
+        raise ValueError("a run needs a name")
     due = F.when(F.col("status") == "RETRYABLE", F.col("next_attempt_at")).when(F.col("status") == "PROCESSING", F.col("lease_expires_at"))
     ready = state.withColumn("due", due).filter(F.col("due") <= now).orderBy("due", "created_at", "article_id").limit(k)
     spent = (F.col("status") == "PROCESSING") & (F.col("attempt_count") >= F.col("max_attempts"))
-    return ready.select("article_id", F.when(spent, "QUARANTINED").otherwise("PROCESSING").alias("status"), (F.col("attempt_count") + F.when(spent, 0).otherwise(1)).cast("long").alias("attempt_count"), F.when(~spent, F.lit(now) + lease).alias("lease_expires_at"))
+    attempt = (F.col("attempt_count") + F.when(spent, 0).otherwise(1)).cast("long")
+    token = F.sha2(F.concat_ws(":", F.lit(run), F.col("article_id").cast("string"), attempt.cast("string")), 256)
+    return ready.select(
+        "article_id", F.when(spent, "RECOVERED_QUARANTINED").otherwise("CLAIMED").alias("outcome"), F.when(spent, "QUARANTINED").otherwise("PROCESSING").alias("status"), attempt.alias("attempt_count"),
+        F.when(~spent, token).alias("claim_token"), F.when(~spent, F.lit(now) + lease).alias("lease_expires_at"), F.when(spent, "lease_expired_attempt_budget_exhausted").alias("error"),
+    )
 
 
+# Outcomes of an enqueue, transitions and usage.
 OUTCOME_OF = {"RETRYABLE": "EXISTING_RETRYABLE", "PROCESSING": "EXISTING_PROCESSING", "SUCCEEDED": "ALREADY_SUCCEEDED", "QUARANTINED": "QUARANTINED"}
 #: Where a row may go from a status that isn't terminal.
 EDGES = {"RETRYABLE": ("PROCESSING", "QUARANTINED"), "PROCESSING": ("PROCESSING", "RETRYABLE", "SUCCEEDED", "QUARANTINED")}
@@ -113,21 +127,47 @@ def disposition(category: Column, retryable: Column, attempt_count: Column) -> C
     return F.struct(what.alias("disposition"), again.alias("retryable"), stop.alias("stop_reason"))
 
 
-def fail(rows: DataFrame, now) -> DataFrame:
-    """rows (retryable, disposition, attempt_count, max_attempts, delay_minutes) after a failed attempt."""
-    spent = F.col("attempt_count") >= F.col("max_attempts")
+def _failure_problem() -> Column:
+    """Why a failure can't be recorded as it is told, or null."""
+    n = {c: F.col(c) for c in USAGE}
+    negative = F.least(*[v.cast("double") for v in n.values()]) < 0
+    sums = (n["prompt_tokens"] != n["prompt_cache_hit_tokens"] + n["prompt_cache_miss_tokens"]) | (n["total_tokens"] != n["prompt_tokens"] + n["completion_tokens"])
+    why = F.when(~F.coalesce(F.col("provider_attempts").between(0, 3), F.lit(False)), "failed provider attempts are 0 to 3")
+    why = why.when(~F.coalesce(F.col("disposition").isin("RETRY_15_MINUTES", "RETRY_60_MINUTES", "QUARANTINE"), F.lit(False)), "no such disposition")
+    why = why.when(F.coalesce(F.length("category"), F.lit(0)) == 0, "a failure needs a category").when(F.col("retryable").isNull(), "a failure is retryable or not")
+    return why.when(~F.coalesce(F.col("http_status"), F.lit(100)).between(100, 599), "no such HTTP status").when(F.coalesce(negative | sums, F.lit(False)), "invalid usage")
+
+
+def fail(commands: DataFrame, state: DataFrame, now) -> DataFrame:
+    """commands (key, claim_token, category, http_status, retryable, disposition, provider_attempts, usage) after a failed attempt.
+
+    The holder of the claim gets RETRY_SCHEDULED or QUARANTINED, the error that is kept, when to try again
+    and the usage added to the stored row's; any other gets LOST_CLAIM and adds nothing.
+    """
+    c = _beside(commands, state, (*_LEASE, "attempt_count", "max_attempts", *USAGE))
+    spent = F.col("_attempt_count") >= F.col("_max_attempts")
     refused = ~F.col("retryable") | (F.col("disposition") == "QUARANTINE")
-    return rows.withColumn("status", F.when(refused | spent, "QUARANTINED").otherwise("RETRYABLE")).withColumn("error", F.when(~refused & spent, "attempt_budget_exhausted").otherwise(F.col("category"))).withColumn("next_attempt_at", F.when(~(refused | spent), F.lit(now) + 60 * F.col("delay_minutes")))
+    wrong = _failure_problem()
+    c = c.withColumn("outcome", F.when(wrong.isNotNull(), F.raise_error(wrong)).when(~_holds(now), "LOST_CLAIM").when(refused | spent, "QUARANTINED").otherwise("RETRY_SCHEDULED"))
+    held = F.col("outcome") != "LOST_CLAIM"
+    error = F.when(held, F.when(~refused & spent, "attempt_budget_exhausted").otherwise(F.col("category")))
+    again = F.when(F.col("outcome") == "RETRY_SCHEDULED", F.lit(now) + F.when(F.col("disposition") == "RETRY_60_MINUTES", 3600).otherwise(900))
+    total = [F.when(held, F.coalesce(F.col(f"_{k}"), F.lit(0)) + F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in USAGE]
+    return c.select(*KEY, "outcome", error.alias("error"), again.alias("next_attempt_at"), *total)
 
 
 def price(usage: DataFrame, schedule: DataFrame) -> DataFrame:
-    """usage (usage_id, at in seconds, hit, miss, output) with its cost; each use must fall into exactly one window of one schedule.
+    """usage (usage_id, model, at in seconds, hit, miss, output) with its cost; each use must fall into exactly one window of its model, or the query fails.
 
-    The schedule is a dimension of a few rows (checked), so the range join broadcasts it.
+    The schedule is a dimension of a few rows (checked): its rows travel to the uses, a list a model, so uses stay where they are.
     """
     if schedule.count() > 10_000:
         raise ValueError("a price schedule of this size is not a dimension")
+    lists = schedule.groupBy(F.col("model").alias("_model")).agg(F.collect_list(F.struct(*schedule.columns)).alias("_rows"))
     minute = F.pmod(F.floor(F.col("at") / 60), F.lit(1440))
-    cond = (F.col("at") >= F.col("effective_from")) & (F.col("at") < F.coalesce("effective_until", F.lit(1 << 60))) & (minute >= F.col("start_minute")) & (minute < F.col("end_minute"))
-    cost = ((F.col("hit") * F.col("hit_rate") + F.col("miss") * F.col("miss_rate") + F.col("output") * F.col("output_rate")) / F.lit(1_000_000)).cast("decimal(24,12)")
-    return usage.join(F.broadcast(schedule), cond).select("usage_id", "pricing_id", "window", cost.alias("cost"))
+    covers = lambda w: (F.col("at") >= w["effective_from"]) & (F.col("at") < F.coalesce(w["effective_until"], F.lit(1 << 60))) & (minute >= w["start_minute"]) & (minute < w["end_minute"])
+    rows = usage.join(F.broadcast(lists), F.col("model") == F.col("_model"), "left").withColumn("_hits", F.filter(F.coalesce("_rows", F.array().cast(lists.schema["_rows"].dataType)), covers))
+    one = F.when(F.size("_hits") != 1, F.raise_error(F.concat(F.lit("expected one price of "), F.coalesce("model", F.lit("null")), F.lit(" at "), F.col("at").cast("string"), F.lit(", found "), F.size("_hits").cast("string")))).otherwise(F.col("_hits")[0])
+    rows = rows.select("usage_id", "hit", "miss", "output", one.alias("w"))
+    cost = ((F.col("hit") * F.col("w.hit_rate") + F.col("miss") * F.col("w.miss_rate") + F.col("output") * F.col("w.output_rate")) / F.lit(1_000_000)).cast("decimal(24,12)")
+    return rows.select("usage_id", F.col("w.pricing_id").alias("pricing_id"), F.col("w.window").alias("window"), cost.alias("cost"))

@@ -100,7 +100,7 @@ def dedup_exact_layers(spark, sf_dir):
 
 
 @_query()
-def dedup_title_similarity(spark, sf_dir):
+def dedup_decision(spark, sf_dir):
     """Documents in order of their ids, with the URL of the page of that id where there is one, and times all over a week whatever the id."""
     seq, c = F.col("doc_id"), F.col("canonical_url")
     item = F.regexp_extract(c, "/([0-9]+)", 1)
@@ -112,11 +112,6 @@ def dedup_title_similarity(spark, sf_dir):
     return dedup.all_layers(rows)
 
 
-@_query()
-def html_visible_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", T.visible_text(F.col("html")).alias("text"))
-
-
 @_query("""SELECT event_type AS query_id, props AS key, min_by(event_id, event_id) AS event_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS observed_at FROM
 (SELECT *, 1 AS one FROM events) GROUP BY event_type, props""")
 def sighting_dedupe(spark, sf_dir):
@@ -152,13 +147,12 @@ def _keyed(spark, sf_dir):
     rows = _articles(spark, sf_dir)
     market = F.when(F.col("lang") == "en", "US").when(F.col("lang").isin("de", "fr"), "EU").otherwise("VN")
     domain = F.when(F.col("source") == "src1", "LAW_POLICY").when(F.col("source") == "src2", "FINANCE")
-    return rows.select("doc_id", "source", F.lower("title").alias("title_key"), F.lower("description").alias("description_key"), market.alias("source_market"), domain.alias("only_domain"))
+    return rows.select("doc_id", "source", T.matching_key(F.col("title")).alias("title_key"), T.matching_key(F.col("description")).alias("description_key"), market.alias("source_market"), domain.alias("only_domain"))
 
 
 @_query(f"SELECT doc_id, {', '.join(f'CAST(s_{c.name} AS INTEGER) AS {c.name.lower()}' for c in RULES.categories)} FROM ({_sql_scores()})")
 def keyword_category_scores(spark, sf_dir):
-    d = F.coalesce(F.col("description_key"), F.lit(""))
-    return _keyed(spark, sf_dir).select("doc_id", *[classify.category_score(c, F.col("title_key"), d, F.col("only_domain")).alias(c.name.lower()) for c in RULES.categories])
+    return classify.scores(_keyed(spark, sf_dir), RULES).select("doc_id", *[c.name.lower() for c in RULES.categories])
 
 
 _SORTED = "list_sort([" + ", ".join(f"{{'a': -s_{c.name}, 'b': '{c.name}'}}" for c in RULES.categories) + "])"
@@ -180,20 +174,22 @@ def classify_route(spark, sf_dir):
     return _classified(spark, sf_dir).select("doc_id", "source", "category", F.array_join("markets", ",").alias("markets"), F.array_join("topics", ",").alias("topics"), F.col("confidence").cast("double").alias("confidence"), "outcome")
 
 
-@_query("SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) ORDER BY d.source, d.doc_id LIMIT 100")
+@_query("SELECT d.doc_id AS article_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) ORDER BY d.n_chars, d.doc_id LIMIT 100")
 def version_anti_join(spark, sf_dir):
-    done = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id", "source").join(done, "doc_id", "left_anti").orderBy("source", "doc_id").limit(100)
+    done = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("article_id"), F.when(F.col("quality") == 1, "classification-v2").otherwise("classification-v1").alias("classifier_version"))
+    articles = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id"), "source", F.col("n_chars").alias("discovered_at"))
+    return normalize.unclassified(articles, done, "classification-v2", 100).select("article_id", "source")
 
 
-@_query("SELECT doc_id, n_chars, quality FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND (n_chars >= 1000 OR lang = 'en')")
+@_query("SELECT doc_id AS article_id, n_chars AS discovered_at, quality FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND (n_chars >= 1000 OR lang = 'en')")
 def matching_work_select(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang").filter("n_chars >= 1000 or lang = 'en'")
-    return docs.join(table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id", "quality"), "doc_id").select("doc_id", "n_chars", "quality")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id"), F.col("source").alias("source_id"), F.col("n_chars").alias("discovered_at"), F.when(F.col("lang") == "en", 1_000).alias("published_at"))
+    done = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("article_id"), F.when(F.col("quality") == 1, "SUCCEEDED").otherwise("QUARANTINED").alias("status"), F.lit("classification-v2").alias("classifier_version"), F.lit(10).alias("classified_at"), "quality")
+    return normalize.matching_work(docs, done, "classification-v2", 10, 1_000).select("article_id", "discovered_at", "quality")
 
 
-_PREFS_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN c_custkey % 3 = 0 THEN ['US', 'EU'] WHEN c_custkey % 3 = 1 THEN ['VN'] ELSE CAST([] AS VARCHAR[]) END AS markets, CASE WHEN c_nationkey % 2 = 0 THEN ['LAW_POLICY'] ELSE CAST([] AS VARCHAR[]) END AS categories, CASE WHEN c_nationkey % 5 = 0 THEN ['REGULATION', 'AI'] ELSE CAST([] AS VARCHAR[]) END AS topics, 'src' || CAST(c_custkey % 20 AS VARCHAR) AS muted, c_custkey % 2 = 0 AS brk FROM customer WHERE c_custkey < 60"
-_MATCHED = f"""WITH c AS ({_CLASSIFIED}), w AS (SELECT CAST(doc_id AS VARCHAR) AS article_id, source, string_split(markets, ',') AS ms, category, CASE WHEN topics = '' THEN [] ELSE string_split(topics, ',') END AS ts, confidence, doc_id * 60 AS disc FROM c WHERE outcome = 'DETERMINISTIC'),
+_PREFS_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN c_custkey % 3 = 0 THEN ['US', 'EU'] WHEN c_custkey % 3 = 1 THEN ['VN'] ELSE CAST([] AS VARCHAR[]) END AS markets, CASE WHEN c_nationkey % 2 = 0 THEN ['LAW_POLICY'] ELSE CAST([] AS VARCHAR[]) END AS categories, CASE WHEN c_nationkey % 5 = 0 THEN ['REGULATION', 'AI'] ELSE CAST([] AS VARCHAR[]) END AS topics, 'src' || CAST(c_custkey % 20 AS VARCHAR) AS muted, c_custkey % 2 = 0 AS brk FROM customer"
+_MATCHED = f"""WITH c AS ({_CLASSIFIED}), w AS (SELECT CAST(doc_id AS VARCHAR) AS article_id, source, string_split(markets, ',') AS ms, category, CASE WHEN topics = '' THEN [] ELSE string_split(topics, ',') END AS ts, confidence, doc_id * 7919 % 90001 AS disc FROM c WHERE outcome = 'DETERMINISTIC'),
 p AS ({_PREFS_SQL}),
 x AS (SELECT user_id, article_id, confidence, brk, disc, list_filter(['VN', 'US', 'EU', 'CN'], lambda m: list_contains(ms, m) AND list_contains(markets, m)) AS hm, list_contains(categories, category) AS hc, list_sort(list_intersect(topics, ts)) AS ht, category,
   (len(markets) > 0)::INT + (len(categories) > 0)::INT + (len(topics) > 0)::INT AS active FROM w, p WHERE source <> muted AND 90000 - disc <= 86400),
@@ -203,31 +199,25 @@ SELECT user_id, article_id, array_to_string(list_concat(list_concat(list_transfo
   sha256('["alert-candidate-v1","' || user_id || '","' || article_id || '"]') AS candidate_id FROM z"""
 
 
-#: The same with every customer as a user.
-_MATCHED_ALL = _MATCHED.replace(_PREFS_SQL, _PREFS_SQL.removesuffix(" WHERE c_custkey < 60"))
+def _work(spark, sf_dir):
+    """Classified articles, discovered all over the 25 hours before they are matched."""
+    return _classified(spark, sf_dir).filter("outcome = 'DETERMINISTIC'").select(F.col("doc_id").cast("string").alias("article_id"), F.col("source").alias("source_id"), "markets", "category", "topics", F.col("confidence").cast("double").alias("confidence"), F.lit(None).cast("long").alias("published_at"), (F.col("doc_id") * 7_919 % 90_001).alias("discovered_at"), F.lit(90_000).cast("long").alias("matched_at"))
 
 
-def _matched(spark, sf_dir, customers):
-    work = _classified(spark, sf_dir).filter("outcome = 'DETERMINISTIC'").select(F.col("doc_id").cast("string").alias("article_id"), F.col("source").alias("source_id"), "markets", "category", "topics", F.col("confidence").cast("double").alias("confidence"), F.lit(None).cast("long").alias("published_at"), (F.col("doc_id") * 60).alias("discovered_at"), F.lit(90_000).cast("long").alias("matched_at"))
+def _preferences(spark, sf_dir):
+    """Every customer as a user."""
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     none = F.expr("cast(array() as array<string>)")
     of = lambda *x: F.array(*map(F.lit, x))
-    prefs = customers.select(
+    return table(spark, sf_dir, "customer").select(
         k.cast("string").alias("user_id"), F.when(k % 3 == 0, of("US", "EU")).when(k % 3 == 1, of("VN")).otherwise(none).alias("markets"), F.when(n % 2 == 0, of("LAW_POLICY")).otherwise(none).alias("categories"),
         F.when(n % 5 == 0, of("REGULATION", "AI")).otherwise(none).alias("topics"), F.array(F.concat(F.lit("src"), (k % 20).cast("string"))).alias("muted_source_ids"), none.alias("muted_topics"), (k % 2 == 0).alias("breaking_alert_enabled"),
     )
-    return match.match(work, prefs)
 
 
 @_query(_MATCHED)
 def alert_match(spark, sf_dir):
-    """The users that the SQL names; alert_match_all_users has every customer."""
-    return _matched(spark, sf_dir, table(spark, sf_dir, "customer").filter("c_custkey < 60")).withColumn("reasons", F.array_join("reasons", ","))
-
-
-@_query(_MATCHED_ALL)
-def alert_match_all_users(spark, sf_dir):
-    return _matched(spark, sf_dir, table(spark, sf_dir, "customer")).withColumn("reasons", F.array_join("reasons", ","))
+    return match.match(_work(spark, sf_dir), _preferences(spark, sf_dir)).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @_query("SELECT CAST(user_id AS BIGINT) AS user_id, event_type, min(event_id) AS event_id FROM events WHERE (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE ts < TIMESTAMP '2024-01-03') GROUP BY ALL")
@@ -303,28 +293,34 @@ def capture_rates(spark, sf_dir):
 
 
 @_query(f"""SELECT o_orderpriority, CASE WHEN days < 14 OR n < 50 THEN 'INSUFFICIENT_DATA' WHEN f >= 0.90 AND s >= 0.97 THEN 'GREEN_A' WHEN f >= 0.85 AND s >= 0.95 THEN 'GREEN_B' WHEN f >= 0.75 AND s >= 0.90 THEN 'YELLOW' ELSE 'RED' END AS tier
-FROM (SELECT o_orderpriority, n, 30 AS days, least(1.0, rate_fast * 2) AS f, least(1.0, rate_slow * 2) AS s FROM ({_RATES}))""")
+FROM (SELECT o_orderpriority, n, days, least(1.0, rate_fast * 2) AS f, least(1.0, rate_slow * 2) AS s FROM ({_RATES}) JOIN (SELECT o_orderpriority, count(DISTINCT epoch(o_orderdate)) FILTER (WHERE o_orderpriority <> '5-LOW' OR month(o_orderdate) = 1 AND day(o_orderdate) = 1) AS days FROM orders GROUP BY 1) USING (o_orderpriority))""")
 def benchmark_tier(spark, sf_dir):
     c = discovery.capture(_sentinels(spark, sf_dir), ["o_orderpriority"], {"fast": _YEAR, "slow": 3 * _YEAR})
     up = lambda k: F.least(F.lit(1.0), F.col(k) * 2)
-    return c.select("o_orderpriority", discovery.tier(F.lit(30), F.col("n"), up("rate_fast"), up("rate_slow")).alias("tier"))
+    day = F.col("o_orderdate")
+    watched = (F.col("o_orderpriority") != "5-LOW") | ((F.month(day) == 1) & (F.dayofmonth(day) == 1))  # one priority is watched for too few days
+    days = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("_p")).agg(F.count_distinct(F.when(watched, day)).alias("days"))
+    c = c.join(days, F.col("o_orderpriority") == F.col("_p"))
+    return c.select("o_orderpriority", discovery.tier(F.col("days"), F.col("n"), up("rate_fast"), up("rate_slow")).alias("tier"))
 
 
 @_query(f"SELECT host, count(*) AS n, (count(*) - count(DISTINCT canonical_url)) / count(*) AS rate FROM (SELECT *, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host FROM ({_CANON})) GROUP BY host")
 def duplicate_candidate_rate(spark, sf_dir):
     c = _canonical(spark, sf_dir).withColumn("host", U.host_of(F.col("canonical_url")))
-    return c.groupBy("host").agg(F.count("*").alias("n"), ((F.count("*") - F.count_distinct("canonical_url")) / F.count("*")).alias("rate"))
+    return discovery.duplicate_rate(c, ["host"], "url")
 
 
-# Price windows: one flat schedule, then one with a peak.  Rates are per million tokens.
-_PRICES = [("flat", "all", 0, 1_705_276_800, 0, 1440, 2, 14, 28), ("peak", "night", 1_705_276_800, None, 0, 480, 7, 22, 66), ("peak", "day", 1_705_276_800, None, 480, 1440, 14, 44, 132)]
+# Price windows of two models: one has a flat schedule and then one with a peak, the other one schedule.  Rates are per million tokens.
+_PRICES = [("flat", "chat", "all", 0, 1_705_276_800, 0, 1440, 2, 14, 28), ("peak", "chat", "night", 1_705_276_800, None, 0, 480, 7, 22, 66), ("peak", "chat", "day", 1_705_276_800, None, 480, 1440, 14, 44, 132), ("mini", "mini", "all", 0, None, 0, 1440, 1, 3, 5)]
 
 
-@_query(f"""WITH p(pricing_id, w, f, u, a, b, h, m, o) AS (VALUES {', '.join('(' + ', '.join('NULL' if x is None else repr(x) for x in r) + ')' for r in _PRICES)})
-SELECT event_id AS usage_id, pricing_id, w AS "window", CAST((user_id * h + CAST(floor(value) AS BIGINT) * m + 100 * o) AS DOUBLE) / 1e6 AS cost FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events) JOIN p ON sec >= f AND sec < coalesce(u, 99999999999) AND (sec // 60) % 1440 >= a AND (sec // 60) % 1440 < b""")
+@_query(f"""WITH p(pricing_id, model, w, f, u, a, b, h, m, o) AS (VALUES {', '.join('(' + ', '.join('NULL' if x is None else repr(x) for x in r) + ')' for r in _PRICES)})
+SELECT event_id AS usage_id, pricing_id, w AS "window", CAST((user_id * h + CAST(floor(value) AS BIGINT) * m + 100 * o) AS DOUBLE) / 1e6 AS cost FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CASE WHEN user_id % 3 = 0 THEN 'mini' ELSE 'chat' END AS used FROM events)
+JOIN p ON model = used AND sec >= f AND sec < coalesce(u, 99999999999) AND (sec // 60) % 1440 >= a AND (sec // 60) % 1440 < b""")
 def pricing_asof_cost(spark, sf_dir):
-    schedule = spark.createDataFrame(_PRICES, "pricing_id string, window string, effective_from long, effective_until long, start_minute int, end_minute int, hit_rate int, miss_rate int, output_rate int")
-    usage = table(spark, sf_dir, "events").select(F.col("event_id").alias("usage_id"), _seconds("ts").alias("at"), F.col("user_id").cast("long").alias("hit"), F.floor("value").cast("long").alias("miss"), F.lit(100).cast("long").alias("output"))
+    schedule = spark.createDataFrame(_PRICES, "pricing_id string, model string, window string, effective_from long, effective_until long, start_minute int, end_minute int, hit_rate int, miss_rate int, output_rate int")
+    user = F.col("user_id").cast("long")
+    usage = table(spark, sf_dir, "events").select(F.col("event_id").alias("usage_id"), F.when(user % 3 == 0, "mini").otherwise("chat").alias("model"), _seconds("ts").alias("at"), user.alias("hit"), F.floor("value").cast("long").alias("miss"), F.lit(100).cast("long").alias("output"))
     return state.price(usage, schedule).withColumn("cost", F.col("cost").cast("double"))
 
 
@@ -338,27 +334,28 @@ def _state(spark, sf_dir):
 
 
 @_query(f"""SELECT article_id, CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 'QUARANTINED' ELSE 'PROCESSING' END AS status, CAST(attempt_count + CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 0 ELSE 1 END AS BIGINT) AS attempt_count,
-CASE WHEN NOT (status = 'PROCESSING' AND attempt_count >= 3) THEN {_NOW} + 300 END AS lease_expires_at FROM ({_STATE_SQL}) WHERE status IN ('RETRYABLE', 'PROCESSING') AND sec <= {_NOW} ORDER BY sec, article_id LIMIT 100""")
+CASE WHEN NOT (status = 'PROCESSING' AND attempt_count >= 3) THEN {_NOW} + 300 END AS lease_expires_at, CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 'RECOVERED_QUARANTINED' ELSE 'CLAIMED' END AS outcome,
+CASE WHEN NOT (status = 'PROCESSING' AND attempt_count >= 3) THEN sha256('run-1:' || article_id || ':' || (attempt_count + 1)) END AS claim_token, CASE WHEN status = 'PROCESSING' AND attempt_count >= 3 THEN 'lease_expired_attempt_budget_exhausted' END AS error FROM ({_STATE_SQL}) WHERE status IN ('RETRYABLE', 'PROCESSING') AND sec <= {_NOW} ORDER BY sec, article_id LIMIT 100""")
 def queue_claim_topk(spark, sf_dir):
     s = _state(spark, sf_dir).select("article_id", "status", F.col("at").alias("next_attempt_at"), F.col("at").alias("lease_expires_at"), F.col("at").alias("created_at"), "attempt_count", F.lit(3).alias("max_attempts"))
-    return state.claim(s, _NOW, 100, 300)
-
-
-@_query(f"""SELECT article_id, CASE WHEN (o_custkey % 7 = 0) OR attempt_count >= 3 THEN 'QUARANTINED' ELSE 'RETRYABLE' END AS status, CASE WHEN o_custkey % 7 <> 0 AND attempt_count >= 3 THEN 'attempt_budget_exhausted' ELSE 'INVALID_OUTPUT' END AS error,
-CASE WHEN NOT ((o_custkey % 7 = 0) OR attempt_count >= 3) THEN {_NOW} + 60 * CASE WHEN attempt_count <= 1 THEN 15 ELSE 60 END END AS next_attempt_at FROM ({_STATE_SQL})""")
-def queue_fail_transition(spark, sf_dir):
-    rows = _state(spark, sf_dir).select("article_id", (F.col("o_custkey") % 7 != 0).alias("retryable"), F.lit("RETRY").alias("disposition"), "attempt_count", F.lit(3).alias("max_attempts"), F.when(F.col("attempt_count") <= 1, 15).otherwise(60).alias("delay_minutes"), F.lit("INVALID_OUTPUT").alias("category"))
-    return state.fail(rows, _NOW).select("article_id", "status", "error", "next_attempt_at")
+    return state.claim(s, _NOW, 100, 300, "run-1")
 
 
 @_query("SELECT c_custkey, c_name FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 100")
 def keyset_page(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").filter("c_custkey > 40").orderBy("c_custkey").limit(100)
+    return normalize.page(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", 40, 100)
 
 
-@_query("SELECT source, count(*) AS fetched, count(*) FILTER (WHERE n_chars >= 100) AS normalized, count(*) FILTER (WHERE n_chars < 100) AS rejected, count(*) - count(DISTINCT text) AS duplicate FROM documents GROUP BY source")
+@_query("""WITH s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 50 AS chosen, min(doc_id) OVER (PARTITION BY text) AS first FROM documents), g AS (SELECT *, chosen AND n_chars >= 100 AS good FROM s)
+SELECT source AS source_id, count(*) AS fetched, count(*) FILTER (WHERE chosen) AS selected, count(*) FILTER (WHERE good) AS normalized, count(*) FILTER (WHERE chosen AND NOT good) AS rejected, count(*) FILTER (WHERE good AND doc_id > first) AS duplicate,
+count(*) FILTER (WHERE good AND source NOT LIKE '%1') AS persisted, count(*) FILTER (WHERE good AND source LIKE '%1') AS storage_skipped FROM g GROUP BY source""")
 def source_counters(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("fetched"), F.count_if(F.col("n_chars") >= 100).alias("normalized"), F.count_if(F.col("n_chars") < 100).alias("rejected"), (F.count("*") - F.count_distinct(F.sha2("text", 256))).alias("duplicate"))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("source_id"), "n_chars", F.sha2("text", 256).alias("content_hash"))
+    seen = dedup.first_seen(rows, ["content_hash"], "seq", "first")
+    chosen = normalize.first_of_each(seen, 50)
+    articles = chosen.filter("n_chars >= 100")
+    storing = rows.select("source_id").distinct().filter(~F.col("source_id").endswith("1"))
+    return normalize.counters(rows, chosen, articles, chosen.filter("n_chars < 100"), articles.filter("seq > first"), storing)
 
 
 @_query("SELECT 'orders' AS target, count(*) AS dangling FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)")
@@ -377,21 +374,24 @@ def conversation_order_check(spark, sf_dir):
     return c.withColumn("k", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1).groupBy("conv_id").agg(F.count("*").alias("turns"), F.bool_and(F.col("turn") == F.col("k")).alias("in_order"))
 
 
-@_query(f"SELECT o_orderstatus, count(*) AS n, CAST(min(seen_at - published_at) AS BIGINT) AS least, CAST(quantile_disc(seen_at - published_at, 0.95) AS DOUBLE) AS p95 FROM ({_SENTINELS}) GROUP BY 1")
+@_query("""SELECT o_orderkey, l_linenumber, discovered - published AS discovery_latency, classified - discovered AS classification_latency, matched - classified AS matching_latency, queued - matched AS queue_latency, sent - queued AS delivery_latency, sent - published AS end_to_end_latency FROM
+(SELECT o_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN epoch(o_orderdate)::BIGINT END AS published, epoch(l_shipdate)::BIGINT AS discovered, epoch(l_shipdate)::BIGINT + l_linenumber * 60 AS classified, epoch(l_shipdate)::BIGINT + l_linenumber * 90 AS matched,
+CASE WHEN l_returnflag <> 'N' THEN epoch(l_shipdate)::BIGINT + 600 END AS queued, CASE WHEN l_returnflag <> 'N' THEN epoch(l_shipdate)::BIGINT + 605 END AS sent FROM orders JOIN lineitem ON o_orderkey = l_orderkey)""")
 def latency_chain(spark, sf_dir):
-    s = _sentinels(spark, sf_dir).withColumn("d", F.col("seen_at") - F.col("published_at"))
-    return s.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.expr("percentile_disc(0.95) within group (order by d)").cast("double").alias("p95"))
+    s, n = _sentinels(spark, sf_dir), F.col("l_linenumber")
+    seen = F.col("seen_at")
+    rows = s.select("o_orderkey", n, "published_at", seen.alias("discovered_at"), (seen + n * 60).alias("classified_at"), (seen + n * 90).alias("matched_at"), F.when(F.col("admitted"), seen + 600).alias("queued_at"), F.when(F.col("admitted"), seen + 605).alias("sent_at"))
+    return discovery.latencies(rows, ["o_orderkey", "l_linenumber"])
 
 
 @_query("SELECT doc_id, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) WHERE k <= 10")
 def bounded_selection(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return docs.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).filter("k <= 10").drop("k")
+    return normalize.first_of_each(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), 10, "source", "doc_id")
 
 
 @_query("SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus = 'P') AS p FROM orders GROUP BY 1")
 def status_pivot_count(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(*[F.count_if(F.col("o_orderstatus") == s).alias(s.lower()) for s in "FOP"])
+    return discovery.pivot_counts(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus", {s.lower(): s for s in "FOP"})
 
 
 # Dates as providers write them: five forms made from the orders' dates.
@@ -439,7 +439,7 @@ def _stored(spark, sf_dir):
     k = F.col("o_orderkey")
     status = F.when(F.col("o_orderstatus") == "F", "RETRYABLE").when(F.col("o_orderstatus") == "O", "PROCESSING").otherwise("SUCCEEDED")
     usage = [F.lit(n).cast("decimal(24,12)" if c == "estimated_cost_usd" else "long").alias(c) for c, n in zip(state.USAGE, (10, 4, 6, 5, 15, 1))]
-    return table(spark, sf_dir, "orders").filter(k % 2 == 0).select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.lit("m").alias("requested_model"), F.when(k % 6 == 0, "p1").otherwise("p2").alias("prompt_version"), F.lit("t").alias("taxonomy_version"), status.alias("status"), F.when(status == "PROCESSING", F.concat(F.lit("t"), k)).alias("claim_token"), F.when(status == "PROCESSING", _seconds("o_orderdate")).alias("lease_expires_at"), *usage)
+    return table(spark, sf_dir, "orders").filter(k % 2 == 0).select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.lit("m").alias("requested_model"), F.when(k % 6 == 0, "p1").otherwise("p2").alias("prompt_version"), F.lit("t").alias("taxonomy_version"), status.alias("status"), F.when(status == "PROCESSING", F.concat(F.lit("t"), k)).alias("claim_token"), F.when(status == "PROCESSING", _seconds("o_orderdate")).alias("lease_expires_at"), (k % 4).alias("attempt_count"), F.lit(2).alias("max_attempts"), *usage)
 
 
 @_query("SELECT o_orderkey AS article_id, CASE WHEN o_orderkey % 2 = 1 THEN 'CREATED' WHEN o_orderkey % 6 = 0 THEN 'LINEAGE_MISMATCH' WHEN o_orderstatus = 'F' THEN 'EXISTING_RETRYABLE' WHEN o_orderstatus = 'O' THEN 'EXISTING_PROCESSING' ELSE 'ALREADY_SUCCEEDED' END AS outcome, CASE WHEN o_orderkey % 6 = 0 THEN 'prompt_version' ELSE '' END AS mismatched_fields FROM orders")
@@ -454,45 +454,27 @@ def _tokens(orders):
     return orders.select(k.alias("article_id"), F.lit("classification-v2").alias("classifier_version"), F.when(k % 5 == 0, "other").otherwise(F.concat(F.lit("t"), k)).alias("claim_token"))
 
 
-@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'RENEWED' ELSE 'LOST_CLAIM' END AS outcome, CASE WHEN ok THEN {_NOW} + 300 END AS lease_expires_at FROM (SELECT o_orderkey, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
-def queue_renew(spark, sf_dir):
-    """The stored half of the orders, as the SQL has it; queue_renew_all_orders has every order."""
-    return _renewed(spark, sf_dir, table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0"))
-
-
 @_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'RENEWED' ELSE 'LOST_CLAIM' END AS outcome, CASE WHEN ok THEN {_NOW} + 300 END AS lease_expires_at FROM (SELECT o_orderkey, o_orderkey % 2 = 0 AND o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders)")
-def queue_renew_all_orders(spark, sf_dir):
-    return _renewed(spark, sf_dir, table(spark, sf_dir, "orders"))
-
-
-def _renewed(spark, sf_dir, orders):
-    return state.renew(_tokens(orders), _stored(spark, sf_dir), _NOW, 300).select("article_id", "outcome", "lease_expires_at")
-
-
-@_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'SUCCEEDED' WHEN o_orderstatus = 'P' THEN 'ALREADY_SUCCEEDED' ELSE 'LOST_CLAIM' END AS outcome, CAST(CASE WHEN ok THEN 35 ELSE 15 END AS BIGINT) AS total_tokens FROM (SELECT o_orderkey, o_orderstatus, o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM orders WHERE o_orderkey % 2 = 0)")
-def queue_complete(spark, sf_dir):
-    """The stored half of the orders, as the SQL has it; queue_complete_all_orders has every order."""
-    return _completed(spark, sf_dir, table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0"))
+def queue_renew(spark, sf_dir):
+    """A command for every order, of which half is stored; others have lost their claim."""
+    return state.renew(_tokens(table(spark, sf_dir, "orders")), _stored(spark, sf_dir), _NOW, 300).select("article_id", "outcome", "lease_expires_at")
 
 
 @_query(f"SELECT o_orderkey AS article_id, CASE WHEN ok THEN 'SUCCEEDED' WHEN stored AND o_orderstatus = 'P' THEN 'ALREADY_SUCCEEDED' ELSE 'LOST_CLAIM' END AS outcome, CAST(CASE WHEN ok THEN 35 WHEN stored THEN 15 END AS BIGINT) AS total_tokens FROM (SELECT *, stored AND o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok FROM (SELECT *, o_orderkey % 2 = 0 AS stored FROM orders))")
-def queue_complete_all_orders(spark, sf_dir):
-    return _completed(spark, sf_dir, table(spark, sf_dir, "orders"))
-
-
-def _completed(spark, sf_dir, orders):
+def queue_complete(spark, sf_dir):
     usage = [F.lit(n).cast("decimal(24,12)" if c == "estimated_cost_usd" else "long").alias(c) for c, n in zip(state.USAGE, (12, 6, 6, 8, 20, 2))]
-    commands = _tokens(orders).select("*", F.lit("PROVIDER").alias("method"), F.lit(1).alias("provider_attempts"), *usage)
+    commands = _tokens(table(spark, sf_dir, "orders")).select("*", F.lit("PROVIDER").alias("method"), F.lit(1).alias("provider_attempts"), *usage)
     return state.complete(commands, _stored(spark, sf_dir), _NOW).select("article_id", "outcome", "total_tokens")
 
 
-@_query("SELECT source, fetched, selected, fetched - selected AS storage_skipped FROM (SELECT source, count(*) AS fetched, least(count(*), 20) AS selected FROM documents GROUP BY source)")
-def ingestion_counters(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("source_id"))
-    chosen = normalize.first_of_each(rows, 20)
-    none = rows.filter(F.lit(False))
-    c = normalize.counters(rows, chosen, chosen, none, none)
-    return c.select(F.col("source_id").alias("source"), "fetched", "selected", (F.col("fetched") - F.col("selected")).alias("storage_skipped"))
+@_query(f"""SELECT o_orderkey AS article_id, CASE WHEN NOT ok THEN 'LOST_CLAIM' WHEN refused OR o_orderkey % 4 >= 2 THEN 'QUARANTINED' ELSE 'RETRY_SCHEDULED' END AS outcome, CASE WHEN ok THEN CASE WHEN NOT refused AND o_orderkey % 4 >= 2 THEN 'attempt_budget_exhausted' ELSE 'INVALID_OUTPUT' END END AS error,
+CASE WHEN ok AND NOT refused AND o_orderkey % 4 < 2 THEN {_NOW} + CASE WHEN o_custkey % 2 = 0 THEN 3600 ELSE 900 END END AS next_attempt_at, CAST(CASE WHEN ok THEN 35 WHEN stored THEN 15 END AS BIGINT) AS total_tokens FROM
+(SELECT *, stored AND o_orderstatus = 'O' AND o_orderkey % 5 <> 0 AND epoch(o_orderdate) > {_NOW} AS ok, o_custkey % 7 = 0 OR o_custkey % 11 = 0 AS refused FROM (SELECT *, o_orderkey % 2 = 0 AS stored FROM orders))""")
+def queue_fail_transition(spark, sf_dir):
+    orders, c = table(spark, sf_dir, "orders"), F.col("o_custkey")
+    usage = [F.lit(n).cast("decimal(24,12)" if name == "estimated_cost_usd" else "long").alias(name) for name, n in zip(state.USAGE, (12, 6, 6, 8, 20, 2))]
+    told = orders.select(F.col("o_orderkey").alias("article_id"), F.lit("INVALID_OUTPUT").alias("category"), F.lit(502).alias("http_status"), (c % 7 != 0).alias("retryable"), F.when(c % 11 == 0, "QUARANTINE").when(c % 2 == 0, "RETRY_60_MINUTES").otherwise("RETRY_15_MINUTES").alias("disposition"), F.lit(1).alias("provider_attempts"), *usage)
+    return state.fail(_tokens(orders).join(told, "article_id"), _stored(spark, sf_dir), _NOW).select("article_id", "outcome", "error", "next_attempt_at", "total_tokens")
 
 
 @_query(f"SELECT host, avg(CASE WHEN n = 0 THEN 1.0 ELSE 0.0 END) AS unknown_rate FROM (SELECT page_id, host, count(p) AS n FROM (SELECT page_id, regexp_extract(canonical_url, '^[a-z]+://([^/]+)', 1) AS host, rtrim(regexp_extract(canonical_url, '^[a-z]+://[^/]+([^?]*)', 1), '/') || '/' AS path FROM ({_CANON})) LEFT JOIN (VALUES ('/en/'), ('/fr/')) v(p) ON starts_with(path, p) GROUP BY ALL) GROUP BY host")
@@ -510,9 +492,16 @@ def source_selection(spark, sf_dir):
     return normalize.select_sources(rows, [3, 7, 11, 19])
 
 
+def _others() -> None:
+    """Registers the queries of the other modules."""
+    from plumbline.plans import rows, scans  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _others()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _others()
     return dict(_SQL)

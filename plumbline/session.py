@@ -33,6 +33,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; only where none is named on a single machine (tests) a temporary one."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
 def local_session(app: str = "plumbline", cpus: str | None = None, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (

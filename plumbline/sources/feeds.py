@@ -1,16 +1,22 @@
-"""File-backed feeds: RSS and Atom documents, REST pages and SPARQL results as raw articles."""
+"""File-backed feeds: RSS and Atom documents, REST pages and SPARQL results as raw articles.
+
+Readers give (articles, payloads): a row an article, and a row a payload with its number of entries, of
+unusable ones, and the problem that keeps it from being read (null: none).  An empty feed is no problem;
+a payload that isn't what it should be is one, and so is one whose entries are all unusable.  checked()
+turns problems into an error.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-_ITEM = "struct<guid:string,link:string,title:string,description:string,pubDate:string>"
-_RSS = f"struct<channel:struct<item:array<{_ITEM}>>>"
-_ENTRY = "struct<id:string,link:array<struct<_href:string>>,title:string,summary:string,published:string,updated:string>"
-_ATOM = f"struct<entry:array<{_ENTRY}>>"
-_PAGE = "struct<count:long,next_page_url:string,results:array<struct<document_number:string,html_url:string,title:string,abstract:string,publication_date:string>>>"
-_SPARQL = "struct<results:struct<bindings:array<struct<celex:struct<value:string>,work:struct<value:string>,title:struct<value:string>,date:struct<value:string>>>>>"
+_ENTRY = "id:string,guid:string,link:array<struct<_VALUE:string,_href:string,_rel:string>>,title:string,description:string,summary:string,pubDate:string,published:string,updated:string,language:string,_broken:string"
+#: A feed's outermost element, and the blocks of its entries; taken one by one, so a broken end doesn't cost the entries before it.
+_ROOT = r"(?s)^(?:\s|\ufeff|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<(rss|rdf:RDF|feed)[\s>]"
+_BLOCK = r"(?s)(<(?:item|entry)(?:\s[^>]*)?>.*?</(?:item|entry)>)"
+SPARQL_URL = "https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:"
 
 
 def _text(c: Column) -> Column:
@@ -18,33 +24,134 @@ def _text(c: Column) -> Column:
     return F.when(F.trim(c) != "", c)
 
 
-def rss(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """payloads with a body each: one row an item with a link; seq is its place in the feed."""
-    rows = payloads.withColumn("_x", F.from_xml(F.col(body), _RSS)).select(*payloads.columns, F.posexplode("_x.channel.item").alias("seq", "i")).drop(body)
-    rows = rows.select(*[c for c in payloads.columns if c != body], "seq", _text(F.col("i.guid")).alias("source_item_id"), _text(F.col("i.link")).alias("url"), F.col("i.title").alias("title"), F.col("i.description").alias("description"), F.col("i.pubDate").alias("published_at_raw"))
-    return rows.filter("url is not null")
-
+def checked(articles: DataFrame, payloads: DataFrame) -> DataFrame:
+    """articles, or an error that names the first problem of a payload."""
+    bad = payloads.filter("problem is not null").first()
+    if bad is not None:
+        raise ValueError(f"{bad['problem']}: {bad.asDict()}")
+    return articles
 
-def atom(payloads: DataFrame, body: str = "body") -> DataFrame:
-    rows = payloads.withColumn("_x", F.from_xml(F.col(body), _ATOM)).select(*[c for c in payloads.columns if c != body], F.posexplode("_x.entry").alias("seq", "i"))
-    url = _text(F.col("i.link")[0]["_href"])
-    return rows.select(*[c for c in payloads.columns if c != body], "seq", _text(F.col("i.id")).alias("source_item_id"), url.alias("url"), F.col("i.title").alias("title"), F.col("i.summary").alias("description"), F.coalesce(F.col("i.published"), F.col("i.updated")).alias("published_at_raw")).filter("url is not null")
 
+def _told(read: DataFrame, keep: list[str], entries: Column, unusable: Column, wrong: Column) -> DataFrame:
+    n, bad = F.coalesce(entries, F.lit(0)), F.coalesce(unusable, F.lit(0))
+    problem = wrong.when((n > 0) & (bad == n), "no usable entry")
+    return read.select(*keep, F.when(problem.isNull(), n).alias("entries"), F.when(problem.isNull(), bad).alias("unusable"), problem.alias("problem"))
 
-def rest_pages(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """One row a result with html_url; blank optional strings are null."""
-    keep = [c for c in payloads.columns if c != body]
-    rows = payloads.withColumn("_x", F.from_json(F.col(body), _PAGE)).select(*keep, F.posexplode("_x.results").alias("seq", "i"))
-    return rows.select(*keep, "seq", _text(F.col("i.document_number")).alias("source_item_id"), _text(F.col("i.html_url")).alias("url"), _text(F.col("i.title")).alias("title"), _text(F.col("i.abstract")).alias("description"), _text(F.col("i.publication_date")).alias("published_at_raw")).filter("url is not null")
 
+def feed(payloads: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """RSS and Atom documents, a payload each.  An entry without a link is unusable; seq is its place.
 
-def sparql(payloads: DataFrame, body: str = "body", limit: int | None = None) -> DataFrame:
-    """The first titled binding of each act, in order; corrigenda are marked."""
-    rows = payloads.select(F.from_json(F.col(body), _SPARQL).alias("x")).select(F.posexplode("x.results.bindings").alias("seq", "i"))
-    rows = rows.select("seq", F.col("i.celex.value").alias("celex"), F.col("i.work.value").alias("url"), _text(F.col("i.title.value")).alias("title"))
-    rows = rows.filter(F.col("celex").rlike(r"^3\d{4}[RLD]") & F.col("title").isNotNull())
-    first = rows.groupBy("celex").agg(F.min_by(F.struct("seq", "url", "title"), "seq").alias("r")).select("celex", "r.*", F.col("celex").rlike(r"R\(\d{2}\)$").alias("is_corrigendum"))
-    return first.orderBy("seq").limit(limit) if limit is not None else first
+    A document that ends too early keeps the entries that are whole; one without entries must be a whole
+    feed, or it is no feed.  The link is an Atom entry's alternate one; times and texts fall back as feeds
+    differ; language falls back to a payload's column of that name.
+    """
+    keep = [c for c in payloads.columns if c != body]
+    parsed = lambda x: F.from_xml(x, f"struct<{_ENTRY}>", {"columnNameOfCorruptRecord": "_broken"})
+    whole = F.from_xml(F.col(body), "struct<_broken:string>", {"columnNameOfCorruptRecord": "_broken"})
+    read = payloads.select(*keep, (F.regexp_extract(F.coalesce(F.col(body), F.lit("")), _ROOT, 1) != "").alias("_root"), whole["_broken"].isNull().alias("_whole"), F.regexp_extract_all(F.coalesce(F.col(body), F.lit("")), F.lit(_BLOCK), 1).alias("_blocks"))
+    each = read.select(*keep, F.posexplode("_blocks").alias("seq", "_x")).select(*keep, "seq", parsed(F.col("_x")).alias("i"))
+    link = F.col("i.link")
+    usual = F.filter(link, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    url = F.coalesce(F.get(F.filter(F.transform(usual, lambda x: _text(F.coalesce(x["_href"], x["_VALUE"]))), lambda x: x.isNotNull()), F.lit(0)), F.lit(None).cast("string"))
+    hint = F.coalesce("i.language", F.col("language") if "language" in keep else F.lit(None).cast("string"))
+    articles = each.select(
+        *keep, "seq", F.coalesce("i.id", "i.guid").alias("source_item_id"), url.alias("url"), F.col("i.title").alias("title"), F.coalesce("i.summary", "i.description").alias("description"),
+        F.coalesce("i.published", "i.pubDate", "i.updated").alias("published_at_raw"), hint.alias("language_hint"),
+    )
+    count = articles.groupBy(*keep).agg(F.count_if(F.col("url").isNull()).alias("_bad")) if keep else articles.agg(F.count_if(F.col("url").isNull()).alias("_bad"))
+    told = read.alias("r").join(count.alias("n"), _same(keep), "left").select("r.*", "_bad")
+    wrong = F.when((F.size("_blocks") == 0) & ~(F.col("_root") & F.col("_whole")), "not a feed")
+    return articles.filter("url is not null"), _told(told, keep, F.size("_blocks"), F.col("_bad"), wrong)
+
+
+def _same(keep: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in keep:
+        cond &= F.col(f"r.{c}").eqNullSafe(F.col(f"n.{c}"))
+    return cond
+
+
+def _kind(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v), F.lit(""))
+
+
+def _string(v: Column, name: str) -> Column:
+    """A field of an object if it is a string that isn't blank."""
+    field = F.try_variant_get(v, f"$.{name}", "variant")
+    return F.when(_kind(field) == "STRING", _text(F.try_variant_get(v, f"$.{name}", "string")))
+
+
+def rest_pages(payloads: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Pages of a REST source: one row a result with an html_url.  payloads also tell the next page, unless this one is empty."""
+    keep = [c for c in payloads.columns if c != body]
+    v = F.try_parse_json(F.col(body))
+    read = payloads.select(*keep, v.alias("_v")).select("*", F.try_variant_get("_v", "$.results", "array<variant>").alias("_r"), _kind(F.try_variant_get("_v", "$.results", "variant")).alias("_k"))
+    rows = read.filter(F.col("_k").startswith("ARRAY")).select(*keep, F.posexplode("_r").alias("seq", "i"))
+    rows = rows.select(*keep, "seq", F.trim(_string(F.col("i"), "html_url")).alias("url"), *[_string(F.col("i"), n).alias(c) for c, n in (("source_item_id", "document_number"), ("title", "title"), ("description", "abstract"), ("published_at_raw", "publication_date"))])
+    usable = F.size(F.filter("_r", lambda x: _string(x, "html_url").isNotNull()))
+    wrong = F.when(F.col("_v").isNull(), "not JSON").when(~_kind(F.col("_v")).startswith("OBJECT"), "not an object").when(~F.col("_k").startswith("ARRAY"), "no list of results")
+    told = _told(read, [*keep, "_v"], F.size("_r"), F.size("_r") - usable, wrong)
+    told = told.select(*keep, "entries", "unusable", "problem", F.when(F.col("problem").isNull() & (F.col("entries") > 0), _string(F.col("_v"), "next_page_url")).alias("next_url"))
+    return rows.filter("url is not null"), told
+
+
+def next_page_problem(url: Column, endpoint: Column, seen: Column) -> Column:
+    """Why a next page may not be fetched, or null: it must be https, of the endpoint's origin and path, without user names, and new."""
+    part = lambda c, p: F.try_parse_url(c, F.lit(p))
+    origin = lambda c: F.lower(F.concat(part(c, "PROTOCOL"), F.lit("://"), part(c, "AUTHORITY")))
+    why = F.when(part(url, "PROTOCOL").isNull() | (F.lower(part(url, "PROTOCOL")) != "https"), "not https").when(part(url, "USERINFO").isNotNull(), "a user name")
+    why = why.when(~origin(url).eqNullSafe(origin(endpoint)), "another origin").when(~part(url, "PATH").eqNullSafe(part(endpoint, "PATH")), "another path")
+    return F.when(url.isNotNull(), why.when(F.array_contains(seen, url), "a loop"))
+
+
+def follow(pages: DataFrame, endpoints: DataFrame, most_pages: int = 10) -> DataFrame:
+    """The pages that paging reaches from each endpoint, in order.
+
+    pages: source_id, url, next_url, n_items (what a reader told of each stored page).  endpoints:
+    source_id, endpoint, max_items.  Gives source_id, page (from 0), url, n_items taken, and problem
+    where paging fails: a next page that may not be fetched, isn't there or brings nothing, or too many pages.
+    Sources are a dimension and a step follows one page of each, so most_pages joins do.
+    """
+    p = pages.select(F.col("source_id").alias("_s"), F.col("url").alias("_u"), F.col("next_url").alias("_next"), F.col("n_items").alias("_n"))
+    at = endpoints.select("source_id", "endpoint", F.col("endpoint").alias("url"), F.col("max_items").alias("_left"), F.array("endpoint").alias("_seen"))
+    found = []
+    for k in range(most_pages + 1):
+        step = at.join(p, (F.col("source_id") == F.col("_s")) & (F.col("url") == F.col("_u")), "left")
+        taken = F.least(F.coalesce("_n", F.lit(0)), F.col("_left")) if k < most_pages else F.lit(0)
+        why = F.when(F.lit(k >= most_pages), "too many pages").when(F.col("_u").isNull(), "a page that isn't there").when((F.col("_n") == 0) & F.col("_next").isNotNull(), "a next page but no row")
+        why = why.otherwise(F.when(F.col("_left") > F.col("_n"), next_page_problem(F.col("_next"), F.col("endpoint"), F.col("_seen"))))
+        step = step.withColumn("problem", why)
+        found.append(step.select("source_id", F.lit(k).alias("page"), "url", taken.cast("long").alias("n_items"), "problem"))
+        at = step.filter("problem is null and _next is not null and _left > _n").select("source_id", "endpoint", F.col("_next").alias("url"), (F.col("_left") - F.col("_n")).alias("_left"), F.concat("_seen", F.array("_next")).alias("_seen"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def sparql(payloads: DataFrame, body: str = "body", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The first titled binding of each act of a payload, in order, `limit` at most; corrigenda are marked.
+
+    A binding that isn't an object, or has no celex, makes the whole payload a problem.
+    """
+    keep = [c for c in payloads.columns if c != body]
+    read = payloads.select(*keep, F.try_parse_json(F.col(body)).alias("_v"))
+    read = read.select("*", _kind(F.try_variant_get("_v", "$.results.bindings", "variant")).alias("_k"), F.try_variant_get("_v", "$.results.bindings", "array<variant>").alias("_b"))
+    value = lambda x, name: F.trim(F.try_variant_get(x, f"$.{name}.value", "string"))
+    broken = F.exists("_b", lambda x: ~_kind(x).startswith("OBJECT") | (_kind(F.try_variant_get(x, "$.celex.value", "variant")) != "STRING"))
+    wrong = F.when(F.col("_v").isNull(), "not JSON").when(~_kind(F.col("_v")).startswith("OBJECT"), "not an object").when(~F.col("_k").startswith("ARRAY"), "no list of bindings").when(broken, "a broken binding")
+    told = _told(read, keep, F.size("_b"), F.lit(0), wrong)
+    rows = read.filter(wrong.isNull()).select(*keep, F.posexplode("_b").alias("seq", "i"))
+    named = {"celex": "celex", "work": "cellar_work_uri", "type": "resource_type", "date": "document_date"}
+    rows = rows.select(*keep, "seq", value(F.col("i"), "title").alias("title"), *[value(F.col("i"), n).alias(c) for n, c in named.items()])
+    rows = rows.filter(F.col("celex").rlike(r"^3\d{4}[RLD]") & (F.col("title") != ""))
+    fields = [c for c in rows.columns if c not in (*keep, "celex")]
+    first = rows.groupBy(*keep, "celex").agg(F.min_by(F.struct(*fields), "seq").alias("r")).select(*keep, "celex", "r.*")
+    remarks = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in ("cellar_work_uri", "resource_type", "document_date")]), lambda e: F.coalesce(e["value"] != "", F.lit(False))))
+    out = first.select(*keep, "seq", "celex", F.concat(F.lit(SPARQL_URL), "celex").alias("url"), "title", remarks.alias("raw_metadata"), F.col("celex").rlike(r"R\(\d{2}\)$").alias("is_corrigendum"))
+    if limit is not None:
+        out = out.withColumn("_k", F.row_number().over(Window.partitionBy(*keep).orderBy("seq"))).filter(F.col("_k") <= limit).drop("_k")
+    return out, told
 
 
 _FOUND = "struct<articles:array<struct<url:string,title:string,language:string,domain:string,sourcecountry:string,seendate:string>>>"

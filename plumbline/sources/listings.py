@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import ship
+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SILENT = frozenset(("script", "style", "template"))
 _CELLS = ("td", "th")
@@ -156,13 +158,13 @@ class Layout:
     detail: Detail | None = None
 
 
+# Patterns of numbers and dates, and the sites' layouts.  `reach` counts characters after a label.
 _FR_NUMBER = r"/documents/\d{4}/\d{2}/\d{2}/([^/]+)/"
 _ART = r"/(art_[0-9a-fA-F]{32})\.html"
 _WRITTEN = r"(\d{4}年\d{1,2}月\d{1,2}日|\d{4}-\d{2}-\d{2})"
 _BANK = r"(中国人民银行令〔\d{4}〕第\d+号|中国人民银行等\w+令〔\d{4}〕第\d+号|中国人民银行令\d{4}年第\d+号)"
 _PAGER = (("text", r"(?i)Next"), ("class", r"(?i)next"))
 
-# The sites' layouts.
 LAYOUTS = {
     "vn_sbv_regulatory_docs": Layout(rows=".danh-sach-tin-tuc-v32 li", link_class="title-news-link", must_link=True, date="date-about", number=("title", r"\b([0-9]+/[0-9]{4}/[A-Za-z0-đĐ\-]+)\b"), drop_redirect=True, next_link=(("title", "Trang kế tiếp"), ("rel", "next"))),
     "vn_moit_regulatory_docs": Layout(cells=4, title=1, date=3, number=("2", r"^(.*[0-9]+/[0-9]{4}/.*)$"), number_clean=r"^[Ss]ố[:\s]*", meta=(("document_number", 2),), drop_redirect=True, next_link=(("class", "^next$"), ("rel", "next"), ("text", "Sau"))),
@@ -394,6 +396,7 @@ def _facts(source_id: pd.Series, body: pd.Series, title: pd.Series) -> pd.DataFr
 
 def read(pages: DataFrame) -> DataFrame:
     """pages (source_id, base_url, body; sources without a layout are left out) with their items, next page, faulty rows and problem."""
+    ship(pages.sparkSession)
     known = pages.filter(F.col("source_id").isin(*LAYOUTS))
     return known.withColumn("_p", F.pandas_udf(_pages, PAGE)("source_id", "body", "base_url")).select(*[c for c in pages.columns if c != "body"], "_p.items", "_p.next_url", "_p.faulty", "_p.problem")
 
@@ -409,6 +412,7 @@ def with_details(listed: DataFrame, details: DataFrame) -> tuple[DataFrame, Data
 
     Items of other sites pass unchanged.  An item without its page, or whose page lacks a part, is rejected.
     """
+    ship(listed.sparkSession)
     two_step = [s for s, layout in LAYOUTS.items() if layout.detail]
     plain = listed.filter(~F.col("source_id").isin(*two_step))
     d = details.select(F.col("url").alias("_url"), F.col("body").alias("_body"))

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,11 +38,27 @@ def test_text(spark):
     assert has("a law, b", "law") and not has("lawful", "law") and not has("luật", "lu")
 
 
+TITLES = "seq long, market string, title_key string, at long, below long"
+
+
 def test_title_similarity_boundaries(spark):
     long = "a very long headline about the rate decision of the bank"
     rows = [(1, "US", long, 0), (2, "US", long, 86_400), (3, "US", long, 2 * 86_400 + 1), (4, "EU", long, 0), (5, "US", long + " 7", 10), (6, "US", "short", 0), (7, "US", "short", 0)]
-    got = {(r["seq"], r["of"]) for r in dedup.title_similarity(spark.createDataFrame(rows, "seq long, market string, title_key string, at long")).collect()}
-    assert (2, 1) in got and (3, 2) not in got and (4, 1) not in got and (7, 6) not in got
+    got = {r["seq"]: r["of"] for r in dedup.earliest_title(spark.createDataFrame([(*r, r[0]) for r in rows], TITLES)).collect()}
+    assert got[2] == 1 and 3 not in got and 4 not in got and 7 not in got
+
+
+def test_many_copies_of_one_title(spark):
+    """Ten thousand equal titles at as many times: running minima, no pairs."""
+    title = "the same headline about the very same rate decision of the bank"
+    rows = [(k, "US", title, (k * 7_919) % (5 * 86_400), k) for k in range(10_000)]
+    began = time.time()
+    got = {r["seq"]: r["of"] for r in dedup.earliest_title(spark.createDataFrame(rows, TITLES)).collect()}
+    assert time.time() - began < 40
+    at = {r[0]: r[3] for r in rows}
+    for k in range(0, 10_000, 997):
+        first = min((j for j in range(k) if abs(at[j] - at[k]) <= 86_400), default=None)
+        assert got.get(k) == first
 
 
 def test_match_boundaries(spark):
@@ -69,8 +89,73 @@ def test_tiers(spark):
 
 def test_claims(spark):
     s = spark.createDataFrame([("a", "RETRYABLE", 5, None, 1, 0), ("b", "PROCESSING", None, 4, 1, 3), ("c", "RETRYABLE", 50, None, 1, 0), ("d", "SUCCEEDED", None, None, 1, 1)], "article_id string, status string, next_attempt_at long, lease_expires_at long, created_at long, attempt_count long").withColumn("max_attempts", F.lit(3))
-    got = [tuple(r) for r in state.claim(s, 10, 5, 300).orderBy("article_id").collect()]
-    assert got == [("a", "PROCESSING", 1, 310), ("b", "QUARANTINED", 3, None)]
+    claimed = state.claim(s, 10, 5, 300, "run").orderBy("article_id")
+    assert [(r["article_id"], r["outcome"], r["status"], r["attempt_count"], r["lease_expires_at"], r["error"]) for r in claimed.collect()] == [("a", "CLAIMED", "PROCESSING", 1, 310, None), ("b", "RECOVERED_QUARANTINED", "QUARANTINED", 3, None, "lease_expired_attempt_budget_exhausted")]
+    tokens = [r["claim_token"] for r in claimed.collect()]
+    assert tokens[0] and tokens[1] is None and tokens == [r["claim_token"] for r in claimed.collect()] != [r["claim_token"] for r in state.claim(s, 10, 5, 300, "other").orderBy("article_id").collect()]
+    for bad in ((20, "run"), (901, "run"), (300, "")):
+        with pytest.raises(ValueError):
+            state.claim(s, 10, 5, *bad)
+
+
+COMMAND = "article_id string, classifier_version string, claim_token string, category string, http_status int, retryable boolean, disposition string, provider_attempts int, prompt_tokens long, prompt_cache_hit_tokens long, prompt_cache_miss_tokens long, completion_tokens long, total_tokens long, estimated_cost_usd decimal(24,12)"
+STORED = "article_id string, classifier_version string, status string, claim_token string, lease_expires_at long, attempt_count int, max_attempts int, prompt_tokens long, prompt_cache_hit_tokens long, prompt_cache_miss_tokens long, completion_tokens long, total_tokens long, estimated_cost_usd decimal(24,12)"
+
+
+def test_failures_are_fenced(spark):
+    use, zero = (12, 6, 6, 8, 20, None), (1, 1, 0, 1, 2, None)
+    stored = spark.createDataFrame([("a", "v", "PROCESSING", "t", 100, 1, 3, *zero), ("b", "v", "PROCESSING", "t", 100, 3, 3, *zero), ("c", "v", "PROCESSING", "t", 9, 1, 3, *zero), ("d", "v", "SUCCEEDED", "t", 100, 1, 3, *zero)], STORED)
+    command = lambda k, token="t", **x: (k, "v", token, *[x.get(n, d) for n, d in (("category", "TIMEOUT"), ("http_status", None), ("retryable", True), ("disposition", "RETRY_60_MINUTES"), ("provider_attempts", 1))], *x.get("use", use))
+    run = lambda *rows: {r["article_id"]: tuple(r)[2:5] + (r["total_tokens"],) for r in state.fail(spark.createDataFrame(list(rows), COMMAND), stored, 10).collect()}
+    got = run(command("a"), command("b"), command("c"), command("d"), command("e"))
+    assert got["a"] == ("RETRY_SCHEDULED", "TIMEOUT", 3610, 22) and got["b"] == ("QUARANTINED", "attempt_budget_exhausted", None, 22)
+    assert got["c"] == got["d"] == ("LOST_CLAIM", None, None, 2) and got["e"] == ("LOST_CLAIM", None, None, None)
+    assert run(command("a", "x"))["a"][0] == "LOST_CLAIM" and run(command("a", retryable=False))["a"][:2] == ("QUARANTINED", "TIMEOUT")
+    for bad in ({"category": ""}, {"http_status": 99}, {"retryable": None}, {"disposition": "LATER"}, {"provider_attempts": 4}, {"use": (12, 6, 5, 8, 20, None)}, {"use": (-1, -1, 0, 1, 0, None)}):
+        with pytest.raises(Exception, match="fail|categor|HTTP|retryable|disposition|usage"):
+            run(command("a", **bad))
+
+
+def test_each_use_has_one_price(spark):
+    schedule = spark.createDataFrame([("p", "m", "all", 0, 100, 0, 1440, 1, 2, 3), ("q", "m", "all", 200, None, 0, 1440, 5, 5, 5), ("r", "n", "all", 0, None, 0, 1440, 7, 7, 7)], "pricing_id string, model string, window string, effective_from long, effective_until long, start_minute int, end_minute int, hit_rate int, miss_rate int, output_rate int")
+    use = lambda *rows: state.price(spark.createDataFrame([(k, m, at, 10, 20, 30) for k, (m, at) in enumerate(rows)], "usage_id int, model string, at long, hit long, miss long, output long"), schedule).orderBy("usage_id").collect()
+    assert [(r["pricing_id"], float(r["cost"])) for r in use(("m", 99), ("n", 99), ("m", 200))] == [("p", 0.00014), ("r", 0.00042), ("q", 0.0003)]
+    for gap in (("m", 150), ("x", 1), (None, 1)):
+        with pytest.raises(Exception, match="expected one price"):
+            use(gap)
+    with pytest.raises(Exception, match="found 2"):
+        state.price(spark.createDataFrame([(1, "n", 5, 1, 1, 1)], "usage_id int, model string, at long, hit long, miss long, output long"), schedule.unionByName(schedule)).collect()
+
+
+def test_matches_before_their_time(spark):
+    work = "article_id string, source_id string, markets array<string>, category string, topics array<string>, confidence double, published_at long, discovered_at long, matched_at long, classified_at long, is_relevant boolean"
+    p = spark.createDataFrame([("u", ["US"], [], [], [], [], True)], "user_id string, markets array<string>, categories array<string>, topics array<string>, muted_source_ids array<string>, muted_topics array<string>, breaking_alert_enabled boolean")
+    run = lambda *row: match.match(spark.createDataFrame([row], work), p).collect()
+    assert len(run("a", "s", ["US"], None, [], 0.9, None, 5, 10, 6, True)) == 1 and run("a", "s", ["US"], None, [], 0.9, None, 5, 10, 6, False) == []
+    for bad in ((11, 6), (5, 11)):
+        with pytest.raises(Exception, match="lies before"):
+            run("a", "s", ["US"], None, [], 0.9, None, bad[0], 10, bad[1], True)
+
+
+def test_matches_alike_where_nothing_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(match, "DIMENSION_ROWS", 0)
+    test_match_boundaries(spark)
+
+
+def test_package_reaches_workers_from_any_folder(tmp_path):
+    """A driver started elsewhere, without the package on any path of the workers."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from plumbline.session import local_session; s = local_session('x', cpus='2'); print('rows', e.queries()['html_visible_text'](s, '/root/testdata/sf0.001').count(), len(e.queries()['dedup_decision'](s, '/root/testdata/sf0.001').collect()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=300)
+    assert "rows " in out.stdout and out.returncode == 0, out.stderr[-2000:]
+
+
+def test_visible_text_and_identifiers(spark):
+    v = lambda x: one(spark, x, T.visible_text)
+    assert v("a<hr>b<form>c</form>") == "abc" and v("x<tbody>y") == "x y" and v("a<style>b</style>&lt;") == "a<"
+    assert one(spark, " a  b\t", T.stripped) == "a  b" and one(spark, " \n", T.stripped) is None and one(spark, None, T.stripped) is None
+    for text in (" Straße  É\n", "A  b\x1c\tC", "ΑΣ", ""):
+        assert one(spark, text, T.matching_key) == one(spark, text, T.text_key)
 
 
 def test_published_at(spark):

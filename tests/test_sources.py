@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import normalize
 from plumbline.sources import catalogues, feeds, listings, windows
@@ -8,16 +9,51 @@ from plumbline.streaming import sinks
 
 
 def test_feeds(spark):
-    one = lambda body: spark.createDataFrame([("s", body)], "source_id string, body string")
-    got = feeds.rss(one("<rss><channel><item><guid>1</guid><link>http://a/1</link><title>T</title></item><item><title>no link</title></item><item><link>http://a/2</link></item></channel></rss>")).collect()
-    assert [(r["seq"], r["source_item_id"], r["url"]) for r in got] == [(0, "1", "http://a/1"), (2, None, "http://a/2")]
-    got = feeds.atom(one('<feed><entry><id>x</id><link href="http://a/3"/><title>T</title><updated>u</updated></entry></feed>')).collect()
-    assert [(r["url"], r["published_at_raw"]) for r in got] == [("http://a/3", "u")]
-    got = feeds.rest_pages(one('{"count":2,"results":[{"html_url":"http://a/4","title":" "},{"title":"x"}]}')).collect()
+    def read(reader, *bodies, **more):
+        articles, told = reader(spark.createDataFrame([(f"s{k}", b) for k, b in enumerate(bodies)], "source_id string, body string"), **more)
+        return sorted(articles.collect(), key=lambda r: (r["source_id"], r["seq"])), [r for r in told.orderBy("source_id").collect()]
+
+    item = "<item><guid>1</guid><link>http://a/1</link><title>T</title><updated>u</updated></item>"
+    got, told = read(feeds.feed, f"<rss><channel>{item}<item><title>no link</title></item><item><link> </link></item><item><link>http://a/2</link><pubDate>p</pubDate><updated>u</updated></item></channel></rss>")
+    assert [(r["seq"], r["source_item_id"], r["url"], r["published_at_raw"]) for r in got] == [(0, "1", "http://a/1", "u"), (3, None, "http://a/2", "p")] and tuple(told[0])[1:] == (4, 2, None)
+    entry = '<entry><id>x</id><link rel="self" href="http://self"/><link rel="alternate" href="http://a/3"/><title>T</title><summary>S</summary><updated>u</updated></entry>'
+    got, told = read(feeds.feed, f'<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom">{entry}</feed>', "not xml", "<html><p>x</p></html>", "<rss><channel></channel></rss>", f"<rss><channel>{item}<item><ti", "<rss><channel><item><title>x</title></item></channel></rss>", "<rss><channel>", None)
+    assert [(r["source_id"], r["url"], r["description"], r["published_at_raw"]) for r in got] == [("s0", "http://a/3", "S", "u"), ("s4", "http://a/1", None, "u")]
+    assert [(r["entries"], r["problem"]) for r in told] == [(1, None), (None, "not a feed"), (None, "not a feed"), (0, None), (1, None), (None, "no usable entry"), (None, "not a feed"), (None, "not a feed")]
+    with pytest.raises(ValueError, match="not a feed"):
+        feeds.checked(*feeds.feed(spark.createDataFrame([("s", "oops")], "source_id string, body string")))
+    got, told = read(feeds.rest_pages, '{"count":2,"next_page_url":"n","results":[{"html_url":" http://a/4","title":" "},{"title":"x"},5]}', "oops", "[]", "{}", '{"results":[],"next_page_url":"n"}', '{"results":[{"html_url":5}]}')
     assert [(r["url"], r["title"]) for r in got] == [("http://a/4", None)]
-    b = lambda c, t: f'{{"celex":{{"value":"{c}"}},"work":{{"value":"w"}},"title":{{"value":"{t}"}}}}'
-    got = feeds.sparql(one('{"results":{"bindings":[' + ",".join([b("32024R0001", " "), b("32024R0001", "A"), b("32024R0001", "B"), b("52024X1", "C"), b("32024L0002R(01)", "D")]) + "]}}")).orderBy("seq").collect()
-    assert [(r["celex"], r["title"], r["is_corrigendum"]) for r in got] == [("32024R0001", "A", False), ("32024L0002R(01)", "D", True)]
+    assert [tuple(r)[1:] for r in told] == [(3, 2, None, "n"), (None, None, "not JSON", None), (None, None, "not an object", None), (None, None, "no list of results", None), (0, 0, None, None), (None, None, "no usable entry", None)]
+    b = lambda c, t: f'{{"celex":{{"value":"{c}"}},"work":{{"value":"w"}},"date":{{"value":"d"}},"title":{{"value":"{t}"}}}}'
+    acts = '{"results":{"bindings":[' + ",".join([b("32024R0001", " "), b(" 32024R0001 ", "A"), b("32024R0001", "B"), b("52024X1", "C"), b("32024L0002R(01)", "D"), b("32024D3", "E")]) + "]}}"
+    got, told = read(feeds.sparql, acts, '{"results":{}}', '{"results":{"bindings":[{"title":{"value":"x"}}]}}', '{"results":{"bindings":["x"]}}', limit=2)
+    assert [(r["celex"], r["title"], r["is_corrigendum"], r["url"][-5:], r["raw_metadata"]) for r in got] == [("32024R0001", "A", False, "R0001", {"cellar_work_uri": "w", "document_date": "d"}), ("32024L0002R(01)", "D", True, "R(01)", {"cellar_work_uri": "w", "document_date": "d"})]
+    assert [r["problem"] for r in told] == [None, "no list of bindings", "a broken binding", "a broken binding"]
+
+
+def test_next_pages(spark):
+    cases = [("https://h/l?p=2", None), ("http://h/l?p=2", "not https"), ("https://u:p@h/l", "a user name"), ("https://g/l", "another origin"), ("https://h/m", "another path"), ("https://h/l?p=1", "a loop"), ("https://h:8443/l", "another origin"), (None, None)]
+    rows = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(cases)], "k int, u string")
+    got = rows.select("k", feeds.next_page_problem(F.col("u"), F.lit("https://h/l"), F.array(F.lit("https://h/l?p=1"))).alias("p")).orderBy("k").collect()
+    assert [r["p"] for r in got] == [p for _, p in cases]
+
+
+def ask(cell: str, start: int, end: int) -> list[str]:
+    """A provider with a record every other second, 250 at most a request."""
+    return [f"{cell}{t}" for t in range(start, end) if t % 2 == 0][:250]
+
+
+def test_cells_as_a_data_source(spark):
+    spark.dataSource.register(windows.CellSource)
+    import json
+
+    rows = spark.read.format("plumbline_cells").option("cells", json.dumps([["a", 0, 1000], ["b", 0, 60], ["c", 0, 10]])).option("reader", "tests.test_sources:ask").option("cap", "20").load()
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r["cell"], []).append(r)
+    assert rows.rdd.getNumPartitions() == 3 and len(got["c"]) == 5 and all(r["complete"] for r in got["c"]) and not any(r["complete"] for r in got["b"])
+    assert [r["seq"] for r in got["a"]] == list(range(len(got["a"])))
 
 
 def test_windows():
@@ -28,12 +64,27 @@ def test_windows():
 
 
 def test_stream_appends_once(spark, tmp_path):
-    for k, rows in enumerate([[(1, "a"), (2, "a"), (3, "b")], [(4, "a"), (5, "c")]]):
+    """Batches that run again, as after a lost driver, add nothing; later ones see what earlier ones added."""
+    batches = [[(1, "a"), (2, "a"), (3, "b")], [(4, "a"), (5, "c"), (6, "b")]]
+    for k, rows in enumerate(batches):
         spark.createDataFrame(rows, "seq long, key string").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
     stream = spark.readStream.schema("seq long, key string").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     sinks.append_new(stream, f"{tmp_path}/out", f"{tmp_path}/ck", ["key"], "seq").awaitTermination()
-    got = spark.read.option("recursiveFileLookup", "true").schema("seq long, key string").parquet(f"{tmp_path}/out").collect()
-    assert sorted(r["key"] for r in got) == ["a", "b", "c"]
+    read = lambda: sorted((r["key"], r["seq"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    first = read()
+    assert [k for k, _ in first] == ["a", "b", "c"]
+    for k in (1, 0, 1):  # replays, out of order too
+        sinks.add_new(spark.createDataFrame(batches[k], "seq long, key string"), k, f"{tmp_path}/again", ["key"], "seq")
+    sinks.add_new(spark.createDataFrame(batches[0], "seq long, key string"), 0, f"{tmp_path}/again", ["key"], "seq")
+    assert sorted((r["key"], r["seq"]) for r in spark.read.parquet(f"{tmp_path}/again").collect()) == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_contract_check(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", None)], "name string, n long")
+    sinks.export_contract(rows, ["name", "n"], f"{tmp_path}/c")
+    assert sorted(r["value"] for r in spark.read.text(f"{tmp_path}/c").collect()) == ['{"n":1,"name":"a"}', '{"n":null,"name":"b"}']
+    assert sinks.export_contract(rows, ["name", "n"], f"{tmp_path}/c", check=True) == 0
+    assert sinks.export_contract(rows.limit(1), ["name", "n"], f"{tmp_path}/c", check=True) == 1
 
 
 SOURCE = """source_id = "{id}"

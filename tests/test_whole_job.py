@@ -16,7 +16,8 @@ from plumbline.plans import catalogue
 
 def test_alerts_reach_every_customer(spark, sf):
     queries = catalogue.queries()
-    articles = [r for r in queries["classify_route"](spark, sf).collect() if r["outcome"] == "DETERMINISTIC" and 90_000 - 60 * r["doc_id"] <= 86_400]
+    found = lambda k: k * 7_919 % 90_001  # noqa: E731  when a document is discovered
+    articles = [r for r in queries["classify_route"](spark, sf).collect() if r["outcome"] == "DETERMINISTIC" and 90_000 - found(r["doc_id"]) <= 86_400]
     want = {}
     for c in spark.read.parquet(f"{sf}/customer.parquet").collect():
         k, n = c["c_custkey"], c["c_nationkey"]
@@ -31,8 +32,8 @@ def test_alerts_reach_every_customer(spark, sf):
                 raw = a["confidence"] * (dims / sum(map(bool, likes.values())))
                 high = dims >= 2 and raw >= 0.9
                 candidate = hashlib.sha256(f'["alert-candidate-v1","{k}","{a["doc_id"]}"]'.encode()).hexdigest()
-                want[str(k), str(a["doc_id"])] = (",".join(f"{d}:{x}" for d in hit for x in hit[d]), "HIGH" if high else "NORMAL", round(raw, 6), k % 2 == 0 and high and 0 <= 90_000 - 60 * a["doc_id"] <= 7_200, candidate)
-    got = queries["alert_match_all_users"](spark, sf).collect()
+                want[str(k), str(a["doc_id"])] = (",".join(f"{d}:{x}" for d in hit for x in hit[d]), "HIGH" if high else "NORMAL", round(raw, 6), k % 2 == 0 and high and 0 <= 90_000 - found(a["doc_id"]) <= 7_200, candidate)
+    got = queries["alert_match"](spark, sf).collect()
     assert {(r["user_id"], r["article_id"]): (r["reasons"], r["importance"], r["score"], r["breaking"], r["candidate_id"]) for r in got} == want
     assert len(got) == len(want) and max(int(r["user_id"]) for r in got) >= 60
 
@@ -87,14 +88,14 @@ def test_title_query_by_brute_force(spark, sf):
         rows.append({"seq": r["doc_id"], "canonical_url": url, "source_id": re.match("[a-z]+://([^/:]+)", url)[1] if url else r["source"], "source_item_id": item and item[1], "content_hash": sha, "market": r["lang"], "title_key": key, "at": r["doc_id"] * 7_919 % (7 * 86_400)})
     want = brute_duplicates(rows)
     assert any(reason == "TITLE_SIMILARITY" and seq - of > 24 for seq, (of, reason, _) in want.items())
-    assert {r["seq"]: (r["duplicate_of"], r["reason"], r["score"]) for r in catalogue.queries()["dedup_title_similarity"](spark, sf).collect()} == want
+    assert {r["seq"]: (r["duplicate_of"], r["reason"], r["score"]) for r in catalogue.queries()["dedup_decision"](spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("name", ["queue_renew_all_orders", "queue_complete_all_orders"])
+@pytest.mark.parametrize("name", ["queue_renew", "queue_complete", "queue_fail_transition"])
 def test_commands_without_a_stored_row_lose_the_claim(spark, sf, name):
     keys = {r["o_orderkey"] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()}
     got = {r["article_id"]: r for r in catalogue.queries()[name](spark, sf).collect()}
     assert set(got) == keys and any(k % 2 for k in keys)
     assert {got[k]["outcome"] for k in keys if k % 2} == {"LOST_CLAIM"}
     assert len({got[k]["outcome"] for k in keys if k % 2 == 0}) > 1
-    assert all(got[k][2] is None for k in keys if k % 2)
+    assert all(got[k][-1] is None for k in keys if k % 2)
