@@ -442,7 +442,15 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     blocks = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("members") / BLOCK_SETS)).cast("int")
     labels = join_groups(clusters, sums, {"cluster": "k"}, "members").select("rep", "n", "s1", "cluster", "members", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
     labels = checkpointed(labels)
-    with_text = lambda which: rows.join(which, rows["doc_id"] == which["rep"]).drop("doc_id")
+
+    def with_text(which: DataFrame, few: bool = False) -> DataFrame:
+        """The texts of some sets; where they are few, other texts stay where they are."""
+        mine = rows
+        if few and which.count() <= BROADCAST_ROWS:
+            ids = which.select(F.col("rep").alias("few")).distinct()
+            mine = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("few"), "left_semi")
+        return mine.join(which, F.col("doc_id") == F.col("rep")).drop("doc_id")
+
     inside = lambda texts: texts.select("rep", "text", "cluster", "block", "s1", "sent").groupBy("cluster", "block").applyInArrow(_inside, "a long, b long")
 
     # Clusters of several blocks come first: their lead goes to each block, and what links with it is answered in all of them.
@@ -454,7 +462,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         lead = cut.groupBy(F.col("cluster").alias("c")).agg(F.max("blocks").alias("blocks")).join(labels.select("rep", "s1"), F.col("c") == F.col("rep"))
         lead = lead.select("rep", "s1", F.col("c").alias("cluster"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("sent"))
         parts = cut.join(F.broadcast(lead.select(F.col("rep").alias("l")).distinct()) if lead.count() <= BROADCAST_ROWS else lead.select(F.col("rep").alias("l")).distinct(), F.col("rep") == F.col("l"), "left_anti")
-        sure.append(checkpointed(inside(with_text(parts.select("rep", "s1", "cluster", "block", F.lit(False).alias("sent")).unionByName(lead)))))
+        sure.append(checkpointed(inside(with_text(checkpointed(parts.select("rep", "s1", "cluster", "block", F.lit(False).alias("sent")).unionByName(lead)), few=True))))
         near = sure[0].select(F.col("a").alias("l"), F.col("b").alias("d"))
         near = near.unionByName(lead.select(F.col("rep").alias("l"), F.col("rep").alias("d"))).distinct()
         labels = checkpointed(labels.join(near, (F.col("cluster") == F.col("l")) & (F.col("rep") == F.col("d")), "left").withColumn("direct", F.col("d").isNotNull()).drop("l", "d"))
@@ -463,7 +471,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     packed = "bucket int, entries binary"
     todo, likely = labels, []
     for k in range(ROUNDS):
-        texts = with_text(todo.select("rep", "s1", "cluster", "block", "direct", "members", "blocks", F.lit(False).alias("sent")))
+        texts = with_text(todo.select("rep", "s1", "cluster", "block", "direct", "members", "blocks", F.lit(False).alias("sent")), few=k > 0)
         entries = texts.select("rep", "text", "cluster", "s1", "block", "direct").mapInArrow(_entries(late, buckets), packed)
         met = entries.groupBy("bucket").applyInArrow(_pairs(buckets, LONG if k + 1 < ROUNDS else None), packed + ", token long, often long")
         none = F.lit(None).cast("long")
