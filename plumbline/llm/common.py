@@ -86,6 +86,35 @@ def bucket_count(spark: SparkSession, entries: float, per_bucket: int = 1_000_00
     return max(least * shuffle_partitions(spark), math.ceil(entries / per_bucket))
 
 
+def _murmur3(x: np.ndarray) -> np.ndarray:
+    """Spark's hash of 32-bit integers, which deals rows out by such a column."""
+    with np.errstate(over="ignore"):
+        turn = lambda v, r: (v << np.uint32(r)) | (v >> np.uint32(32 - r))
+        k = turn(x.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = turn(np.uint32(42) ^ k, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        h ^= np.uint32(4)
+        for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            h = (h ^ (h >> np.uint32(shift))) * np.uint32(by)
+        return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+def even_labels(spark: SparkSession, buckets: int) -> np.ndarray:
+    """A label (0 or more) for each bucket, so that rows dealt out by label put equally many buckets in each shuffle partition.
+
+    Numbers from 0 on would collide: of as many buckets as partitions, a third of the partitions gets none and some get four.
+    """
+    n = shuffle_partitions(spark)
+    each = -(-buckets // n)
+    tries = np.arange(4 * buckets + 64 * n, dtype=np.int64)
+    while True:
+        part = np.mod(_murmur3(tries).astype(np.int64), n)
+        order = np.argsort(part, kind="stable")
+        first = np.searchsorted(part[order], np.arange(n))
+        if (np.diff(np.append(first, len(order))) >= each).all():
+            return np.concatenate([tries[order[first + k]] for k in range(each)])[:buckets].astype(np.int32)
+        tries = np.arange(2 * len(tries), dtype=np.int64)
+
+
 # Packed exchange -----------------------------------------------------------------------------------
 #
 # Fingerprints leave a task as a few rows, one a bucket, each holding the columns of many entries as
@@ -107,14 +136,14 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> U(32)) * U(buckets)) >> U(32)
 
 
-def pack(columns: list[np.ndarray], buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, bytes) of entries whose first column, a uint64 key, is sorted."""
+def pack(columns: list[np.ndarray], labels: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(label of the bucket, bytes) of entries whose first column, a uint64 key, is sorted; there is a bucket for each label."""
     if not len(columns[0]):
         return
-    b = bucket_of(columns[0], buckets)
+    b = bucket_of(columns[0], len(labels))
     edges = runs(b)
     for lo, hi in zip(edges, np.append(edges[1:], len(b)), strict=True):
-        yield int(b[lo]), np.uint32(hi - lo).tobytes() + b"".join(planes(c[lo:hi]) for c in columns)
+        yield int(labels[int(b[lo])]), np.uint32(hi - lo).tobytes() + b"".join(planes(c[lo:hi]) for c in columns)
 
 
 def unpack(blobs: Iterable, dtypes: list) -> list[np.ndarray]:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, id_array, join_groups, pack, packed_batch, planes, runs, settle, text_bytes, unpack
+from .common import bucket_count, checkpointed, even_labels, id_array, join_groups, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .components import components
 from .textvec import LOWER, SEEDS, U, Words, flat, mix, steps, windows
 
@@ -243,7 +243,7 @@ def _inside(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([int(ids[x]) for x, _ in found], pa.int64()), "b": pa.array([int(ids[y]) for _, y in found], pa.int64())})
 
 
-def _entries(late: np.ndarray, buckets: int):
+def _entries(late: np.ndarray, buckets: np.ndarray):
     """Texts of class representatives to packed prefix entries; `late`: the tokens that come last, in order."""
     late_sorted = np.sort(late)
     late_rank = np.argsort(late, kind="stable")
@@ -310,7 +310,7 @@ def walk(size: np.ndarray, pos: np.ndarray, step: int) -> Iterator[tuple[int, li
         yield int(starts[k]), starts[later[can]].tolist()
 
 
-def _pairs(buckets: int, longest: int | None):
+def _pairs(buckets: np.ndarray, longest: int | None):
     """Entries of a range of tokens to packed pairs, with how often they met and how often they must; and the sets of lists that are put off."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,7 +423,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = text_bytes(rows, "text")
-    buckets = bucket_count(spark, size / 6 / 5, ENTRIES, least=1)
+    buckets = even_labels(spark, bucket_count(spark, size / 6 / 5, ENTRIES, least=1))
 
     summary = checkpointed(rows.mapInArrow(_summaries, "doc_id long, n long, s1 long, s2 long, smallest array<long>, common binary"))
     told = summary.filter("n = -1").select("common").mapInArrow(_common, "token long, often long").groupBy("token").agg(F.sum("often").alias("often"))

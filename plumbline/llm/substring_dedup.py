@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket_count, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
+from .common import bucket_count, even_labels, id_array, pack, packed_batch, planes, runs, settle, text_bytes, unpack
 from .textvec import SEEDS, U, Words, flat, steps, windows
 
 WINDOW = 50
@@ -95,7 +95,7 @@ def _owners(keys: list[np.ndarray], doc: np.ndarray, pos: np.ndarray) -> tuple[n
     return order, least, many
 
 
-def _anchors(buckets: int, parts: int):
+def _anchors(buckets: np.ndarray, parts: int):
     """Texts to packed anchors (bucket >= 0), and what the task knows by itself (bucket -1 - part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +144,7 @@ def _meet_anchors(parts: int):
     return run
 
 
-def _extend(id_at: int, text_at: int, buckets: int, parts: int):
+def _extend(id_at: int, text_at: int, buckets: np.ndarray, parts: int):
     """Texts and their shared anchors to packed windows, merged within the part."""
 
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
@@ -250,7 +250,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """docs (all columns) with n_words, n_removed, kept_sha256 and, if asked for, kept_text (null stays null)."""
     spark = docs.sparkSession
     size = text_bytes(docs, text)
-    buckets = bucket_count(spark, size / 6 / PERIOD * len(COVER), ENTRIES, least=1)
+    buckets = even_labels(spark, bucket_count(spark, size / 6 / PERIOD * len(COVER), ENTRIES, least=1))
     parts = _prime(bucket_count(spark, size, PART_BYTES))
     added = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else [])]
     kinds = ["long", "long", "string", "string"]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, held_out, pack, packed_batch, settle, text_bytes, unpack
+from .common import bucket_count, checkpointed, even_labels, held_out, pack, packed_batch, settle, text_bytes, unpack
 from .textvec import LOWER, U, Words, flat, mix, steps, windows
 
 CLASS_ROWS = 2_500
@@ -140,7 +140,7 @@ def g_statistic(p: np.ndarray, q: np.ndarray, n_pos: int, n_neg: int) -> np.ndar
         return np.nan_to_num(2 * (part(p, max(n_pos, 1)) + part(q, max(n_neg, 1))))
 
 
-def _tally(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _tally(batches: Iterator[pa.RecordBatch], buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Texts and classes to packed counts: term, kind, and how many rows of each class hold it."""
     for batch in batches:
         for a, b in steps(batch.column(0)):
@@ -216,7 +216,7 @@ def draw(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: st
     if not of.get(0) or not of.get(1):
         return None
 
-    buckets = bucket_count(rows.sparkSession, text_bytes(rows, "text") * 1.5, 1_000_000, least=1)
+    buckets = even_labels(rows.sparkSession, bucket_count(rows.sparkSession, text_bytes(rows, "text") * 1.5, 1_000_000, least=1))
     tallied = rows.select("text", "toxic").mapInArrow(lambda batches: _tally(batches, buckets), "bucket int, entries binary")
     best = tallied.groupBy("bucket").applyInArrow(_best(of[1], of[0]), "term long, kind int, g double").orderBy(F.desc("g"), "term", "kind").limit(CANDIDATES).collect()  # CANDIDATES rows at most
     terms, kinds = np.array([r["term"] for r in best], np.int64).view(np.uint64), np.array([r["kind"] for r in best], int)

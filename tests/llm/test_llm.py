@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, components, decontaminate, html_extract, langid, ngram_join, quality, queries, sharding, substring_dedup, token_counts, toxicity
+from plumbline.llm import bpe, common, components, decontaminate, html_extract, langid, ngram_join, quality, queries, sharding, substring_dedup, token_counts, toxicity
 from plumbline.llm.textvec import Words, flat
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, part int, bucket int"
@@ -182,13 +182,13 @@ def test_walk_skips_blocks_by_size_and_position():
 
 def test_long_lists_stay_bounded(monkeypatch):
     """8,000 equal-sized sets of 8,000 clusters in one list: pairs leave in batches, nothing grows with their number."""
-    n = 8_000
-    entries = next(ngram_join.pack([np.full(n, 77, np.uint64), np.arange(n), np.full(n, 20, np.uint32), np.zeros(n, np.uint32), np.zeros(n, np.int64), np.zeros(n, np.uint32), np.zeros(n, np.uint8)], 1))[1]
+    n, labels = 8_000, np.zeros(1, np.int32)
+    entries = next(ngram_join.pack([np.full(n, 77, np.uint64), np.arange(n), np.full(n, 20, np.uint32), np.zeros(n, np.uint32), np.zeros(n, np.int64), np.zeros(n, np.uint32), np.zeros(n, np.uint8)], labels))[1]
     batch = lambda: iter([pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([entries], pa.binary())], names=["bucket", "entries"])])
-    off = list(ngram_join._pairs(1, 1_000)(batch()))
+    off = list(ngram_join._pairs(labels, 1_000)(batch()))
     assert [b.column(3).to_pylist() for b in off] == [[n]] and off[0].nbytes < 10 * n
     biggest = total = 0
-    for b in ngram_join._pairs(1, None)(batch()):
+    for b in ngram_join._pairs(labels, None)(batch()):
         biggest = max(biggest, b.nbytes)
         total += int(np.frombuffer(b.column(1)[0].as_py()[:4], np.uint32)[0])
     assert total == n * (n - 1) // 2 and biggest < 60_000_000
@@ -386,3 +386,12 @@ def test_hot_and_other_groups_join_alike(spark, none):
     got = sorted(r["doc_id"] for r in token_counts.later_copies(counts).collect())
     assert got == list(range(1, 2_000)) + list(range(5_001, 7_000, 2))
     assert token_counts.later_copies(counts.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 9, 400])
+def test_buckets_are_dealt_evenly(spark, buckets):
+    labels = common.even_labels(spark, buckets)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.createDataFrame([(int(x),) for x in labels], "bucket int")
+    dealt = Counter(r["p"] for r in rows.select(F.pmod(F.hash("bucket"), F.lit(n)).alias("p")).collect())
+    assert len(set(labels.tolist())) == buckets and labels.min() >= 0 and max(dealt.values()) == -(-buckets // n)
