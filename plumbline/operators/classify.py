@@ -60,7 +60,7 @@ def _points(k: int, c: Category) -> Column:
 
 def scores(rows: DataFrame, rules: Rules) -> DataFrame:
     """rows (title_key, description_key, only_domain) with the score of each category under its name in small letters."""
-    return _tested(rows, rules).select(*rows.columns, *[_points(k, c).alias(c.name.lower()) for k, c in enumerate(rules.categories)])
+    return _tested(rows, Rules(rules.categories, [], {})).select(*rows.columns, *[_points(k, c).alias(c.name.lower()) for k, c in enumerate(rules.categories)])
 
 
 def classify(rows: DataFrame, rules: Rules) -> DataFrame:
