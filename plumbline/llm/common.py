@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import math
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import shared_folder as checkpoint_folder
+
 from .textvec import U
 
 
@@ -34,17 +35,6 @@ def settle() -> None:
         pass
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names; only where none is set on a single machine (tests) a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return sc.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the shared folder and cut from its lineage."""
     checkpoint_folder(df.sparkSession)
