@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from plumbline.session import shared_folder
+
 _ENTRY = "id:string,guid:string,link:array<struct<_VALUE:string,_href:string,_rel:string>>,title:string,description:string,summary:string,pubDate:string,published:string,updated:string,language:string,_broken:string"
 #: A feed's outermost element, and the blocks of its entries; taken one by one, so a broken end doesn't cost the entries before it.
 _ROOT = r"(?s)^(?:\s|\ufeff|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<(rss|rdf:RDF|feed)[\s>]"
@@ -104,25 +106,75 @@ def next_page_problem(url: Column, endpoint: Column, seen: Column) -> Column:
     return F.when(url.isNotNull(), why.when(F.array_contains(seen, url), "a loop"))
 
 
+#: Stored pages of a source that one row may hold.
+WALK_PAGES = 10_000
+
+
+def _stop(last: Column, there: Column, n: Column, following: Column, left: Column, endpoint: Column, seen: Column) -> Column:
+    """Why paging fails at a page, or null."""
+    why = F.when(last, "too many pages").when(~there, "a page that isn't there").when((n == 0) & following.isNotNull(), "a next page but no row")
+    return why.otherwise(F.when(left > n, next_page_problem(following, endpoint, seen)))
+
+
 def follow(pages: DataFrame, endpoints: DataFrame, most_pages: int = 10) -> DataFrame:
     """The pages that paging reaches from each endpoint, in order.
 
-    pages: source_id, url, next_url, n_items (what a reader told of each stored page).  endpoints:
-    source_id, endpoint, max_items.  Gives source_id, page (from 0), url, n_items taken, and problem
-    where paging fails: a next page that may not be fetched, isn't there or brings nothing, or too many pages.
-    Sources are a dimension and a step follows one page of each, so most_pages joins do.
+    pages: source_id, url, next_url, n_items (what a reader told of each stored page; of pages stored twice
+    the least counts).  endpoints: source_id, endpoint, max_items.  Gives source_id, page (from 0), url, n_items
+    taken, and problem where paging fails: a next page that may not be fetched, isn't there or brings nothing, or
+    too many pages.  Pages meet their source once and are walked within its row; sources of more than WALK_PAGES
+    stored pages, if there are any, take a join for each step.
     """
-    p = pages.select(F.col("source_id").alias("_s"), F.col("url").alias("_u"), F.col("next_url").alias("_next"), F.col("n_items").alias("_n"))
-    at = endpoints.select("source_id", "endpoint", F.col("endpoint").alias("url"), F.col("max_items").alias("_left"), F.array("endpoint").alias("_seen"))
+    p = pages.select(F.col("source_id").alias("_s"), F.col("url").alias("_u"), F.col("next_url").alias("_next"), F.col("n_items").cast("long").alias("_n"))
+    at = endpoints.select("source_id", "endpoint", F.col("max_items").cast("long").alias("_left"))
+    long = p.groupBy("_s").count().filter(F.col("count") > WALK_PAGES).select(F.col("_s").alias("_long"))
+    if long.isEmpty():
+        return _walk(p, at, most_pages)
+    shared_folder(pages.sparkSession)
+    long = long.checkpoint()
+    part = lambda x, key, how: x.join(long, F.col(key) == F.col("_long"), how)
+    walked = _walk(part(p, "_s", "left_anti"), part(at, "source_id", "left_anti"), most_pages)
+    return walked.unionByName(_steps(part(p, "_s", "left_semi"), part(at, "source_id", "left_semi"), most_pages))
+
+
+def _walk(p: DataFrame, at: DataFrame, most_pages: int) -> DataFrame:
+    """follow() with all pages of a source in its row."""
+    stored = p.groupBy("_s").agg(F.collect_list(F.struct("_u", "_next", "_n")).alias("_stored"))
+    rows = at.join(stored.hint("merge"), F.col("source_id") == F.col("_s"), "left")
+    told = "array<struct<page:int,url:string,n_items:bigint,problem:string>>"
+    once = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731  a value that is used more than once
+    state = lambda url, left, seen, out, on: F.struct(url.alias("url"), left.alias("left"), seen.alias("seen"), out.alias("out"), on.alias("on"))
+
+    def step(s, k):
+        def page(hit):
+            n, following, last = hit["_n"], hit["_next"], k >= most_pages
+            taken = F.when(last, F.lit(0).cast("long")).otherwise(F.least(F.coalesce(n, F.lit(0).cast("long")), s["left"]))
+            there = hit.isNotNull()
+            going = lambda why: F.coalesce(why.isNull() & following.isNotNull() & (s["left"] > n), F.lit(False))
+            row = lambda why: F.array(F.struct(k.alias("page"), s["url"].alias("url"), taken.alias("n_items"), why.alias("problem")))
+            return once(_stop(last, there, n, following, s["left"], F.col("endpoint"), s["seen"]), lambda why: state(following, s["left"] - n, F.concat(s["seen"], F.array(following)), F.concat(s["out"], row(why)), going(why)))
+
+        return F.when(s["on"], once(F.array_min(F.filter("_stored", lambda x: x["_u"] == s["url"])), page)).otherwise(s)
+
+    begin = state(F.col("endpoint"), F.col("_left"), F.array("endpoint"), F.array().cast(told), F.lit(True))
+    return rows.select("source_id", F.inline(F.aggregate(F.sequence(F.lit(0), F.lit(most_pages)), begin, step, lambda s: s["out"])))
+
+
+def _steps(p: DataFrame, at: DataFrame, most_pages: int) -> DataFrame:
+    """follow() with a join for each step; what a step gives is kept, so that no step repeats those before it."""
+    p = p.groupBy("_s", "_u").agg(F.min(F.struct("_next", "_n")).alias("_p")).select("_s", "_u", "_p.*")
+    at = at.select("source_id", "endpoint", F.col("endpoint").alias("url"), "_left", F.array("endpoint").alias("_seen"))
     found = []
     for k in range(most_pages + 1):
-        step = at.join(p, (F.col("source_id") == F.col("_s")) & (F.col("url") == F.col("_u")), "left")
+        step = at.join(p.hint("merge"), (F.col("source_id") == F.col("_s")) & (F.col("url") == F.col("_u")), "left")
         taken = F.least(F.coalesce("_n", F.lit(0)), F.col("_left")) if k < most_pages else F.lit(0)
-        why = F.when(F.lit(k >= most_pages), "too many pages").when(F.col("_u").isNull(), "a page that isn't there").when((F.col("_n") == 0) & F.col("_next").isNotNull(), "a next page but no row")
-        why = why.otherwise(F.when(F.col("_left") > F.col("_n"), next_page_problem(F.col("_next"), F.col("endpoint"), F.col("_seen"))))
-        step = step.withColumn("problem", why)
-        found.append(step.select("source_id", F.lit(k).alias("page"), "url", taken.cast("long").alias("n_items"), "problem"))
-        at = step.filter("problem is null and _next is not null and _left > _n").select("source_id", "endpoint", F.col("_next").alias("url"), (F.col("_left") - F.col("_n")).alias("_left"), F.concat("_seen", F.array("_next")).alias("_seen"))
+        why = _stop(F.lit(k >= most_pages), F.col("_u").isNotNull(), F.col("_n"), F.col("_next"), F.col("_left"), F.col("endpoint"), F.col("_seen"))
+        step = step.select("source_id", "endpoint", "url", "_left", "_seen", "_next", "_n", taken.cast("long").alias("n_items"), why.alias("problem")).checkpoint()
+        found.append(step.select("source_id", F.lit(k).alias("page"), "url", "n_items", "problem"))
+        on = step.filter("problem is null and _next is not null and _left > _n")
+        if k == most_pages or on.isEmpty():
+            break
+        at = on.select("source_id", "endpoint", F.col("_next").alias("url"), (F.col("_left") - F.col("_n")).alias("_left"), F.concat("_seen", F.array("_next")).alias("_seen"))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

@@ -8,6 +8,7 @@ import pytest
 from plumbline.functions import text as T
 from plumbline.operators import normalize
 from plumbline.plans import catalogue
+from plumbline.sources import feeds
 
 
 def test_visible_text_decodes_closed_references_only(spark, tmp_path):
@@ -33,3 +34,26 @@ def test_pages_of_more_rows_than_a_task_numbers(spark, tmp_path, monkeypatch):
         normalize.all_pages(names, "user_id", 10, most=100)
     with pytest.raises(ValueError, match="repeated key"):
         normalize.all_pages(names.unionByName(names.limit(1)), "user_id", 10)
+
+
+def test_paging_meets_the_pages_once(spark, sf):
+    """A step that repeats those before it made 66 joins of eleven steps."""
+    plan = catalogue.queries()["listing_paging"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 2
+
+
+def test_paging_of_sources_with_many_pages(spark, monkeypatch):
+    u = lambda s, k: f"https://{s}.org/l?p={k}"
+    chains = {"a": [u("a", 1), u("a", 2), None], "b": [u("b", 1), u("b", 0)], "c": ["http://c.org/l"], "d": [u("d", k + 1) for k in range(14)], "e": [u("e", 1)], "f": [u("x", 1)]}
+    stored = [(s, u(s, k), following, 0 if (s, k) == ("a", 1) else 4) for s, c in chains.items() for k, following in enumerate(c)] + [("c", "https://c.org/other", None, 4)] * 2
+    pages = spark.createDataFrame(stored, "source_id string, url string, next_url string, n_items int")
+    ends = spark.createDataFrame([(s, u(s, 0), 6 if s == "e" else 100) for s in [*chains, "none"]], "source_id string, endpoint string, max_items int")
+    got = []
+    for most in (10_000, 2, 0):
+        monkeypatch.setattr(feeds, "WALK_PAGES", most)
+        got.append(sorted((tuple(r) for r in feeds.follow(pages, ends, 5).collect()), key=repr))
+    assert got[0] == got[1] == got[2]
+    assert {(s, k): why for s, k, _, _, why in got[0] if why} == {
+        ("a", 1): "a next page but no row", ("b", 1): "a loop", ("c", 0): "not https", ("d", 5): "too many pages", ("e", 1): "a page that isn't there", ("f", 0): "another origin", ("none", 0): "a page that isn't there",
+    }
+    assert [(k, n) for s, k, _, n, _ in got[0] if s in "de"] == [(0, 4), (1, 4), (2, 4), (3, 4), (4, 4), (5, 0), (0, 4), (1, 0)]
