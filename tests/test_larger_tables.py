@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from plumbline.functions import text as T
-from plumbline.operators import normalize
+from plumbline.operators import match, normalize
 from plumbline.plans import catalogue
 from plumbline.sources import feeds
 
@@ -57,3 +57,22 @@ def test_paging_of_sources_with_many_pages(spark, monkeypatch):
         ("a", 1): "a next page but no row", ("b", 1): "a loop", ("c", 0): "not https", ("d", 5): "too many pages", ("e", 1): "a page that isn't there", ("f", 0): "another origin", ("none", 0): "a page that isn't there",
     }
     assert [(k, n) for s, k, _, n, _ in got[0] if s in "de"] == [(0, 4), (1, 4), (2, 4), (3, 4), (4, 4), (5, 0), (0, 4), (1, 0)]
+
+
+def test_alerts_of_more_users_than_a_dimension_has(spark, sf, monkeypatch):
+    """Users come in teams, and their copies never pass through the driver."""
+    monkeypatch.setattr(match, "DIMENSION_ROWS", 0)
+    monkeypatch.setattr(match, "TEAM", 1, raising=False)
+    df = catalogue.queries()["alert_match"](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [max(x.find("+-"), x.find(":-")) for x in plan]
+    for k, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(k + 1, len(plan)) if depth[j] <= depth[k]), len(plan))
+            assert not any("_part#" in x for x in plan[k:below])
+    duck = duckdb.connect()
+    for t in ("documents", "customer"):
+        duck.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = duck.execute(f"select user_id, article_id, reasons, importance, score, breaking, candidate_id from ({catalogue.oracle_sql()['alert_match']})").fetchall()
+    got = [tuple(r) for r in df.select("user_id", "article_id", "reasons", "importance", "score", "breaking", "candidate_id").collect()]
+    assert sorted(got) == sorted(want)
