@@ -58,8 +58,77 @@ def _profiles(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+_BASE = 0x9E3779B97F4A7C15
+_GRAM = 8
+#: Characters of both sides up to which difflib itself is fast.
+SHORT = 600
+
+
+def _powers(n: int, base: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
+
+
+def _sums(text: str, up: np.ndarray) -> np.ndarray:
+    """Running sums of characters times powers, modulo 2 ** 64."""
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars * up[: len(chars)], dtype=np.uint64)])
+
+
+def _windows(sums: np.ndarray, lo: int, hi: int, size: int, down: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of size characters in lo to hi; equal runs have equal ones."""
+    at = np.arange(lo, hi - size + 1)
+    return (sums[at + size] - sums[at]) * down[at]
+
+
+def _shares_runs(a: str, b: str, threshold: float) -> bool:
+    """False only if the ratio is below the threshold: matching blocks are one more than the unmatched characters at most, so most runs of a lie within one."""
+    both = len(a) + len(b)
+    least = threshold * both / 2 - (_GRAM - 1) * ((1 - threshold) * both + 1) - 1e-6
+    if least <= 0:
+        return True
+    n = max(len(a), len(b))
+    up, down = _powers(n, _BASE), _powers(n, pow(_BASE, -1, 1 << 64))
+    x, y = (_windows(_sums(t, up), 0, len(t), _GRAM, down) for t in (a, b))
+    return np.isin(x, y).sum() >= least
+
+
+def ratio(a: str, b: str) -> float:
+    """difflib's ratio without junk.  Its search for the longest common run takes the product of the lengths; long texts find the same run, first in a and then in b, by hashes."""
+    n = max(len(a), len(b))
+    if len(a) + len(b) > SHORT:
+        up, down = _powers(n, _BASE), _powers(n, pow(_BASE, -1, 1 << 64))
+        x, y = _sums(a, up), _sums(b, up)
+    matched, todo = 0, [(0, len(a), 0, len(b))]
+    while todo:
+        alo, ahi, blo, bhi = todo.pop()
+        if alo == ahi or blo == bhi:
+            continue
+        if ahi - alo + bhi - blo <= SHORT:
+            matched += sum(m.size for m in difflib.SequenceMatcher(None, a[alo:ahi], b[blo:bhi], autojunk=False).get_matching_blocks())
+            continue
+        lo, hi, best = 1, min(ahi - alo, bhi - blo), None
+        while lo <= hi:
+            size = (lo + hi) // 2
+            left, right = _windows(x, alo, ahi, size, down), _windows(y, blo, bhi, size, down)
+            same = np.isin(left, right)
+            if same.any():
+                i = int(same.argmax())
+                j = int((right == left[i]).argmax())
+                best, lo = (alo + i, blo + j, size), size + 1
+            else:
+                hi = size - 1
+        if best is None:
+            continue
+        i, j, size = best
+        if a[i : i + size] != b[j : j + size]:  # unequal runs of one hash
+            return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+        matched += size
+        todo += [(alo, i, blo, j), (i + size, ahi, j + size, bhi)]
+    return 2.0 * matched / (len(a) + len(b)) if a or b else 1.0
+
+
 def _earliest_in_cell(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """seq, of, score: the earliest right point of another key that each left point's key resembles, within a day."""
+    """seq, of, score: the earliest right point before it, of another key, that each left point's key resembles, within a day."""
     right = cell[~cell["is_left"]].sort_values("seq")
     r_codes, r_keys = pd.factorize(right["title_key"])
     r_keys = np.asarray(r_keys, dtype=object)
@@ -79,19 +148,18 @@ def _earliest_in_cell(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
         for whole, one in ((coarse, mine.reshape(4, -1).sum(axis=1)), (profile, mine)):
             ok = np.abs(whole[near] - one).sum(axis=1) <= most
             near, most = near[ok], most[ok]
-        scores = {}
-        for k in near:
-            other = r_keys[k]
-            if other != key and (not digits[key] or not digits[other] or digits[key] == digits[other]):
-                score = difflib.SequenceMatcher(None, key, other, autojunk=False).ratio()
-                if score >= threshold:
-                    scores[k] = score
-        if scores:
-            at_rows = np.flatnonzero(np.isin(r_codes, list(scores)))
+        near = [k for k in near if r_keys[k] != key and (not digits[key] or not digits[r_keys[k]] or digits[key] == digits[r_keys[k]])]
+        if near:
+            at_rows = np.flatnonzero(np.isin(r_codes, near))
+            scores = {}  # of those that were asked for; only a match before the point is of use, as later ones lie after the title's own first row
             for seq, at in zip(rows["seq"], rows["at"], strict=True):
-                k = at_rows[np.abs(ats[at_rows] - at) <= DAY][:1]
-                if len(k):
-                    found.append((seq, seqs[k[0]], scores[r_codes[k[0]]]))
+                for k in at_rows[(np.abs(ats[at_rows] - at) <= DAY) & (seqs[at_rows] < seq)]:
+                    code = r_codes[k]
+                    if code not in scores:
+                        scores[code] = ratio(key, r_keys[code]) if _shares_runs(key, r_keys[code], threshold) else 0.0
+                    if scores[code] >= threshold:
+                        found.append((seq, seqs[k], scores[code]))
+                        break
     return pd.DataFrame(found, columns=["seq", "of", "score"]).astype({"seq": "int64", "of": "int64", "score": "float64"})
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import difflib
+import random
+import time
+
 import duckdb
 import pytest
 
 from plumbline.functions import text as T
-from plumbline.operators import match, normalize
+from plumbline.operators import dedup, match, normalize
 from plumbline.plans import catalogue
 from plumbline.sources import feeds
 
@@ -76,3 +80,23 @@ def test_alerts_of_more_users_than_a_dimension_has(spark, sf, monkeypatch):
     want = duck.execute(f"select user_id, article_id, reasons, importance, score, breaking, candidate_id from ({catalogue.oracle_sql()['alert_match']})").fetchall()
     got = [tuple(r) for r in df.select("user_id", "article_id", "reasons", "importance", "score", "breaking", "candidate_id").collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_ratio_of_long_titles_is_difflibs(monkeypatch):
+    """Long near-copies took the product of their lengths; two titles of 20,000 characters are compared at once."""
+    rng = random.Random(5)
+    monkeypatch.setattr(dedup, "SHORT", 20)
+    for k in range(150):
+        a = "".join(rng.choices("ab" if k % 3 else "abcdefg ß", k=rng.randint(0, 90)))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randint(0, len(b))
+            b[i : i + rng.randint(0, 1)] = rng.choices("ab", k=rng.randint(0, 1))
+        want = difflib.SequenceMatcher(None, a, "".join(b), autojunk=False).ratio()
+        assert dedup.ratio(a, "".join(b)) == want
+        assert want < 0.98 or dedup._shares_runs(a, "".join(b), 0.98)
+    monkeypatch.setattr(dedup, "SHORT", 600)
+    text = "".join(rng.choices("abcd", k=20_000))
+    began = time.time()
+    assert dedup.ratio(text, text[:7_000] + "x" + text[7_001:]) == 2 * 19_999 / 40_000
+    assert not dedup._shares_runs(text, "".join(rng.choices("abcd", k=20_000)), 0.98) and time.time() - began < 10
