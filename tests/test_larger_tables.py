@@ -82,6 +82,26 @@ def test_alerts_of_more_users_than_a_dimension_has(spark, sf, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+def test_alerts_move_articles_to_blocks_of_users(spark, sf, monkeypatch):
+    """Pairs went to disk once for each team of 1,000 users of their set; now no exchange stands above the join that makes them."""
+    queries = catalogue.queries()
+    columns = ["user_id", "article_id", "reasons", "importance", "score", "breaking", "candidate_id"]
+    want = sorted(tuple(r) for r in queries["alert_match"](spark, sf).select(*columns).collect())
+    monkeypatch.setattr(match, "DIMENSION_ROWS", 0)
+    monkeypatch.setattr(match, "TEAM", 2)
+    monkeypatch.setattr(match, "BLOCK", 40, raising=False)
+    df = queries["alert_match"](spark, sf).select(*columns)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [max(x.find("+-"), x.find(":-")) for x in plan]
+    meets = [k for k, x in enumerate(plan) if "Join" in x and "value#" in x and "wanted#" in x]
+    assert meets
+    for k, line in enumerate(plan):
+        if "Exchange" in line:
+            below = next((j for j in range(k + 1, len(plan)) if depth[j] <= depth[k]), len(plan))
+            assert not any(k < j < below for j in meets)
+    assert sorted(tuple(r) for r in df.collect()) == want
+
+
 def test_ratio_of_long_titles_is_difflibs(monkeypatch):
     """Long near-copies took the product of their lengths; two titles of 20,000 characters are compared at once."""
     rng = random.Random(5)
